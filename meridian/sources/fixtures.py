@@ -54,7 +54,7 @@ FIXTURES = {
         SELECT event_id, EPOCH(ts) AS t, value/100 AS rain, cast(regexp_extract(props,'([0-9]+)',1) as int)/2.0e0 AS temperature FROM events WHERE event_type='view'
     """,
     "fx_spec": """
-        SELECT vec_id%4 AS freq_id, CAST(floor(vec_id/4) AS BIGINT)%8 AS beam, CAST(floor(vec_id/32) AS BIGINT) AS t_id, pos AS subfreq, 1.0e0+CAST(col AS DOUBLE) AS x,
+        SELECT vec_id%4 AS freq_id, CAST(floor(vec_id/4) AS BIGINT)%8 AS beam, CAST(floor(vec_id/32) AS BIGINT) AS t_id, CAST(pos AS INT) AS subfreq, 1.0e0+CAST(col AS DOUBLE) AS x,
         CASE WHEN (vec_id+pos)%17=0 THEN 0.0e0 ELSE 1.0e0+vec_id%3 END AS w FROM SPREAD(embeddings.embedding)
     """,
     "fx_map": """

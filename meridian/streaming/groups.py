@@ -14,7 +14,7 @@ def day_groups(df: DataFrame, day: Column, padding: float = 0.0, least_span: flo
     On a stream give df a watermark on `ts`; state is one row of sums per day.
     """
     days = F.array_distinct(F.array(F.floor(day), F.floor(day - padding), F.floor(day + padding)))
-    rows = df.withColumn("day", F.explode(days).cast("long"))
+    rows = df.withColumn("day", F.explode(F.transform(days, lambda x: x.cast("long"))))
     out = rows.groupBy("day").agg(F.count("*").alias("n"), F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.sum("w").alias("w"))
     return out.where(F.col("last_t") - F.col("first_t") >= least_span)
 
