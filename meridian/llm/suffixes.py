@@ -131,6 +131,18 @@ def _table(names: list[str], rows: list[tuple], kinds: tuple) -> pa.Table:
 
 
 LONG, BLOB = pa.int64(), pa.binary()
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, with their size in front."""
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(cells: pa.ChunkedArray, kind: type = np.int64) -> list[np.ndarray]:
+    return [np.frombuffer(pa.decompress(x[8:], int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True), kind) for x in cells.to_pylist()]
+
+
 SHARED = "block long, keys binary"
 SENT = "bucket long, block long, keys binary, ids binary, texts binary, firsts binary, lengths binary, bytes binary"
 SPANS = "block long, texts binary, firsts binary, lasts binary"
@@ -202,24 +214,23 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
         rows, lengths = _bytes_of(data, first, last, window)
         settled = _covered(numbers[text], _same(rows, keys))
         first, last = first - bounds[text], last - bounds[text]
-        out = [(-1, block, b"", b"", text[settled].tobytes(), first[settled].tobytes(), last[settled].tobytes(), b"")]
+        out = [(-1, block, b"", b"", *(_pack(x[settled]) for x in (text, first, last)), b"")]
         left = np.flatnonzero(~settled)
         for bucket, k in by_bucket(keys[left]):
             k = left[k]
             whole = rows[k][np.arange(rows.shape[1]) < lengths[k, None]]
-            out.append((bucket, block, *(x[k].tobytes() for x in (keys, numbers[text], text, first, lengths)), whole.tobytes()))
+            out.append((bucket, block, keys[k].tobytes(), *(_pack(x[k]) for x in (numbers[text], text, first, lengths)), _pack(whole)))
         return _table(SENT_NAMES, out, SENT_KINDS)
 
     def factors(key: tuple, table: pa.Table) -> pa.Table:
         """Repeats among a bucket's segments, as spans of window starts by block."""
         if key[0].as_py() < 0:
             return table.select(["block", "texts", "firsts", "lengths"]).rename_columns(SPAN_NAMES)
-        read = lambda name, kind: [np.frombuffer(x, kind) for x in table[name].to_pylist()]
-        parts = read("keys", np.uint64)
+        parts = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
         owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
         keys = np.concatenate(parts)
-        ids, text, first, lengths = (np.concatenate(read(x, np.int64)) for x in ("ids", "texts", "firsts", "lengths"))
-        data = np.concatenate(read("bytes", np.uint8))
+        ids, text, first, lengths = (np.concatenate(_unpack(table[x])) for x in ("ids", "texts", "firsts", "lengths"))
+        data = np.concatenate(_unpack(table["bytes"], np.uint8))
         offset = np.cumsum(lengths) - lengths
         rows, _ = _bytes_of(data, offset, offset + lengths - window, window)
         settled = _covered(ids, _same(rows, keys))
@@ -241,15 +252,14 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
                 spans.append((owner[w], text[w], first[w] + step[new], first[w] + step[final]))
         owner, text, first, last = (np.concatenate(x) for x in zip(*spans))
         names = table["block"].to_pylist()
-        out = [(names[k], *(x[owner == k].tobytes() for x in (text, first, last))) for k in np.unique(owner).tolist()]
+        out = [(names[k], *(_pack(x[owner == k]) for x in (text, first, last))) for k in np.unique(owner).tolist()]
         return _table(SPAN_NAMES, out, (LONG, BLOB, BLOB, BLOB))
 
     def cut(key: tuple, table: pa.Table, spans: pa.Table) -> pa.Table:
         """Each row without its repeated bytes."""
         ids, texts, _, data, bounds = _block(table)
         turn = np.zeros(len(data) + 1, np.int32)
-        for text, first, last in zip(*(spans[x].to_pylist() for x in SPAN_NAMES[1:])):
-            text, first, last = (np.frombuffer(x, np.int64) for x in (text, first, last))
+        for text, first, last in zip(*(_unpack(spans[x]) for x in SPAN_NAMES[1:])):
             np.add.at(turn, bounds[text] + first, 1)
             np.add.at(turn, bounds[text] + last + window, -1)
         gone = np.cumsum(turn[:-1]) > 0
