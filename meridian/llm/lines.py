@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from meridian.llm.common import NO_ID, materialise, text_of
 
 #: Characters whose parities of occurrence sift candidate pairs: one edit changes two parities at most.
-SIFT = " etaonirshdlucmfwgy"
+SIFT = " etaonirshdlucmfwgybpvkzj,."
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def index_keys(line: Column, length: Column, edits: int) -> Column:
 
 
 def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of the substrings that can equal a segment of an indexed line up to `edits` characters shorter.
+    """Keys of the substrings that can equal a segment of an indexed line up to `edits` characters shorter (some null).
 
     For segment k and a difference d in lengths, a match left of which there are k - 1 edits at most and right of
     which there are edits - k at most starts between the bounds below (the multi-match-aware choice).
@@ -55,15 +55,20 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
                 F.when((start + s >= 0) & (start + s + size <= length), F.xxhash64(F.lit(k), length - d, F.substring(line, start + s + 1, size)))
                 for s in range(low, high + 1)
             ]
-    return F.array_compact(F.array(*keys))
+    return F.array(*keys)
 
 
 def parities(line: Column) -> Column:
     """A bit for each character of SIFT: whether it occurs an odd number of times."""
-    bit = lambda k, c: F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(1), k)
+    bit = lambda k, c: F.shiftleft(_number(line, c).bitwiseAND(1), k)
     return reduce(lambda a, b: a.bitwiseOR(b), (bit(k, c) for k, c in enumerate(SIFT)))
 
 
+def _number(line: Column, char: str) -> Column:
+    """How often an ASCII character occurs."""
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(char), F.lit("")))
+
+
 def _let(value: Column, body) -> Column:
     """body(value) with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -119,10 +124,10 @@ def similar_pairs(lines: DataFrame, edits: int = 2, shortest: int = 40, max_broa
     verified.
     """
     length = F.length("line")
-    distinct = lines.where(length >= shortest).select("line").distinct()
-    keyed = distinct.select("line", length.alias("length"), F.xxhash64("line").alias("h"), parities(F.col("line")).alias("p"))
+    distinct = lines.where(length >= shortest).select("line", parities(F.col("line")).alias("p")).distinct()
+    keyed = distinct.select("line", length.alias("length"), F.xxhash64("line").alias("h"), "p")
     index = keyed.select(F.explode(index_keys(F.col("line"), F.col("length"), edits)).alias("key"), F.col("h").alias("ha"), F.col("p").alias("pa"))
-    probe = keyed.select(F.explode(probe_keys(F.col("line"), F.col("length"), edits)).alias("key"), F.col("h").alias("hb"), F.col("p").alias("pb"))
+    probe = keyed.select(F.explode(probe_keys(F.col("line"), F.col("length"), edits)).alias("key"), F.col("h").alias("hb"), F.col("p").alias("pb")).where("key IS NOT NULL")
     near = (F.col("ha") != F.col("hb")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits)
     met = probe.join(index, [probe["key"] == index["key"], near])
     pairs = materialise(met.select(F.least("ha", "hb").alias("a1"), F.greatest("ha", "hb").alias("b1")).distinct())
