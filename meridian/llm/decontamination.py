@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import pieces, text_of
+from meridian.llm.common import materialise, pieces, text_of
 
 #: Words for units of measure that become the slot <UNIT> (fixed values).
 UNITS = (
@@ -129,13 +129,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, shortest: int
     hashes = items.select("hash").distinct()
     few = [r[0] for r in hashes.limit(max_broadcast + 1).collect()]
     wanted = np.sort(np.array(few, dtype=np.int64).astype(np.uint64)) if len(few) <= max_broadcast else None
-    sizes = list(range(shortest, window + 1))
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # window - shortest + 1 numbers at most
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).where("id is not null")
     found = rows.mapInArrow(lambda b: _template_rows(b, sizes, False, wanted), _ROWS)
     left = items.select(F.col("id").alias("item_id"), F.col("start").alias("item_start"), "size", "hash", F.col("slots").alias("slots_item"))
     right = found.select(F.col("id").alias("doc_id"), "size", "hash", F.col("slots").alias("slots_doc")).distinct()
     met = right.join(F.broadcast(left) if wanted is not None else left, ["hash", "size"]).where("item_id is not null")
-    met = met.select("doc_id", "item_id", "item_start", "slots_item", "slots_doc")
+    met = materialise(met.select("doc_id", "item_id", "item_start", "slots_item", "slots_doc"))
     # The document value that an item value stands for is the one that most of its windows show.
     pairs = met.select("doc_id", "item_id", "item_start", F.explode(F.arrays_zip("slots_item", "slots_doc")).alias("p"))
     votes = pairs.groupBy("doc_id", "item_id", F.col("p.slots_item").alias("a"), F.col("p.slots_doc").alias("b")).agg(F.countDistinct("item_start").alias("n"))
