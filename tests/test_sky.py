@@ -49,7 +49,8 @@ def test_interval_edges(spark):
     spans = spark.createDataFrame([(1, 1.0, 3.0), (2, 2.0, 2.6)], "id int, a double, b double")
     assert rows(interval_join(points, spans, "t", "a", "b", 0.7), "t", "id") == [(1.0, 1), (2.5, 1), (2.5, 2), (3.0, 1)]
     other = spark.createDataFrame([(7, 3.0, 4.0), (8, 2.9, 4.0), (9, 0.0, 1.0)], "o int, c double, d double")
-    assert rows(overlap_join(spans, other, "a", "b", "c", "d", 0.7), "id", "o") == [(1, 8), ]
+    # half-open as documented: a span that ends where the other begins still meets it, not the other way round
+    assert rows(overlap_join(spans, other, "a", "b", "c", "d", 0.7), "id", "o") == [(1, 7), (1, 8)]
 
 
 def test_islands_and_expand(spark):
