@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from meridian.llm.common import NO_ID, materialise, text_of
 
-#: Characters whose parities of occurrence sift candidate pairs: one edit changes two parities at most.
-SIFT = " etaonirshdlucmfwgybpvkzj,."
-
-
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, line, h1, h2 (128 bits that stand for the line) of every \\n-separated line of docs.
 
@@ -22,51 +18,56 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _segment(length: Column, k: int, edits: int) -> tuple[Column, Column]:
+def _segment(length: Column, k: Column, edits: int) -> tuple[Column, Column]:
     """Start (from 0) and length of segment k of a line of some length cut into edits + 1 even segments."""
     n, short = edits + 1, F.floor(length / (edits + 1)).cast("int")
     longer = length - short * n  # so many segments at the end have one character more
-    size = short + F.when(F.lit(k) >= n - longer, 1).otherwise(0)
+    size = short + F.when(k >= n - longer, 1).otherwise(0)
     return short * k + F.greatest(k - (n - longer), F.lit(0)), size
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of a line's edits + 1 segments: segment number, line length and segment text."""
+def _keys(rows: DataFrame, spots: list[tuple[int, int, int]], edits: int) -> DataFrame:
+    """rows (line, length) once for each spot that lies inside the line, with the key of the substring there.
+
+    Spot (k, d, s) is where segment k of a line d characters shorter lies, moved by s; the key stands for segment
+    number, the shorter line's length and the text. One small expression serves all spots, as the row's own
+    columns: spelt out spot by spot it grew past what the JVM compiles.
+    """
+    at = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(d).alias("d"), F.lit(s).alias("s")) for k, d, s in spots))
+    rows = rows.select("*", F.explode(at).alias("_at")).select("*", "_at.*").drop("_at")
+    start, size = _segment(F.col("length") - F.col("d"), F.col("k"), edits)
+    rows = rows.withColumn("_from", start + F.col("s")).withColumn("_size", size)
+    rows = rows.where("_from >= 0 AND _from + _size <= length")
+    key = F.xxhash64("k", F.col("length") - F.col("d"), F.substring("line", F.col("_from") + 1, F.col("_size")))
+    return rows.withColumn("key", key).drop("k", "d", "s", "_from", "_size")
 
-    def key(k: int) -> Column:
-        start, size = _segment(length, k, edits)
-        return F.xxhash64(F.lit(k), length, F.substring(line, start + 1, size))
 
-    return F.array(*(key(k) for k in range(edits + 1)))
+def index_keys(rows: DataFrame, edits: int) -> DataFrame:
+    """rows (line, length) once for each of the edits + 1 segments, with its key."""
+    return _keys(rows, [(k, 0, 0) for k in range(edits + 1)], edits)
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of the substrings that can equal a segment of an indexed line up to `edits` characters shorter (some null).
+def probe_keys(rows: DataFrame, edits: int) -> DataFrame:
+    """rows (line, length) once for each substring that can equal a segment of an indexed line up to `edits`
+    characters shorter, with its key.
 
     For segment k and a difference d in lengths, a match left of which there are k - 1 edits at most and right of
     which there are edits - k at most starts between the bounds below (the multi-match-aware choice).
     """
-    keys = []
-    for d in range(edits + 1):
-        for k in range(edits + 1):
-            start, size = _segment(length - d, k, edits)
-            low, high = max(-k, d - (edits - k)), min(k, d + (edits - k))
-            keys += [
-                F.when((start + s >= 0) & (start + s + size <= length), F.xxhash64(F.lit(k), length - d, F.substring(line, start + s + 1, size)))
-                for s in range(low, high + 1)
-            ]
-    return F.array(*keys)
+    spots = [
+        (k, d, s)
+        for d in range(edits + 1)
+        for k in range(edits + 1)
+        for s in range(max(-k, d - (edits - k)), min(k, d + (edits - k)) + 1)
+    ]
+    return _keys(rows, spots, edits)
 
 
 def parities(line: Column) -> Column:
-    """A bit for each character of SIFT: whether it occurs an odd number of times."""
-    bit = lambda k, c: F.shiftleft(_number(line, c).bitwiseAND(1), k)
-    return reduce(lambda a, b: a.bitwiseOR(b), (bit(k, c) for k, c in enumerate(SIFT)))
-
-
-def _number(line: Column, char: str) -> Column:
-    """How often an ASCII character occurs."""
-    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(char), F.lit("")))
+    """64 bits: whether words that hash to a bit occur an odd number of times. Words are what stands between blanks
+    (U+0020); one edit makes, takes or changes 3 words at most (a blank put into a word makes two of one)."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(w).bitwiseAND(63))
+    return F.aggregate(F.split(line, " "), F.lit(0).cast("long"), lambda p, w: p.bitwiseXOR(bit(w)))
 
 
 def _let(value: Column, body) -> Column:
@@ -119,16 +120,16 @@ def similar_pairs(lines: DataFrame, edits: int = 2, shortest: int = 40, max_broa
     """(a1, a2, b1, b2): pairs of different lines of `shortest` characters or more, by their two hashes, that are
     within `edits` edits of each other; each pair once.
 
-    Equal lines meet once before keys are made. Pairs that share a segment and whose character parities allow so
+    Equal lines meet once before keys are made. Pairs that share a segment and whose word parities allow so
     few edits get their texts, by a broadcast of the lines wanted if there are at most max_broadcast, and are then
     verified.
     """
     length = F.length("line")
     distinct = lines.where(length >= shortest).select("line", parities(F.col("line")).alias("p")).distinct()
     keyed = distinct.select("line", length.alias("length"), F.xxhash64("line").alias("h"), "p")
-    index = keyed.select(F.explode(index_keys(F.col("line"), F.col("length"), edits)).alias("key"), F.col("h").alias("ha"), F.col("p").alias("pa"))
-    probe = keyed.select(F.explode(probe_keys(F.col("line"), F.col("length"), edits)).alias("key"), F.col("h").alias("hb"), F.col("p").alias("pb")).where("key IS NOT NULL")
-    near = (F.col("ha") != F.col("hb")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits)
+    index = index_keys(keyed, edits).select("key", F.col("h").alias("ha"), F.col("p").alias("pa"))
+    probe = probe_keys(keyed, edits).select("key", F.col("h").alias("hb"), F.col("p").alias("pb"))
+    near = (F.col("ha") != F.col("hb")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 3 * edits)
     met = probe.join(index, [probe["key"] == index["key"], near])
     pairs = materialise(met.select(F.least("ha", "hb").alias("a1"), F.greatest("ha", "hb").alias("b1")).distinct())
     wanted = pairs.select(F.explode(F.array("a1", "b1")).alias("h1")).distinct()
