@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from meridian.llm.common import NO_ID, materialise, text_of
 
+#: Characters whose parities of occurrence sift pairs before they are verified: one edit changes two at most.
+SIFT = " etaonirshdlucmfwgybpvkzj,."
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, line, h1, h2 (128 bits that stand for the line) of every \\n-separated line of docs.
 
@@ -70,6 +74,12 @@ def parities(line: Column) -> Column:
     return F.aggregate(F.split(line, " "), F.lit(0).cast("long"), lambda p, w: p.bitwiseXOR(bit(w)))
 
 
+def char_parities(line: Column) -> Column:
+    """A bit for each character of SIFT: whether it occurs an odd number of times. Dearer than parities() and finer."""
+    number = lambda c: F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+    return reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(number(c).bitwiseAND(1), k) for k, c in enumerate(SIFT)))
+
+
 def _let(value: Column, body) -> Column:
     """body(value) with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -121,8 +131,8 @@ def similar_pairs(lines: DataFrame, edits: int = 2, shortest: int = 40, max_broa
     within `edits` edits of each other; each pair once.
 
     Equal lines meet once before keys are made. Pairs that share a segment and whose word parities allow so
-    few edits get their texts, by a broadcast of the lines wanted if there are at most max_broadcast, and are then
-    verified.
+    few edits get their texts, by a broadcast of the lines wanted if there are at most max_broadcast; those that
+    their characters' parities still allow are verified.
     """
     length = F.length("line")
     distinct = lines.where(length >= shortest).select("line", parities(F.col("line")).alias("p")).distinct()
@@ -135,9 +145,10 @@ def similar_pairs(lines: DataFrame, edits: int = 2, shortest: int = 40, max_broa
     wanted = pairs.select(F.explode(F.array("a1", "b1")).alias("h1")).distinct()
     small = wanted.limit(max_broadcast + 1).count() <= max_broadcast
     texts = lines.where(length >= shortest).join(F.broadcast(wanted) if small else wanted, "h1", "left_semi")
-    texts = materialise(texts.select("h1", "h2", "line").distinct())
+    texts = materialise(texts.select("h1", "h2", "line").distinct().withColumn("hc", char_parities(F.col("line"))))
     side = lambda x: texts.select(*(F.col(c).alias(f"{x}{c[1:] if c != 'line' else ''}") for c in texts.columns))
     both = pairs.join(side("a"), "a1").join(side("b"), "b1")
+    both = both.where(F.bit_count(F.col("ac").bitwiseXOR(F.col("bc"))) <= 2 * edits)
     return both.where(banded_distance(F.col("a"), F.col("b"), edits).isNotNull()).select("a1", "a2", "b1", "b2")
 
 
