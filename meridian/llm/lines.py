@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meridian.llm.common import NO_ID, materialise, text_of
 
-#: Characters whose parities of occurrence sift pairs before they are verified: one edit changes two at most.
+#: Characters whose parities of occurrence sift pairs: one edit changes two at most.
 SIFT = " etaonirshdlucmfwgybpvkzj,."
 
 
@@ -68,14 +68,7 @@ def probe_keys(rows: DataFrame, edits: int) -> DataFrame:
 
 
 def parities(line: Column) -> Column:
-    """64 bits: whether words that hash to a bit occur an odd number of times. Words are what stands between blanks
-    (U+0020); one edit makes, takes or changes 3 words at most (a blank put into a word makes two of one)."""
-    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(w).bitwiseAND(63))
-    return F.aggregate(F.split(line, " "), F.lit(0).cast("long"), lambda p, w: p.bitwiseXOR(bit(w)))
-
-
-def char_parities(line: Column) -> Column:
-    """A bit for each character of SIFT: whether it occurs an odd number of times. Dearer than parities() and finer."""
+    """A bit for each character of SIFT: whether it occurs an odd number of times."""
     number = lambda c: F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
     return reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(number(c).bitwiseAND(1), k) for k, c in enumerate(SIFT)))
 
@@ -130,25 +123,34 @@ def similar_pairs(lines: DataFrame, edits: int = 2, shortest: int = 40, max_broa
     """(a1, a2, b1, b2): pairs of different lines of `shortest` characters or more, by their two hashes, that are
     within `edits` edits of each other; each pair once.
 
-    Equal lines meet once before keys are made. Pairs that share a segment and whose word parities allow so
-    few edits get their texts, by a broadcast of the lines wanted if there are at most max_broadcast; those that
-    their characters' parities still allow are verified.
+    Equal lines meet once before keys are made. Semi joins first tell which lines share a segment with another
+    line, without making pairs. Those get their texts, by a broadcast of the lines wanted if there are at most
+    max_broadcast, and their character parities; pairs of them that share a segment and whose parities allow so few
+    edits are verified.
     """
     length = F.length("line")
-    distinct = lines.where(length >= shortest).select("line", parities(F.col("line")).alias("p")).distinct()
-    keyed = distinct.select("line", length.alias("length"), F.xxhash64("line").alias("h"), "p")
-    index = index_keys(keyed, edits).select("key", F.col("h").alias("ha"), F.col("p").alias("pa"))
-    probe = probe_keys(keyed, edits).select("key", F.col("h").alias("hb"), F.col("p").alias("pb"))
-    near = (F.col("ha") != F.col("hb")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 3 * edits)
+
+    def sides(rows: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
+        keyed = rows.select("line", length.alias("length"), F.xxhash64("line").alias("h"), *more)
+        extra = [c for c in keyed.columns if c not in ("line", "length")]
+        named = lambda keys, x: keys(keyed, edits).select("key", *(F.col(c).alias(f"{c}{x}") for c in extra))
+        return named(index_keys, "a"), named(probe_keys, "b")
+
+    long = lines.where(length >= shortest)
+    index, probe = sides(long.select("line").distinct())
+    meet = [index["key"] == probe["key"], index["ha"] != probe["hb"]]
+    heads = index.join(probe, meet, "left_semi").select(F.col("ha").alias("h1"))
+    tails = probe.join(index, meet, "left_semi").select(F.col("hb").alias("h1"))
+    wanted = materialise(heads.union(tails).distinct())
+    small = wanted.limit(max_broadcast + 1).count() <= max_broadcast
+    texts = long.join(F.broadcast(wanted) if small else wanted, "h1", "left_semi")
+    texts = materialise(texts.select("h1", "h2", "line").distinct().withColumn("p", parities(F.col("line"))))
+    index, probe = sides(texts, F.col("p"))
+    near = (F.col("ha") != F.col("hb")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits)
     met = probe.join(index, [probe["key"] == index["key"], near])
     pairs = materialise(met.select(F.least("ha", "hb").alias("a1"), F.greatest("ha", "hb").alias("b1")).distinct())
-    wanted = pairs.select(F.explode(F.array("a1", "b1")).alias("h1")).distinct()
-    small = wanted.limit(max_broadcast + 1).count() <= max_broadcast
-    texts = lines.where(length >= shortest).join(F.broadcast(wanted) if small else wanted, "h1", "left_semi")
-    texts = materialise(texts.select("h1", "h2", "line").distinct().withColumn("hc", char_parities(F.col("line"))))
-    side = lambda x: texts.select(*(F.col(c).alias(f"{x}{c[1:] if c != 'line' else ''}") for c in texts.columns))
+    side = lambda x: texts.select(F.col("h1").alias(f"{x}1"), F.col("h2").alias(f"{x}2"), F.col("line").alias(x))
     both = pairs.join(side("a"), "a1").join(side("b"), "b1")
-    both = both.where(F.bit_count(F.col("ac").bitwiseXOR(F.col("bc"))) <= 2 * edits)
     return both.where(banded_distance(F.col("a"), F.col("b"), edits).isNotNull()).select("a1", "a2", "b1", "b2")
 
 
