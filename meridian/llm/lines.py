@@ -30,11 +30,11 @@ def _segment(length: Column, k: Column, edits: int) -> tuple[Column, Column]:
     return short * k + F.greatest(k - (n - longer), F.lit(0)), size
 
 
-def _keys(rows: DataFrame, spots: list[tuple[int, int, int]], edits: int) -> DataFrame:
+def _keys(rows: DataFrame, spots: list[tuple[int, int, int]], edits: int, keep: tuple[str, ...] = ()) -> DataFrame:
     """rows (line, length) once for each spot that lies inside the line, with the key of the substring there.
 
     Spot (k, d, s) is where segment k of a line d characters shorter lies, moved by s; the key stands for segment
-    number, the shorter line's length and the text. One small expression serves all spots, as the row's own
+    number, the shorter line's length and the text; keep names the parts of the spot that stay. One small expression serves all spots, as the row's own
     columns: spelt out spot by spot it grew past what the JVM compiles.
     """
     at = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(d).alias("d"), F.lit(s).alias("s")) for k, d, s in spots))
@@ -43,7 +43,7 @@ def _keys(rows: DataFrame, spots: list[tuple[int, int, int]], edits: int) -> Dat
     rows = rows.withColumn("_from", start + F.col("s")).withColumn("_size", size)
     rows = rows.where("_from >= 0 AND _from + _size <= length")
     key = F.xxhash64("k", F.col("length") - F.col("d"), F.substring("line", F.col("_from") + 1, F.col("_size")))
-    return rows.withColumn("key", key).drop("k", "d", "s", "_from", "_size")
+    return rows.withColumn("key", key).drop(*({"k", "d", "s"} - set(keep)), "_from", "_size")
 
 
 def index_keys(rows: DataFrame, edits: int) -> DataFrame:
@@ -51,7 +51,7 @@ def index_keys(rows: DataFrame, edits: int) -> DataFrame:
     return _keys(rows, [(k, 0, 0) for k in range(edits + 1)], edits)
 
 
-def probe_keys(rows: DataFrame, edits: int) -> DataFrame:
+def probe_keys(rows: DataFrame, edits: int, keep: tuple[str, ...] = ()) -> DataFrame:
     """rows (line, length) once for each substring that can equal a segment of an indexed line up to `edits`
     characters shorter, with its key.
 
@@ -64,7 +64,7 @@ def probe_keys(rows: DataFrame, edits: int) -> DataFrame:
         for k in range(edits + 1)
         for s in range(max(-k, d - (edits - k)), min(k, d + (edits - k)) + 1)
     ]
-    return _keys(rows, spots, edits)
+    return _keys(rows, spots, edits, keep)
 
 
 def parities(line: Column) -> Column:
@@ -119,33 +119,34 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.when((F.abs(n - m) <= edits) & (distance <= edits), distance)
 
 
+def meeting_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """Keys that two different lines (line, length, h1) share, one of them as an index key.
+
+    A line's index keys are its probe keys at the spots (k, 0, 0), so probe keys alone are counted. Equal lines give
+    equal rows, which partial aggregation merges before the one shuffle; a common key costs one row per task.
+    """
+    counted = probe_keys(lines, edits, keep=("d", "s")).groupBy("key")
+    counted = counted.agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max((F.col("d") == 0) & (F.col("s") == 0)).alias("indexed"))
+    return counted.where("low <> high AND indexed").select("key")
+
+
 def similar_pairs(lines: DataFrame, edits: int = 2, shortest: int = 40, max_broadcast: int = 500_000) -> DataFrame:
     """(a1, a2, b1, b2): pairs of different lines of `shortest` characters or more, by their two hashes, that are
     within `edits` edits of each other; each pair once.
 
-    Equal lines meet once before keys are made. Semi joins first tell which lines share a segment with another
-    line, without making pairs. Those get their texts, by a broadcast of the lines wanted if there are at most
-    max_broadcast, and their character parities; pairs of them that share a segment and whose parities allow so few
-    edits are verified.
+    Counting first tells which keys different lines share, without making pairs. Lines that hold such a key (found
+    by a broadcast of these keys if there are at most max_broadcast) meet once with their character parities; pairs
+    of them that share a segment and whose parities allow so few edits are verified.
     """
     length = F.length("line")
-
-    def sides(rows: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
-        keyed = rows.select("line", length.alias("length"), F.xxhash64("line").alias("h"), *more)
-        extra = [c for c in keyed.columns if c not in ("line", "length")]
-        named = lambda keys, x: keys(keyed, edits).select("key", *(F.col(c).alias(f"{c}{x}") for c in extra))
-        return named(index_keys, "a"), named(probe_keys, "b")
-
-    long = lines.where(length >= shortest)
-    index, probe = sides(long.select("line").distinct())
-    meet = [index["key"] == probe["key"], index["ha"] != probe["hb"]]
-    heads = index.join(probe, meet, "left_semi").select(F.col("ha").alias("h1"))
-    tails = probe.join(index, meet, "left_semi").select(F.col("hb").alias("h1"))
-    wanted = materialise(heads.union(tails).distinct())
-    small = wanted.limit(max_broadcast + 1).count() <= max_broadcast
-    texts = long.join(F.broadcast(wanted) if small else wanted, "h1", "left_semi")
+    long = lines.where(length >= shortest).select("line", length.alias("length"), "h1", "h2")
+    keys = materialise(meeting_keys(long, edits))
+    small = keys.limit(max_broadcast + 1).count() <= max_broadcast
+    texts = probe_keys(long, edits).join(F.broadcast(keys) if small else keys, "key", "left_semi")
     texts = materialise(texts.select("h1", "h2", "line").distinct().withColumn("p", parities(F.col("line"))))
-    index, probe = sides(texts, F.col("p"))
+    rows = texts.select("line", length.alias("length"), F.col("h1").alias("h"), "p")
+    index = index_keys(rows, edits).select("key", F.col("h").alias("ha"), F.col("p").alias("pa"))
+    probe = probe_keys(rows, edits).select("key", F.col("h").alias("hb"), F.col("p").alias("pb"))
     near = (F.col("ha") != F.col("hb")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits)
     met = probe.join(index, [probe["key"] == index["key"], near])
     pairs = materialise(met.select(F.least("ha", "hb").alias("a1"), F.greatest("ha", "hb").alias("b1")).distinct())
@@ -165,8 +166,8 @@ def repeated_lines(docs: DataFrame, edits: int = 2, shortest: int = 40) -> DataF
     """
     lines = lines_of(docs)
     place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(NO_ID + 1)).cast("decimal(20,0)")) * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")
-    lines = lines.withColumn("place", place.cast("decimal(31,0)"))
-    firsts = materialise(lines.groupBy("h1", "h2").agg(F.min("place").alias("first")))
+    place = place.cast("decimal(31,0)")
+    firsts = materialise(lines.groupBy("h1", "h2").agg(F.min(place).alias("first")))
     pairs = similar_pairs(lines, edits, shortest)
     for x in "ab":
         pairs = pairs.join(firsts.select(F.col("h1").alias(f"{x}1"), F.col("h2").alias(f"{x}2"), F.col("first").alias(f"{x}_first")), [f"{x}1", f"{x}2"])
@@ -174,8 +175,8 @@ def repeated_lines(docs: DataFrame, edits: int = 2, shortest: int = 40) -> DataF
     pick = lambda k: F.when(earlier, F.col(f"b{k}")).otherwise(F.col(f"a{k}")).alias(f"h{k}")
     gone = pairs.select(pick(1), pick(2)).distinct().withColumn("gone", F.lit(True))
     marks = firsts.join(gone, ["h1", "h2"], "left")
-    all_lines = lines.select("doc_id", "line_no", "place", "h1", "h2").join(marks, ["h1", "h2"])
-    again = F.col("gone").isNotNull() | (F.col("place") != F.col("first"))
+    all_lines = lines.select("doc_id", "line_no", "h1", "h2").join(marks, ["h1", "h2"])
+    again = F.col("gone").isNotNull() | (place != F.col("first"))
     number = F.when(again, F.col("line_no"))
     return all_lines.groupBy("doc_id").agg(
         F.count("*").alias("n_lines"), F.count(number).alias("n_removed"), F.sort_array(F.collect_list(number)).alias("removed_lines")
