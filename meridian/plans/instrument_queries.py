@@ -254,7 +254,7 @@ def w13_lanczos(map):
 
 
 @query(
-    f"""SELECT update_t, input_id, freq_id, {R('CASE WHEN w>0 THEN re ELSE coalesce(ly+(freq_id-lx)*(hy-ly)/(hx-lx), re) END', 4)} AS re FROM (SELECT *,
+    f"""SELECT update_t, input_id, freq_id, {R('CASE WHEN w>0 THEN re ELSE coalesce(ly+(freq_id-lx)*(hy-ly)/(hx-lx), re) END', 9)} AS re FROM (SELECT *,
     last_value(CASE WHEN w>0 THEN freq_id END IGNORE NULLS) OVER b AS lx, last_value(CASE WHEN w>0 THEN re END IGNORE NULLS) OVER b AS ly,
     first_value(CASE WHEN w>0 THEN freq_id END IGNORE NULLS) OVER a AS hx, first_value(CASE WHEN w>0 THEN re END IGNORE NULLS) OVER a AS hy FROM fx_gain
     WINDOW b AS (PARTITION BY update_t, input_id ORDER BY freq_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
@@ -262,4 +262,4 @@ def w13_lanczos(map):
     gain="gain",
 )
 def w17_fill_channels(gain):
-    return rounded(P.fill_between(gain, ["update_t", "input_id"], "freq_id", "re").select("update_t", "input_id", "freq_id", "re"), 4)
+    return rounded(P.fill_between(gain, ["update_t", "input_id"], "freq_id", "re").select("update_t", "input_id", "freq_id", "re"), 9)

@@ -12,7 +12,7 @@ from meridian.operators import aggregates as A
 from meridian.operators import masks as D
 from meridian.operators import windows as W
 from meridian.operators.joins import asof_join, interval_join, overlap_join
-from meridian.plans import instrument_queries, queries  # noqa: F401
+from meridian.plans import catalogue_queries, instrument_queries, queries  # noqa: F401
 from meridian.plans.registry import ORACLES, QUERIES
 from meridian.sources.fixtures import TABLES
 
