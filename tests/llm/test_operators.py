@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meridian.llm import chat, decontamination, lines, mixing, packing, quality, simhash, suffixes, token_counts, toxicity
+from meridian.llm import chat, decontamination, lines, mixing, packing, quality, shingle_join, simhash, suffixes, token_counts, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 DATA = "/root/testdata/sf0.001"
@@ -230,6 +230,45 @@ def test_links_equal_brute_force(spark):
     assert {tuple(r) for r in simhash.links(df).collect()} == want
 
 
+def brute_groups(texts, width, threshold):
+    sets = []
+    for text in texts:
+        words = text.encode().lower().split()
+        sets.append({tuple(words[k : k + width]) for k in range(max(len(words) - width + 1, min(len(words), 1)))})
+    label = list(range(len(texts)))
+    for i in range(len(sets)):
+        for j in range(i):
+            joint = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or joint and joint / (len(sets[i]) + len(sets[j]) - joint) >= threshold:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return dict(enumerate(label))
+
+
+def test_near_groups_equal_brute_force(spark, odd):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    passage = [word() for _ in range(40)]
+    texts = ["", "a b", "A  B\n", "a b c", None]
+    for k in range(60):
+        base = [word() for _ in range(rng.choice((8, 30, 60, 200)))] + passage * (k % 3 == 0)
+        for _ in range(rng.choice((1, 2, 6))):
+            near = list(base)
+            for _ in range(rng.randrange(1 + len(near) // 25)):  # down to and past similarity 0.8
+                near[rng.randrange(len(near))] = word()
+            texts.append(" ".join(near))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_groups([x or "" for x in texts], 5, 0.8)
+    for params in ({}, {"share": 1, "max_broadcast": 1}):
+        assert {r["doc_id"]: r["component_id"] for r in shingle_join.near_groups(docs, **params).collect()} == want
+    import corpus_pipeline
+
+    kept = corpus_pipeline.near_dedup(spark, docs, DATA)  # SimHash at 3 bits kept most of these near copies
+    assert {r["doc_id"] for r in kept.collect()} == set(want.values())
+    assert shingle_join.near_groups(odd).count() == odd.count() and shingle_join.keep_first(odd).columns == odd.columns
+    assert shingle_join.near_groups(odd.limit(0)).count() == 0
+
+
 def test_decontamination(spark, odd):
     items = [(1, "Anna paid 12 dollars for Bob and then 12 dollars for the old red Bike again"), (2, "tiny one"), (3, None), (4, "six plain words stand here now")]
     bench = spark.createDataFrame(items, "item_id long, text string")
