@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.llm.common import materialise, pieces, text_of
@@ -45,31 +45,49 @@ class Templates:
         keep = full[codes]
         before = np.r_[True, (owner[1:] != owner[:-1]) | ends[codes[:-1]]] if len(codes) else np.zeros(0, bool)
         self.codes, self.owner = codes[keep], owner[keep]
-        # A name is a capitalised word inside a sentence; at a sentence's start the case tells nothing.
+        # A name is a capitalised word inside a sentence; at a sentence's start the case tells nothing: such a word
+        # is plain, and in a second reading a name.
         name = capital[self.codes] & ~before[keep]
         kind = np.where(number[self.codes], 1, np.where(unit[self.codes], 2, np.where(name, 3, 0)))
         hashes = np.array([_word_hash(v) for v in self.values], dtype=np.uint64)
         self.plain = hashes[self.codes] if len(hashes) else np.zeros(0, np.uint64)
         self.kind = kind
+        self.either = capital[self.codes] & before[keep] & (kind == 0)
         self.typed = np.where(kind > 0, _SLOTS[kind], self.plain)
         self.counts = np.bincount(self.owner, minlength=len(lengths))
         self.first = np.cumsum(self.counts) - self.counts
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start (in all words) and hash of every window of so many words inside a text, by its template."""
+    def windows(self, size: int) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """Starts (in all words), mask and hashes of the windows of so many words inside a text, by template.
+
+        A window comes once for each reading; bit k of the mask is set if word k, one of either kind, is a name.
+        """
         n = len(self.typed) - size + 1
         if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        h = np.full(n, size, dtype=np.uint64)
+            return
+        inside = np.flatnonzero(self.owner[:n] == self.owner[size - 1 :])
+        open_words = np.zeros(len(inside), np.int64)
         for k in range(size):
-            h = (h ^ self.typed[k : k + n]) * _PRIME
-            h ^= h >> np.uint64(29)
-        at = np.flatnonzero(self.owner[:n] == self.owner[size - 1 :])
-        return at, h[at]
-
-    def slots(self, start: int, size: int) -> list[str]:
+            open_words |= self.either[inside + k].astype(np.int64) << k
+        ambiguous = open_words != 0
+        for mask in range(1 << size):
+            if mask == 1:  # from here on only windows with words of either kind
+                inside, open_words = inside[ambiguous], open_words[ambiguous]
+            if not len(inside):
+                return
+            at = inside[open_words & mask == mask]
+            if not len(at):
+                continue
+            h = np.full(len(at), size, dtype=np.uint64)
+            for k in range(size):
+                h = (h ^ (_SLOTS[3] if mask >> k & 1 else self.typed[at + k])) * _PRIME
+                h ^= h >> np.uint64(29)
+            yield at, mask, h
+
+    def slots(self, start: int, size: int, mask: int) -> list[str]:
         """The slots' values as kind and word, in order."""
-        return [f"{k}{self.values[c]}" for k, c in zip(self.kind[start : start + size].tolist(), self.codes[start : start + size].tolist()) if k]
+        kinds = [3 if mask >> k & 1 else x for k, x in enumerate(self.kind[start : start + size].tolist())]
+        return [f"{k}{self.values[c]}" for k, c in zip(kinds, self.codes[start : start + size].tolist()) if k]
 
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -88,8 +106,7 @@ def _template_rows(tables: Iterator[pa.RecordBatch], sizes: list[int], own_size:
         t = Templates(batch.column(1))
         ids = batch.column(0).to_pylist()
         out: list[list] = [[], [], [], [], []]
-        for size in sizes:
-            at, hashes = t.windows(size)
+        for size, (at, mask, hashes) in ((size, x) for size in sizes for x in t.windows(size)):
             if own_size:
                 ok = (size == sizes[-1]) | (t.counts[t.owner[at]] == size)
             elif wanted is not None:
@@ -98,7 +115,7 @@ def _template_rows(tables: Iterator[pa.RecordBatch], sizes: list[int], own_size:
                 ok = np.ones(len(at), bool)
             for k, h in zip(at[ok].tolist(), hashes[ok].astype(np.int64).tolist()):
                 text = int(t.owner[k])
-                for column, x in zip(out, (ids[text], k - int(t.first[text]), size, h, t.slots(k, size))):
+                for column, x in zip(out, (ids[text], k - int(t.first[text]), size, h, t.slots(k, size, mask))):
                     column.append(x)
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.string()))
         yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(out, kinds)], ["id", "start", "size", "hash", "slots"])
@@ -114,14 +131,16 @@ def item_windows(benchmark: DataFrame, window: int = 8, shortest: int = 5) -> Da
     return rows.mapInArrow(lambda b: _template_rows(b, sizes, True, None), _ROWS)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, shortest: int = 5, coverage: float = 0.5, max_broadcast: int = 1_000_000) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, shortest: int = 5, coverage: float = 0.5, max_broadcast: int = 1_000_000, shift: int = 4) -> DataFrame:
     """(doc_id, item_id, matched, windows, coverage) for every document that holds an item, whole or in good part.
 
     A document holds an item if the windows of the item that match it, by template and with consistent slots, are
     at least `coverage` of all the item's windows. Slots are consistent if each item value stands for one document
-    value throughout. Up to max_broadcast distinct window hashes are sent to all tasks, which then drop other
+    value throughout the document, or throughout one occurrence: windows whose places, document less item, follow
+    each other by `shift` words or fewer. Up to max_broadcast distinct window hashes are sent to all tasks, which then drop other
     windows before the join; beyond that all windows are shuffled and give the same rows. Case and marks around
-    words don't count; a name at a sentence's start is an ordinary word. Items of under `shortest` words or null
+    words don't count; a capitalised word at a sentence's start is read both
+    as an ordinary word and as a name. Items of under `shortest` words or null
     text match nothing; null and empty texts hold nothing; a null doc_id or item_id never joins a pair; rows of
     one doc_id count as one document; of equal item ids all texts count as one item.
     """
@@ -133,17 +152,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, shortest: int
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).where("id is not null")
     found = rows.mapInArrow(lambda b: _template_rows(b, sizes, False, wanted), _ROWS)
     left = items.select(F.col("id").alias("item_id"), F.col("start").alias("item_start"), "size", "hash", F.col("slots").alias("slots_item"))
-    right = found.select(F.col("id").alias("doc_id"), "size", "hash", F.col("slots").alias("slots_doc")).distinct()
+    right = found.select(F.col("id").alias("doc_id"), F.col("start").alias("doc_start"), "size", "hash", F.col("slots").alias("slots_doc")).distinct()
     met = right.join(F.broadcast(left) if wanted is not None else left, ["hash", "size"]).where("item_id is not null")
-    met = materialise(met.select("doc_id", "item_id", "item_start", "slots_item", "slots_doc"))
-    # The document value that an item value stands for is the one that most of its windows show.
-    pairs = met.select("doc_id", "item_id", "item_start", F.explode(F.arrays_zip("slots_item", "slots_doc")).alias("p"))
-    votes = pairs.groupBy("doc_id", "item_id", F.col("p.slots_item").alias("a"), F.col("p.slots_doc").alias("b")).agg(F.countDistinct("item_start").alias("n"))
-    usual = votes.groupBy("doc_id", "item_id", "a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-    maps = usual.groupBy("doc_id", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("to"))
-    joined = met.join(maps, ["doc_id", "item_id"], "left")
+    met = materialise(met.select("doc_id", "item_id", "item_start", (F.col("doc_start") - F.col("item_start")).alias("offset"), "slots_item", "slots_doc"))
+    along = Window.partitionBy("doc_id", "item_id").orderBy("offset")
+    met = met.withColumn("far", (F.col("offset") - F.lag("offset", 1).over(along) > shift).cast("int"))
+    met = met.withColumn("occurrence", F.coalesce(F.sum("far").over(along), F.lit(0)))
+    # Occurrence -1 is the whole document.
+    met = met.withColumn("occurrence", F.explode(F.array(F.lit(-1).cast("long"), F.col("occurrence").cast("long")))).drop("far", "offset").distinct()
+    # The document value that an item value stands for is the one that most of an occurrence's windows show.
+    of = ["doc_id", "item_id", "occurrence"]
+    pairs = met.select(*of, "item_start", F.explode(F.arrays_zip("slots_item", "slots_doc")).alias("p"))
+    votes = pairs.groupBy(*of, F.col("p.slots_item").alias("a"), F.col("p.slots_doc").alias("b")).agg(F.countDistinct("item_start").alias("n"))
+    usual = votes.groupBy(*of, "a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+    maps = usual.groupBy(*of).agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("to"))
+    joined = met.join(maps, of, "left")
     agree = F.coalesce(F.forall(F.arrays_zip("slots_item", "slots_doc"), lambda p: F.col("to")[p["slots_item"]] == p["slots_doc"]), F.lit(True))
-    good = joined.where(agree).groupBy("doc_id", "item_id").agg(F.countDistinct("item_start").alias("matched"))
+    good = joined.where(agree).groupBy(*of).agg(F.countDistinct("item_start").alias("matched"))
+    good = good.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
     whole = items.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("start").alias("windows"))
     share = good.join(whole, "item_id").withColumn("coverage", F.col("matched") / F.col("windows"))
     return share.where(F.col("coverage") >= coverage).select("doc_id", "item_id", "matched", "windows", "coverage")

@@ -288,6 +288,25 @@ def test_decontamination(spark, odd):
     assert decontamination.leaks(odd.limit(0), bench).count() == 0 and decontamination.leaks(odd, bench.limit(0)).count() == 0
 
 
+def test_decontamination_starts_and_variants(spark):
+    items = [
+        (1, "Anna has 5 red apples in a bag. Bob gives her 3 more apples from the tree. Carol eats 2 of them after the lunch."),
+        (2, "Seven plain words stand in here now"),
+        (3, "a train of 5 cars goes along the old river for 5 hours and then it stops"),
+    ]
+    texts = [
+        "Maria has 7 red apples in a bag. Peter gives her 4 more apples from the tree. Susan eats 6 of them after the lunch.",
+        "and so Seven plain words stand in here now again",
+        "a train of 9 cars goes along the old river for 9 hours and then it stops. a train of 8 cars goes along the old river for 8 hours and then it stops.",
+        "a train of 9 cars goes along the old river for 8 hours and then it stops.",
+        "seven plain words stand in here now and Anna is at home",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in decontamination.leaks(docs, bench, coverage=0.8).collect()}
+    assert got == {(0, 1): 1.0, (1, 2): 1.0, (2, 3): 1.0, (4, 2): 1.0}
+
+
 def test_mixing(spark, odd):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = mixing.mixture(docs, labels)
