@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 import numpy as np
@@ -94,22 +95,34 @@ def posteriors(docs: DataFrame, labels: DataFrame, train_rows: int = 6000, lexic
     return rows.drop(*(f"_b_{k}" for k in BINS), *(f"_{x}{d}" for x in "se" for d in range(len(DOMAINS))))
 
 
-def rates(rows: DataFrame, targets: dict[str, float] = TARGETS, rounds: int = 30, tolerance: float = 1e-6) -> DataFrame:
+def _inverse(gram: np.ndarray, ridge: float = 0.01) -> np.ndarray:
+    """Inverse of a Gram matrix with each domain scaled to its own entry, so that rare domains count alike.
+
+    The ridge leaves the fixed point alone and keeps domains that can't be told apart from outweighing the others.
+    """
+    own = np.sqrt(np.diag(gram))
+    scale = np.divide(1.0, own, out=np.zeros_like(own), where=own > 0)
+    return scale[:, None] * np.linalg.inv(gram * np.outer(scale, scale) + ridge * np.eye(len(gram))) * scale
+
+
+def rates(rows: DataFrame, targets: dict[str, float] = TARGETS, rounds: int = 60, tolerance: float = 1e-6) -> DataFrame:
     """rows (n_tokens, p_<domain>) with `rate`, nonnegative, so that expected domain tokens come to the targets.
 
     Least squares over all documents' rates, weighted by tokens and started from 1, by projected gradient steps:
     a step moves each rate by its posteriors times a vector of one number per domain and cuts it off at 0. The
     driver sees the domains' totals and their Gram matrix; a document's rate is the fold of the steps so far, so
-    nothing per document is kept between passes. Targets are shares of the present tokens. A direction that under
-    1 % of the Gram matrix's largest eigenvalue can serve (a domain that hardly any token is likely in) stays unmet.
+    nothing per document is kept between passes. Targets are shares of the present tokens. Steps end when each
+    domain is within tolerance of its target, relative to it; if `rounds` steps don't come there, or eight gain
+    less than 1 % (a domain no token is likely in), a RuntimeWarning gives what each domain misses.
     """
     names = list(targets)
     p = [F.col(f"p_{x}") for x in names]
     gram = rows.agg(*(F.sum(F.col("n_tokens") * a * b) for a in p for b in p), F.sum("n_tokens")).first()
     total = gram[len(p) ** 2] or 0
     goal = np.array([targets[x] for x in names]) / sum(targets.values()) * total
-    inverse = np.linalg.pinv(np.array([x or 0.0 for x in gram[: len(p) ** 2]]).reshape(len(p), len(p)), rcond=0.01)
+    inverse = _inverse(np.array([x or 0.0 for x in gram[: len(p) ** 2]]).reshape(len(p), len(p)))
     steps: list[list[float]] = []
+    record: list[float] = []
 
     def rate() -> Column:
         if not steps:
@@ -118,10 +131,17 @@ def rates(rows: DataFrame, targets: dict[str, float] = TARGETS, rounds: int = 30
         path = F.array(*(F.array(*map(F.lit, s)) for s in steps))
         return F.aggregate(path, F.lit(1.0), lambda r, s: F.greatest(r - dot(s), F.lit(0.0)))
 
-    for _ in range(rounds):
+    while True:
         now = np.array([x or 0.0 for x in rows.agg(*(F.sum(F.col("n_tokens") * a * rate()) for a in p)).first()])
+        missed = np.abs(now - goal) / np.where(goal > 0, goal, max(total, 1))
         step = inverse @ (now - goal)
-        if np.abs(step).max() <= tolerance:
+        if missed.max() <= tolerance:
+            break
+        record.append(missed.max())
+        stuck = len(record) > 8 and min(record[-8:]) > 0.99 * min(record[:-8])
+        if len(steps) == rounds or stuck or np.abs(step).max() <= 1e-12:
+            said = ", ".join(f"{x} {a / max(total, 1):.6g} for {b / max(total, 1):.6g}" for x, a, b in zip(names, now, goal))
+            warnings.warn(f"mixing targets not met after {len(steps)} steps (share reached for share wanted): {said}", RuntimeWarning, stacklevel=2)
             break
         steps.append([float(x) for x in step])
     return rows.withColumn("rate", rate())

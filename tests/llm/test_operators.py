@@ -318,6 +318,19 @@ def test_mixing(spark, odd):
     assert mixing.mixture(odd.limit(0), labels).count() == 0 and mixing.mix(odd, labels).columns == odd.columns
 
 
+def test_mixing_rare_domain(spark):
+    likely = [(0.97, 0.029, 0.001)] * 950 + [(0.08, 0.919, 0.001)] * 48 + [(0.1, 0.1, 0.8)] * 2
+    rows = spark.createDataFrame([(100, *p) for p in likely], "n_tokens long, p_clean double, p_low_quality double, p_toxic double")
+    assert sum(p[2] for p in likely) / len(likely) < 0.003
+    got = mixing.rates(rows).agg(F.sum("n_tokens"), *(F.sum(F.col("n_tokens") * F.col(f"p_{x}") * F.col("rate")) for x in mixing.DOMAINS), F.min("rate")).first()
+    for x, share in zip(mixing.DOMAINS, got[1:4]):
+        assert abs(share / got[0] - mixing.TARGETS[x]) < 1e-5
+    assert got[4] >= 0
+    none = rows.withColumns({"p_clean": F.col("p_clean") + F.col("p_toxic"), "p_toxic": F.lit(0.0)})
+    with pytest.warns(RuntimeWarning, match="toxic 0 for 0.05"):
+        assert mixing.rates(none).count() == 1000
+
+
 def test_toxicity_held_out(spark, odd):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     insults = "idiot moron clown trash".split()
