@@ -21,9 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one of our own only where the session names none, as in tests."""
+    """The cluster's shared folder, spark.checkpoint.dir. A session of one machine (local master) that names none
+    gets a folder of its own; on a cluster that is an error, as executors don't see each other's disks."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="spark-meridian-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -34,7 +37,25 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/meridian-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete what materialise() wrote for df, once nothing reads it any more."""
+    if df is not None and (where := getattr(df, "written_to", None)):
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(where)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_of(name: str = "text") -> Column:

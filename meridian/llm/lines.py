@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import NO_ID, materialise, text_of
+from meridian.llm.common import NO_ID, materialise, text_of, unused
 
 #: Characters whose parities of occurrence sift pairs: one edit changes two at most.
 SIFT = " etaonirshdlucmfwgybpvkzj,."
@@ -22,49 +22,46 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _segment(length: Column, k: Column, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment k of a line of some length cut into edits + 1 even segments."""
-    n, short = edits + 1, F.floor(length / (edits + 1)).cast("int")
-    longer = length - short * n  # so many segments at the end have one character more
-    size = short + F.when(k >= n - longer, 1).otherwise(0)
-    return short * k + F.greatest(k - (n - longer), F.lit(0)), size
+def allowed(length: Column, edits: int, per: int) -> Column:
+    """Edits at which a line counts as near one of some length or more: one for each `per` characters, `edits` at most."""
+    return F.least(F.floor(length / per), F.lit(edits)).cast("int")
 
 
-def _keys(rows: DataFrame, spots: list[tuple[int, int, int]], edits: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """rows (line, length) once for each spot that lies inside the line, with the key of the substring there.
+def _segment(length: Column, k: Column, count: Column) -> tuple[Column, Column]:
+    """Start (from 0) and length of segment k of a line of some length cut into `count` even segments."""
+    short = F.floor(length / count).cast("int")
+    first_longer = count - (length - short * count)  # segments from here on have one character more
+    return short * k + F.greatest(k - first_longer, F.lit(0)), short + F.when(k >= first_longer, 1).otherwise(0)
 
-    Spot (k, d, s) is where segment k of a line d characters shorter lies, moved by s; the key stands for segment
-    number, the shorter line's length and the text; keep names the parts of the spot that stay. One small expression serves all spots, as the row's own
-    columns: spelt out spot by spot it grew past what the JVM compiles.
-    """
-    at = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(d).alias("d"), F.lit(s).alias("s")) for k, d, s in spots))
-    rows = rows.select("*", F.explode(at).alias("_at")).select("*", "_at.*").drop("_at")
-    start, size = _segment(F.col("length") - F.col("d"), F.col("k"), edits)
-    rows = rows.withColumn("_from", start + F.col("s")).withColumn("_size", size)
-    rows = rows.where("_from >= 0 AND _from + _size <= length")
-    key = F.xxhash64("k", F.col("length") - F.col("d"), F.substring("line", F.col("_from") + 1, F.col("_size")))
-    return rows.withColumn("key", key).drop(*({"k", "d", "s"} - set(keep)), "_from", "_size")
 
+def _spots(e: int) -> list[tuple[int, int, int, int]]:
+    """(e, k, d, s): where segment k of a line d characters shorter can lie, moved by s, if e edits part the lines.
 
-def index_keys(rows: DataFrame, edits: int) -> DataFrame:
-    """rows (line, length) once for each of the edits + 1 segments, with its key."""
-    return _keys(rows, [(k, 0, 0) for k in range(edits + 1)], edits)
+    Left of a match there are k edits at most and right of it e - k at most, which bounds s (the multi-match-aware
+    choice).
+    """
+    return [(e, k, d, s) for d in range(e + 1) for k in range(e + 1) for s in range(max(-k, d - (e - k)), min(k, d + (e - k)) + 1)]
 
 
-def probe_keys(rows: DataFrame, edits: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """rows (line, length) once for each substring that can equal a segment of an indexed line up to `edits`
-    characters shorter, with its key.
+def probe_keys(rows: DataFrame, edits: int, per: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """rows (line, length) once for each spot that lies inside the line, with the key of the substring there.
 
-    For segment k and a difference d in lengths, a match left of which there are k - 1 edits at most and right of
-    which there are edits - k at most starts between the bounds below (the multi-match-aware choice).
+    A shorter line of length n is cut into allowed(n) + 1 segments; the key stands for n, segment number and text.
+    Spots with d = s = 0 are the line's own segments, its index keys; keep names the parts of the spot that stay.
+    One small expression serves all spots, as the row's own columns: spelt out spot by spot it grew past what the
+    JVM compiles.
     """
-    spots = [
-        (k, d, s)
-        for d in range(edits + 1)
-        for k in range(edits + 1)
-        for s in range(max(-k, d - (edits - k)), min(k, d + (edits - k)) + 1)
-    ]
-    return _keys(rows, spots, edits, keep)
+    cells = lambda spots: F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip("ekds", x))) for x in spots))
+    fits = lambda x: allowed(F.col("length") - x["d"], edits, per) == x["e"]
+    every = F.filter(cells([x for e in range(1, edits + 1) for x in _spots(e)]), fits)
+    at = F.when(F.col("length") >= (per + 1) * edits, cells(_spots(edits))).otherwise(every)
+    rows = rows.select("*", F.explode(at).alias("_at")).select("*", "_at.*").drop("_at")
+    shorter = F.col("length") - F.col("d")
+    start, size = _segment(shorter, F.col("k"), F.col("e") + 1)
+    rows = rows.withColumn("_from", start + F.col("s")).withColumn("_size", size)
+    rows = rows.where((F.col("_from") >= 0) & (F.col("_from") + F.col("_size") <= F.col("length")))
+    key = F.xxhash64("k", shorter, F.substring("line", F.col("_from") + 1, F.col("_size")))
+    return rows.withColumn("key", key).drop(*({"e", "k", "d", "s"} - set(keep)), "_from", "_size")
 
 
 def parities(line: Column) -> Column:
@@ -73,6 +70,15 @@ def parities(line: Column) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(number(c).bitwiseAND(1), k) for k, c in enumerate(SIFT)))
 
 
+def pair_parities(line: Column) -> Column:
+    """64 bits: how often pairs of neighbouring characters that hash to a bit occur, odd or not. One edit takes two
+    pairs away and adds two at most."""
+    flip = lambda bits, a, b: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(a, b), F.lit(64)).cast("int")))
+    start = F.struct(F.lit("").alias("last"), F.lit(0).cast("long").alias("bits"))
+    step = lambda state, c: F.struct(c.alias("last"), flip(state["bits"], state["last"], c).alias("bits"))
+    return F.aggregate(F.split(line, ""), start, step, lambda state: state["bits"])
+
+
 def _let(value: Column, body) -> Column:
     """body(value) with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -119,73 +125,106 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.when((F.abs(n - m) <= edits) & (distance <= edits), distance)
 
 
-def meeting_keys(lines: DataFrame, edits: int) -> DataFrame:
+def meeting_keys(lines: DataFrame, edits: int, per: int) -> DataFrame:
     """Keys that two different lines (line, length, h1) share, one of them as an index key.
 
-    A line's index keys are its probe keys at the spots (k, 0, 0), so probe keys alone are counted. Equal lines give
-    equal rows, which partial aggregation merges before the one shuffle; a common key costs one row per task.
+    Equal lines give equal rows, which partial aggregation merges before the one shuffle; a common key costs one row
+    per task.
     """
-    counted = probe_keys(lines, edits, keep=("d", "s")).groupBy("key")
+    counted = probe_keys(lines, edits, per, keep=("d", "s")).groupBy("key")
     counted = counted.agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max((F.col("d") == 0) & (F.col("s") == 0)).alias("indexed"))
     return counted.where("low <> high AND indexed").select("key")
 
 
-def similar_pairs(lines: DataFrame, edits: int = 2, shortest: int = 40, max_broadcast: int = 500_000) -> DataFrame:
-    """(a1, a2, b1, b2): pairs of different lines of `shortest` characters or more, by their two hashes, that are
-    within `edits` edits of each other; each pair once.
+def _near_earlier(pairs: DataFrame, texts: DataFrame, edits: int, per: int) -> DataFrame:
+    """h1, h2 of the lines b of pairs (a, b), by h1, that are near their a."""
+    pairs = materialise(pairs.distinct())
+    side = lambda x: texts.select(F.col("h1").alias(x), F.col("h2").alias(f"{x}2"), F.col("line").alias(f"{x}_line"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    most = allowed(F.least(F.length("a_line"), F.length("b_line")), edits, per)
+    return materialise(both.where(banded_distance(F.col("a_line"), F.col("b_line"), edits) <= most).select(F.col("b").alias("h1"), F.col("b2").alias("h2")).distinct())
+
+
+def near_lines(lines: DataFrame, edits: int = 2, per: int = 10, max_broadcast: int = 500_000) -> DataFrame:
+    """(h1, h2) of the distinct lines that come after another line within allowed() edits of theirs.
 
-    Counting first tells which keys different lines share, without making pairs. Lines that hold such a key (found
-    by a broadcast of these keys if there are at most max_broadcast) meet once with their character parities; pairs
-    of them that share a segment and whose parities allow so few edits are verified.
+    lines: line, h1, h2, place (what they are ordered by). Counting first tells which keys different lines share,
+    without making pairs. The lines at such a key (found by a broadcast of these keys if there are max_broadcast at
+    most) are first compared with the earliest line there alone. A line once found near an earlier one needs no
+    other; the rest meet at each key in pairs, but for those that parities of characters or of character pairs show
+    to be too far apart, and are verified. So a group of near copies of its earliest line costs no square.
     """
     length = F.length("line")
-    long = lines.where(length >= shortest).select("line", length.alias("length"), "h1", "h2")
-    keys = materialise(meeting_keys(long, edits))
+    long = lines.where(length >= per).select("line", length.alias("length"), "h1", "h2", "place")
+    keys = materialise(meeting_keys(long, edits, per))
     small = keys.limit(max_broadcast + 1).count() <= max_broadcast
-    texts = probe_keys(long, edits).join(F.broadcast(keys) if small else keys, "key", "left_semi")
-    texts = materialise(texts.select("h1", "h2", "line").distinct().withColumn("p", parities(F.col("line"))))
-    rows = texts.select("line", length.alias("length"), F.col("h1").alias("h"), "p")
-    index = index_keys(rows, edits).select("key", F.col("h").alias("ha"), F.col("p").alias("pa"))
-    probe = probe_keys(rows, edits).select("key", F.col("h").alias("hb"), F.col("p").alias("pb"))
-    near = (F.col("ha") != F.col("hb")) & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits)
-    met = probe.join(index, [probe["key"] == index["key"], near])
-    pairs = materialise(met.select(F.least("ha", "hb").alias("a1"), F.greatest("ha", "hb").alias("b1")).distinct())
-    side = lambda x: texts.select(F.col("h1").alias(f"{x}1"), F.col("h2").alias(f"{x}2"), F.col("line").alias(x))
-    both = pairs.join(side("a"), "a1").join(side("b"), "b1")
-    return both.where(banded_distance(F.col("a"), F.col("b"), edits).isNotNull()).select("a1", "a2", "b1", "b2")
-
-
-def repeated_lines(docs: DataFrame, edits: int = 2, shortest: int = 40) -> DataFrame:
+    at_keys = lambda rows, **more: probe_keys(rows, edits, per, **more).join(F.broadcast(keys) if small else keys, "key", "left_semi")
+    texts = at_keys(long).groupBy("h1", "h2", "line").agg(F.min("place").alias("place"))
+    texts = materialise(texts.withColumn("p", parities(F.col("line"))).withColumn("q", pair_parities(F.col("line"))))
+    rows = texts.select("line", length.alias("length"), F.col("h1").alias("h"), "place", "p", "q")
+    held = at_keys(rows, keep=("d", "s")).withColumn("own", (F.col("d") == 0) & (F.col("s") == 0))
+    held = materialise(held.groupBy("key", "h", "place", "p", "q").agg(F.max("own").alias("own")))
+    part = ("place", "h", "p", "q")
+    side = lambda x: held.select("key", *(F.col(c).alias(f"{c}_{x}") for c in (*part, "own")))
+    apart = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
+    near = (F.struct("place_a", "h_a") < F.struct("place_b", "h_b")) & (apart("p") <= 2 * edits) & (apart("q") <= 4 * edits)
+    one = F.struct(*part)
+    first = held.groupBy("key").agg(F.min(F.when(F.col("own"), one)).alias("own_first"), F.min(one).alias("any_first"))
+    # A key stands for a segment of one of the two lines, so one of them must own it.
+    met = side("b").join(first, "key").select("*", F.explode(F.array("own_first", F.when(F.col("own_b"), F.col("any_first")))).alias("_a"))
+    met = met.where("_a is not null").select("*", *(F.col(f"_a.{c}").alias(f"{c}_a") for c in part)).where(near)
+    settled = _near_earlier(met.select(F.col("h_a").alias("a"), F.col("h_b").alias("b")), texts, edits, per)
+    rest = side("b").join(settled.select(F.col("h1").alias("h_b")).distinct(), "h_b", "left_anti")
+    met = rest.join(side("a"), "key").where(near & (F.col("own_a") | F.col("own_b")))
+    return settled.union(_near_earlier(met.select(F.col("h_a").alias("a"), F.col("h_b").alias("b")), texts, edits, per))
+
+
+def _removals(docs: DataFrame, edits: int, per: int, most_hot: int = 2000) -> DataFrame:
+    """doc_id, n_lines, gone (array of line_no, h1: what goes) for every doc_id of docs."""
+    lines = lines_of(docs)
+    no_id = F.lit(str(NO_ID + 1)).cast("decimal(20,0)")
+    place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), no_id) * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")
+    lines = lines.withColumn("place", place.cast("decimal(31,0)"))
+    firsts = materialise(lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("n")))
+    near = near_lines(lines, edits, per).distinct().withColumn("near", F.lit(True))
+    marks = firsts.join(near, ["h1", "h2"], "left").where("near OR n > 1")
+    marks = materialise(marks.select("h1", "h2", "n", F.when(F.col("near").isNull(), F.col("first")).alias("first")))
+    # Lines that make up more than one in most_hot of all are most_hot at most; their marks go to every task.
+    often = (firsts.agg(F.sum("n")).first()[0] or 0) / most_hot
+    hot = marks.where(F.col("n") > often).select("h1", "h2", F.struct("first").alias("hot"))
+    rows = lines.select("doc_id", "line_no", "h1", "h2", "place").join(F.broadcast(hot), ["h1", "h2"], "left")
+    # Their rows are dealt out by place, to meet no mark in the join.
+    rows = rows.withColumn("k1", F.when(F.col("hot").isNull(), F.col("h1")).otherwise(F.xxhash64("place")))
+    rows = rows.join(marks.where(F.col("n") <= often).select(F.col("h1").alias("k1"), "h2", F.struct("first").alias("cold")), ["k1", "h2"], "left")
+    mark = F.coalesce("hot", "cold")
+    again = mark.isNotNull() & (mark["first"].isNull() | (F.col("place") != mark["first"]))
+    gone = F.when(again, F.struct("line_no", "h1"))
+    return rows.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sort_array(F.collect_list(gone)).alias("gone"))
+
+
+def repeated_lines(docs: DataFrame, edits: int = 2, per: int = 10) -> DataFrame:
     """doc_id, n_lines, n_removed, removed_lines (sorted numbers from 0) for every doc_id of docs (doc_id, text).
 
-    A line goes if an equal line, or one within `edits` edits, comes before it: in a smaller doc_id, or earlier in
-    the document. Lines under `shortest` characters go only if equal to an earlier one. Lines are judged on the
-    input, so a chain of small changes keeps only its first. A null or empty text is one empty line; a null doc_id
-    comes after all others; rows of one doc_id are one document whose lines bear their numbers in their row; an
-    empty table gives no rows.
+    A line goes if an equal or a near line comes before it: in a smaller doc_id, or earlier in the document. Near
+    are lines within one edit for each `per` characters of the shorter, `edits` edits at most; so a line under
+    `per` characters goes only if equal to an earlier one. Lines are judged on the input: what goes still stands
+    for those after it. A null or empty text is one empty line; a null doc_id comes after all others. Rows of one
+    doc_id are one document whose lines bear their numbers in their row; equal lines at one number of one doc_id
+    share a place, so neither goes for the other. An empty table gives no rows; other columns don't matter.
     """
-    lines = lines_of(docs)
-    place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(NO_ID + 1)).cast("decimal(20,0)")) * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")
-    place = place.cast("decimal(31,0)")
-    firsts = materialise(lines.groupBy("h1", "h2").agg(F.min(place).alias("first")))
-    pairs = similar_pairs(lines, edits, shortest)
-    for x in "ab":
-        pairs = pairs.join(firsts.select(F.col("h1").alias(f"{x}1"), F.col("h2").alias(f"{x}2"), F.col("first").alias(f"{x}_first")), [f"{x}1", f"{x}2"])
-    earlier = F.struct("a_first", "a1", "a2") < F.struct("b_first", "b1", "b2")
-    pick = lambda k: F.when(earlier, F.col(f"b{k}")).otherwise(F.col(f"a{k}")).alias(f"h{k}")
-    gone = pairs.select(pick(1), pick(2)).distinct().withColumn("gone", F.lit(True))
-    marks = firsts.join(gone, ["h1", "h2"], "left")
-    all_lines = lines.select("doc_id", "line_no", "h1", "h2").join(marks, ["h1", "h2"])
-    again = F.col("gone").isNotNull() | (place != F.col("first"))
-    number = F.when(again, F.col("line_no"))
-    return all_lines.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"), F.count(number).alias("n_removed"), F.sort_array(F.collect_list(number)).alias("removed_lines")
-    )
-
-
-def drop_repeated_lines(docs: DataFrame, **params) -> DataFrame:
-    """docs, all columns, with every line that repeated_lines() names taken out of the text."""
-    gone = repeated_lines(docs, **params).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.map_from_arrays("removed_lines", "removed_lines").alias("_gone"))
-    kept = F.filter(F.split("text", "\n"), lambda x, k: F.col("_gone").isNull() | ~F.map_contains_key("_gone", k))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left")
-    return joined.withColumn("text", F.when(F.col("text").isNotNull(), F.array_join(kept, "\n"))).select(*docs.columns)
+    found = _removals(docs, edits, per)
+    return found.select("doc_id", "n_lines", F.size("gone").cast("long").alias("n_removed"), F.col("gone.line_no").alias("removed_lines"))
+
+
+def drop_repeated_lines(docs: DataFrame, edits: int = 2, per: int = 10) -> DataFrame:
+    """docs, all columns, with every line that repeated_lines() names taken out of the text.
+
+    Of rows that share a doc_id each loses its own lines only. A null text stays null; a text of which all lines go
+    is empty.
+    """
+    key, gone = unused(docs, "_id"), unused(docs, "_gone")
+    found = _removals(docs, edits, per).where(F.size("gone") > 0).select(F.col("doc_id").alias(key), F.col("gone").alias(gone))
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(found[key]), "left")
+    kept = F.filter(F.split("text", "\n"), lambda x, k: ~F.array_contains(F.col(gone), F.struct(k.alias("line_no"), F.xxhash64(x).alias("h1"))))
+    text = F.when(F.col("text").isNotNull() & F.col(gone).isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text"))
+    return joined.withColumn("text", text).select(*docs.columns)
