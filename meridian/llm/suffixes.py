@@ -2,8 +2,10 @@
 
 A 50-byte string holds 35 grams of 16 bytes; the leftmost one of least hash is its anchor, so equal strings have
 equal anchors at equal places. Only anchors that two rows share can lead to a repeat. The strings of one anchor in
-one document form a segment of at most 84 bytes; segments meet by anchor, and suffix arrays over those that differ
-give each string's longest previous factor.
+one document form a segment of at most 84 bytes; segments meet by anchor. In suffix order, the common prefixes with
+the previous and the next smaller id give the longest previous factor where a segment starts; it shrinks by one at
+most from one start to the next, so it settles the starts that follow. The starts it leaves open get factors of their
+own.
 """
 
 from __future__ import annotations
@@ -77,18 +79,23 @@ def _nearest_smaller(values: np.ndarray, lcp: np.ndarray, least: int) -> np.ndar
     return np.where(point >= 0, near, 0)
 
 
-def previous_factors(windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Longest previous factor, up to the window's length, of each row of a byte matrix: the longest prefix that it
-    shares with a row of smaller id. Only factors of full length are exact; shorter ones may come out as 0."""
-    n, size = windows.shape
-    rows = np.ascontiguousarray(windows)
-    order = np.argsort(rows.view(f"S{size}").ravel(), kind="stable")
-    ranked = rows[order]
+def previous_factors(rows: np.ndarray, lengths: np.ndarray, ids: np.ndarray, least: int = 1) -> np.ndarray:
+    """Longest previous factor of each string: the longest prefix that it shares with one of smaller id.
+
+    Strings are rows of a byte matrix, padded with zeros after their lengths. Factors under `least` may come out as 0.
+    """
+    n, size = rows.shape
+    if not n:
+        return np.zeros(0, np.int64)
+    by_length = np.argsort(lengths, kind="stable")
+    order = by_length[np.argsort(np.ascontiguousarray(rows[by_length]).view(f"S{size}").ravel(), kind="stable")]
+    ranked, long = rows[order], lengths[order]
     differs = ranked[1:] != ranked[:-1]
-    lcp = np.r_[0, np.where(differs.any(axis=1), differs.argmax(axis=1), size)]
+    common = np.where(differs.any(axis=1), differs.argmax(axis=1), size)
+    lcp = np.r_[0, np.minimum(common, np.minimum(long[1:], long[:-1]))]
     values = ids[order]
-    before = _nearest_smaller(values, lcp, size)
-    after = _nearest_smaller(values[::-1], np.r_[0, lcp[1:][::-1]], size)[::-1]
+    before = _nearest_smaller(values, lcp, least)
+    after = _nearest_smaller(values[::-1], np.r_[0, lcp[1:][::-1]], least)[::-1]
     out = np.empty(n, np.int64)
     out[order] = np.maximum(before, after)
     return out
@@ -113,17 +120,23 @@ def _bytes_of(data: np.ndarray, first: np.ndarray, last: np.ndarray, window: int
     return rows, lengths
 
 
-def _same(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """A number for each segment, equal for equal bytes under equal anchors."""
-    wide = np.hstack([keys.view(np.uint8).reshape(len(keys), 8), rows])
-    return np.unique(np.ascontiguousarray(wide).view(f"V{wide.shape[1]}").ravel(), return_inverse=True)[1]
+def _row_hashes(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row of a byte matrix."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    h = np.full(len(rows), rows.shape[1], np.uint64)
+    for word in wide.view("<u8").T:
+        h = (h ^ word) * _MIX
+        h ^= h >> np.uint64(31)
+    return h
 
 
-def _covered(ids: np.ndarray, same: np.ndarray) -> np.ndarray:
-    """True where a row of smaller id has equal bytes."""
-    low = np.full(same.max(initial=-1) + 1, NO_ID)
-    np.minimum.at(low, same, ids)
-    return ids > low[same]
+def _split(owner: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each owner and the places it holds, after one sort."""
+    order = np.argsort(owner, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, np.diff(owner[order]) != 0]) if len(order) else []
+    for a, b in zip(cuts, [*cuts[1:], len(order)]):
+        yield int(owner[order[a]]), order[a:b]
 
 
 def _table(names: list[str], rows: list[tuple], kinds: tuple) -> pa.Table:
@@ -145,17 +158,18 @@ def _unpack(cells: pa.ChunkedArray, kind: type = np.int64) -> list[np.ndarray]:
 
 SHARED = "block long, keys binary"
 SENT = "bucket long, block long, keys binary, ids binary, texts binary, firsts binary, lengths binary, bytes binary"
-SPANS = "block long, texts binary, firsts binary, lasts binary"
+SPANS = "block long, texts binary, firsts binary, lengths binary"
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20, hot_blocks: int = 256) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay) for every row of docs.
 
     Texts are UTF-8 bytes, a null one is empty. A byte goes if a string of `window` bytes that covers it also
     starts in a row of smaller doc_id; strings are judged on the input. A null doc_id counts as larger than all
     others; rows of one doc_id don't remove each other's bytes; an empty table gives no rows. Rows are dealt into
-    blocks of about block_bytes by a hash of doc_id; a longer text makes its block longer. Equal segments meet
-    once a block and once an anchor, so a passage in many documents costs a row per block.
+    blocks of about block_bytes by a hash of doc_id; a longer text makes its block longer. A segment that repeats
+    one of its block is settled there, so a passage in many documents costs a row per block. Anchors of more than
+    hot_blocks blocks don't meet in one task: their strings are dealt out one by one, by their own hashes.
     """
     if not GRAM < window <= 4096:
         raise ValueError(f"window must be over {GRAM}, and 4096 at most")
@@ -166,11 +180,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
     deal = lambda keys: (keys >> np.uint64(8)) % np.uint64(n_blocks)
 
     def by_bucket(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        bucket = deal(keys)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else []
-        for a, b in zip(cuts, [*cuts[1:], len(order)]):
-            yield int(bucket[order[a]]), order[a:b]
+        return _split(deal(keys).astype(np.int64))
 
     def anchors(table: pa.Table) -> pa.Table:
         """The block's distinct anchors by bucket; the lowest bit of a key tells that two rows of the block have it."""
@@ -186,19 +196,19 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
         return _table(["bucket", "block", "keys"], [(b, block, distinct[k].tobytes()) for b, k in by_bucket(distinct)], (LONG, LONG, BLOB))
 
     def shared(table: pa.Table) -> pa.Table:
-        """For each block those of its anchors that two rows have."""
+        """For each block those of its anchors that two rows have; the lowest bit of a key marks the hot ones."""
         parts = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
         keys, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
         flagged, keys = (keys & np.uint64(1)).astype(bool), keys >> np.uint64(1)
-        _, same, number = np.unique(keys, return_inverse=True, return_counts=True)
-        number = number + np.bincount(same, weights=flagged, minlength=len(number)).astype(np.int64)
+        _, same, held = np.unique(keys, return_inverse=True, return_counts=True)
+        number = held + np.bincount(same, weights=flagged, minlength=len(held)).astype(np.int64)
         good = number[same] > 1
+        marked = ((keys << np.uint64(1)) | (held[same] > hot_blocks).astype(np.uint64))[good]
         names = table["block"].to_pylist()
-        out = [(names[k], keys[good & (owner == k)]) for k in np.unique(owner[good]).tolist()]
-        return _table(["block", "keys"], [(b, (x << np.uint64(1)).tobytes()) for b, x in out], (LONG, BLOB))
+        return _table(["block", "keys"], [(names[k], marked[at].tobytes()) for k, at in _split(owner[good])], (LONG, BLOB))
 
     def candidates(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
-        """The block's segments at shared anchors; equal ones are settled here but for those of the smallest id."""
+        """The block's segments at shared anchors; what repeats a segment of the block is settled here."""
         if not table.num_rows or not known.num_rows:
             return _table(SENT_NAMES, [], SENT_KINDS)
         block = table["block"][0].as_py()
@@ -207,23 +217,32 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
         keys, text, first, last = segments(data, bounds, window)
         keys = keys >> np.uint64(1) << np.uint64(1)
         near = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-        keep = wanted[near] == keys
-        keys, text, first, last = keys[keep], text[keep], first[keep], last[keep]
+        hot = (wanted[near] & np.uint64(1)).astype(bool)
+        keep = wanted[near] >> np.uint64(1) == keys >> np.uint64(1)
+        keys, text, first, last, hot = keys[keep], text[keep], first[keep], last[keep], hot[keep]
         if not len(keys):
             return _table(SENT_NAMES, [], SENT_KINDS)
         rows, lengths = _bytes_of(data, first, last, window)
-        settled = _covered(numbers[text], _same(rows, keys))
-        first, last = first - bounds[text], last - bounds[text]
-        out = [(-1, block, b"", b"", *(_pack(x[settled]) for x in (text, first, last)), b"")]
-        left = np.flatnonzero(~settled)
-        for bucket, k in by_bucket(keys[left]):
-            k = left[k]
-            whole = rows[k][np.arange(rows.shape[1]) < lengths[k, None]]
-            out.append((bucket, block, keys[k].tobytes(), *(_pack(x[k]) for x in (numbers[text], text, first, lengths)), _pack(whole)))
+        settled = previous_factors(rows, lengths, numbers[text], window) >= lengths
+        whole = np.flatnonzero(settled)
+        out = [(-1, block, b"", b"", *(_pack(x[whole]) for x in (text, first - bounds[text], lengths)), b"")]
+        single = np.flatnonzero(~settled & hot)
+        left = np.flatnonzero(~settled & ~hot)
+        parts = [(keys[left], text[left], first[left], lengths[left])]
+        if len(single):
+            windows = lengths[single] - window + 1
+            which = np.repeat(single, windows)
+            at = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
+            parts.append((_row_hashes(data[at[:, None] + np.arange(window)]), text[which], at, np.full(len(which), window)))
+        keys, text, first, lengths = (np.concatenate(x) for x in zip(*parts))
+        for bucket, k in by_bucket(keys):
+            rows, _ = _bytes_of(data, first[k], first[k] + lengths[k] - window, window)
+            held = rows[np.arange(rows.shape[1]) < lengths[k, None]]
+            out.append((bucket, block, keys[k].tobytes(), *(_pack(x) for x in (numbers[text[k]], text[k], first[k] - bounds[text[k]], lengths[k])), _pack(held)))
         return _table(SENT_NAMES, out, SENT_KINDS)
 
     def factors(key: tuple, table: pa.Table) -> pa.Table:
-        """Repeats among a bucket's segments, as spans of window starts by block."""
+        """Repeats among a bucket's segments, as runs of window starts by block."""
         if key[0].as_py() < 0:
             return table.select(["block", "texts", "firsts", "lengths"]).rename_columns(SPAN_NAMES)
         parts = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
@@ -233,35 +252,38 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
         data = np.concatenate(_unpack(table["bytes"], np.uint8))
         offset = np.cumsum(lengths) - lengths
         rows, _ = _bytes_of(data, offset, offset + lengths - window, window)
-        settled = _covered(ids, _same(rows, keys))
-        spans = [(owner[settled], text[settled], first[settled], first[settled] + lengths[settled] - window)]
-        # What is left has the smallest id among its equals; anchors with segments that differ need suffix order.
-        left = np.flatnonzero(~settled)
+        factor = previous_factors(rows, lengths, ids, window)
+        hit = factor >= window
+        spans = [(owner[hit], text[hit], first[hit], factor[hit])]
+        # A string of smallest id is never among the settled ones, so the starts left open meet it among their like.
+        left = np.flatnonzero(factor < lengths)
         _, at, number = np.unique(keys[left], return_inverse=True, return_counts=True)
         left = left[number[at] > 1]
         if len(left):
-            windows = lengths[left] - window + 1
+            skip = np.maximum(factor[left] - window + 1, 0)
+            windows = lengths[left] - window + 1 - skip
             which = np.repeat(left, windows)
-            step = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
-            hit = previous_factors(data[(offset[which] + step)[:, None] + np.arange(window)], ids[which]) >= window
-            which, step = which[hit], step[hit]
+            step = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows - skip, windows)
+            size = np.full(len(which), window)
+            again = previous_factors(data[(offset[which] + step)[:, None] + np.arange(window)], size, ids[which], window) >= window
+            which, step = which[again], step[again]
             if len(which):
                 new = np.flatnonzero(np.r_[True, (which[1:] != which[:-1]) | (step[1:] != step[:-1] + 1)])
                 final = np.r_[new[1:], len(which)] - 1
                 w = which[new]
-                spans.append((owner[w], text[w], first[w] + step[new], first[w] + step[final]))
-        owner, text, first, last = (np.concatenate(x) for x in zip(*spans))
+                spans.append((owner[w], text[w], first[w] + step[new], step[final] - step[new] + window))
+        owner, text, first, long = (np.concatenate(x) for x in zip(*spans))
         names = table["block"].to_pylist()
-        out = [(names[k], *(_pack(x[owner == k]) for x in (text, first, last))) for k in np.unique(owner).tolist()]
+        out = [(names[k], *(_pack(x[at]) for x in (text, first, long))) for k, at in _split(owner)]
         return _table(SPAN_NAMES, out, (LONG, BLOB, BLOB, BLOB))
 
     def cut(key: tuple, table: pa.Table, spans: pa.Table) -> pa.Table:
         """Each row without its repeated bytes."""
         ids, texts, _, data, bounds = _block(table)
         turn = np.zeros(len(data) + 1, np.int32)
-        for text, first, last in zip(*(_unpack(spans[x]) for x in SPAN_NAMES[1:])):
+        for text, first, length in zip(*(_unpack(spans[x]) for x in SPAN_NAMES[1:])):
             np.add.at(turn, bounds[text] + first, 1)
-            np.add.at(turn, bounds[text] + last + window, -1)
+            np.add.at(turn, bounds[text] + first + length, -1)
         gone = np.cumsum(turn[:-1]) > 0
         out = []
         for k, text in enumerate(texts):

@@ -153,13 +153,28 @@ def brute_repeats(rows, window=50):
 
 def test_suffix_repeats(spark, odd):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    for df in (docs, odd):
-        for block in (20_000, 4 << 20):
-            got = suffixes.remove_repeats(df, block_bytes=block).drop("kept").collect()
-            assert sorted((-1 if r[0] is None else r[0], *r[1:]) for r in got) == brute_repeats(pairs(df))
+    rng = random.Random(8)
+    near = lambda: "".join(rng.choice("ab") for _ in range(rng.randint(0, 9)))  # noqa: E731  one passage, contexts that differ
+    mixed = spark.createDataFrame([(k, near() + "a common passage of some length" + near() + "ab" * rng.randint(0, 40)) for k in range(80)], "doc_id long, text string")
+    for df in (docs, odd, mixed):
+        want = brute_repeats(pairs(df))
+        for block, hot in ((20_000, 256), (4 << 20, 256), (500 if df is mixed else 20_000, 0)):
+            got = suffixes.remove_repeats(df, block_bytes=block, hot_blocks=hot).drop("kept").collect()
+            assert sorted((-1 if r[0] is None else r[0], *r[1:]) for r in got) == want
     assert suffixes.remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_previous_factors():
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 99, rng.integers(1, 9)).astype(np.uint8)) + b"\0" * int(rng.integers(0, 2)) for _ in range(120)]
+    ids = rng.integers(0, 40, len(texts))
+    size = max(map(len, texts))
+    rows = np.frombuffer(b"".join(t.ljust(size, b"\0") for t in texts), np.uint8).reshape(-1, size)
+    common = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    want = [max((common(t, u) for u, j in zip(texts, ids) if j < i), default=0) for t, i in zip(texts, ids)]
+    assert suffixes.previous_factors(rows, np.array([len(t) for t in texts]), ids).tolist() == want
+
+
 def test_packing_round_trip(spark, odd):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     got = packing.pack_tokens(odd, path, seq_len=256, buffer_tokens=2000).collect()
@@ -200,9 +215,28 @@ def test_token_counts(spark, odd):
     path = public_tokenizers.path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
-    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in token_counts.token_counts(docs, path).collect())
     n = lambda t: len(tok.encode(t, add_special_tokens=False))
-    assert got == sorted((i is None, i or 0, len(t.encode()), n(t), n(t) > 2048) for i, t in pairs(docs))
+    want = sorted((i is None, i or 0, len(t.encode()), n(t), n(t) > 2048) for i, t in pairs(docs))
+    for most in (200_000, 5):
+        got = token_counts.token_counts(docs, path, most_frequent=most).collect()
+        assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in got) == want
+    assert token_counts.token_counts(docs.limit(0), path).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_token_counts_other_files(spark, name):
+    path = public_tokenizers.path(name)
+    counter = token_counts.PieceCounter(path)
+    docs = spark.createDataFrame([(1, "Two  words\nhere"), (2, None), (3, "Two  words\nhere")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, path).collect()}
+    assert got == {1: counter.count(["Two  words\nhere"])[0], 2: 0, 3: counter.count(["Two  words\nhere"])[0]}
+
+
+def test_pre_tokens_are_counted_once(spark):
+    docs = spark.createDataFrame([(k, "the cat, the dog; the end") for k in range(9)], "doc_id long, text string")
+    rows = token_counts.pre_token_frequencies(docs, public_tokenizers.path("word_bpe_49k.json"))
+    first = rows.first()
+    assert dict(zip(first["pre_tokens"], first["counts"])) == {"the": 3, "cat": 1, ",": 1, "dog": 1, ";": 1, "end": 1}
 
 
 def base_counts(text):
