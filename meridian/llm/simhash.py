@@ -11,11 +11,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import materialise, pieces, text_of
+from meridian.llm.common import discard, materialise, pieces, text_of, unused
 
 BITS = 64
 
 
+def majority_bits(values: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each owner (0, 1, ... in order, with so many values) the bits that over half of its values have set."""
+    out = np.zeros((len(counts), BITS), dtype=np.int64)
+    step = 1 << 16
+    for at in range(0, len(values), step):
+        bits = np.unpackbits(np.ascontiguousarray(values[at : at + step]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        own = owner[at : at + step]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        np.add.at(out, own[first], np.add.reduceat(bits, first, axis=0, dtype=np.int32))
+    return np.packbits(2 * out > counts[:, None], axis=1, bitorder="little").view("<i8").ravel()
+
+
 def _fingerprints(texts: list[bytes], width: int) -> np.ndarray:
     """A 64-bit fingerprint per text, as signed numbers: a bit is set if set in over half the shingles' hashes."""
     from xxhash import xxh64_intdigest as digest
@@ -35,16 +47,7 @@ def _fingerprints(texts: list[bytes], width: int) -> np.ndarray:
         ends = starts[width:] - 1
         hashes += [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends.tolist())]
         counts[k] = len(ends)
-    out = np.zeros((len(texts), BITS), dtype=np.int64)
-    values = np.array(hashes, dtype="<u8")
-    owner = np.repeat(np.arange(len(texts)), counts)
-    step = 1 << 16
-    for at in range(0, len(values), step):
-        bits = np.unpackbits(values[at : at + step].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        own = owner[at : at + step]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        np.add.at(out, own[first], np.add.reduceat(bits, first, axis=0, dtype=np.int32))
-    return np.packbits(2 * out > counts[:, None], axis=1, bitorder="little").view("<i8").ravel()
+    return majority_bits(np.array(hashes, dtype="<u8"), np.repeat(np.arange(len(texts)), counts), counts)
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
@@ -70,6 +73,8 @@ def links(fps: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFrame:
     up that Hamming ball of each of its parts in a table of parts; the whole distance is checked in the join.
     """
     width, radius = BITS // segments, max_bits // segments
+    # Each row becomes segments * len(masks) probes: deal the rows out, however few bytes they are.
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     masks = [reduce(lambda m, bit: m | 1 << bit, flips, 0) for r in range(radius + 1) for flips in combinations(range(width), r)]
     tag = lambda k, key: F.shiftleft(F.lit(k).cast("long"), width).bitwiseOR(key)
     parts = _segments(F.col("fp"), segments)
@@ -96,7 +101,8 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
-        edges = materialise(small.select(F.col("e.v").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct().select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        before, edges = edges, materialise(small.select(F.col("e.v").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct().select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        discard(before)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == seen:
             break
@@ -123,11 +129,19 @@ def near_groups(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, segm
     return rows.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, **params) -> DataFrame:
+def keep_first(docs: DataFrame, similarity: float | None = None, **params) -> DataFrame:
     """The rows of docs, all columns, of which the doc_id names its component: one document of each group stays.
 
-    Rows that repeat one doc_id stay together.
+    Without `similarity` groups are those of near_groups(). With it two texts are linked if the Jaccard similarity of
+    their shingles reaches it: fingerprints give the first candidates, a prefix-filter join all that their bits miss
+    (shingle_join). Rows that repeat one doc_id stay together.
     """
-    groups = near_groups(docs, **params)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    if similarity is None:
+        groups = near_groups(docs, **params)
+    else:
+        from meridian.llm import shingle_join
+
+        groups = shingle_join.near_groups(docs, similarity=similarity, **params)
+    key = unused(docs, "_kept_id")
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept[key]), "left_semi")

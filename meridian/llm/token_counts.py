@@ -124,7 +124,7 @@ def pre_token_frequencies(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 33
-        for batch in pieces(batches):
+        for batch in pieces(batches, max_bytes=1 << 20):
             owner, tokens, counts = _frequencies(_counter(tokenizer_path), batch.column(2))
             offsets = pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)), pa.int32())
             rows = pa.array(np.arange(row, row + batch.num_rows))
