@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import materialise, pieces, text_of
+from meridian.llm.common import materialise, pieces, text_of, unused
 
 #: Words for units of measure that become the slot <UNIT> (fixed values).
 UNITS = (
@@ -124,50 +124,54 @@ def _template_rows(tables: Iterator[pa.RecordBatch], sizes: list[int], own_size:
 _ROWS = "id long, start int, size int, hash long, slots array<string>"
 
 
-def item_windows(benchmark: DataFrame, window: int = 8, shortest: int = 5) -> DataFrame:
-    """Template windows of the items: `window` words each, or the whole of an item of `shortest` words or more."""
-    sizes = list(range(shortest, window + 1))
+def item_windows(benchmark: DataFrame, window: int = 8) -> DataFrame:
+    """Template windows of the items: `window` words each, or the whole of a shorter item."""
     rows = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("id"), text_of().alias("text"))
-    return rows.mapInArrow(lambda b: _template_rows(b, sizes, True, None), _ROWS)
+    return rows.mapInArrow(lambda b: _template_rows(b, list(range(1, window + 1)), True, None), _ROWS)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, shortest: int = 5, coverage: float = 0.5, max_broadcast: int = 1_000_000, shift: int = 4) -> DataFrame:
     """(doc_id, item_id, matched, windows, coverage) for every document that holds an item, whole or in good part.
 
     A document holds an item if the windows of the item that match it, by template and with consistent slots, are
-    at least `coverage` of all the item's windows. Slots are consistent if each item value stands for one document
-    value throughout the document, or throughout one occurrence: windows whose places, document less item, follow
-    each other by `shift` words or fewer. Up to max_broadcast distinct window hashes are sent to all tasks, which then drop other
-    windows before the join; beyond that all windows are shuffled and give the same rows. Case and marks around
-    words don't count; a capitalised word at a sentence's start is read both
-    as an ordinary word and as a name. Items of under `shortest` words or null
-    text match nothing; null and empty texts hold nothing; a null doc_id or item_id never joins a pair; rows of
-    one doc_id count as one document; of equal item ids all texts count as one item.
+    at least `coverage` of all the item's windows. Slots are consistent if item values and document values stand for
+    each other one to one throughout the document, or throughout one occurrence: windows whose places, document less
+    item, follow each other by `shift` words or fewer. A template of under `shortest` words says too little, so an
+    item that short must occur with its own values. Up to max_broadcast item windows are sent to all tasks, which
+    then drop other windows before the join; beyond that all windows are shuffled and give the same rows. Case and
+    marks around words don't count; a capitalised word at a sentence's start is read both as an ordinary word and as
+    a name. Items without words or with null text match nothing; null and empty texts hold nothing; a null doc_id or
+    item_id never joins a pair; rows of one doc_id count as one document; of equal item ids all texts count as one
+    item; empty tables give no rows.
     """
-    items = item_windows(benchmark, window, shortest)
-    hashes = items.select("hash").distinct()
-    few = [r[0] for r in hashes.limit(max_broadcast + 1).collect()]
-    wanted = np.sort(np.array(few, dtype=np.int64).astype(np.uint64)) if len(few) <= max_broadcast else None
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # window - shortest + 1 numbers at most
+    items = materialise(item_windows(benchmark, window))
+    few = items.limit(max_broadcast + 1).count() <= max_broadcast
+    wanted = np.unique(np.array([r[0] for r in items.select("hash").distinct().collect()], dtype=np.int64).view(np.uint64)) if few else None
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # `window` numbers at most
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).where("id is not null")
     found = rows.mapInArrow(lambda b: _template_rows(b, sizes, False, wanted), _ROWS)
     left = items.select(F.col("id").alias("item_id"), F.col("start").alias("item_start"), "size", "hash", F.col("slots").alias("slots_item"))
     right = found.select(F.col("id").alias("doc_id"), F.col("start").alias("doc_start"), "size", "hash", F.col("slots").alias("slots_doc")).distinct()
-    met = right.join(F.broadcast(left) if wanted is not None else left, ["hash", "size"]).where("item_id is not null")
+    met = right.join(F.broadcast(left) if few else left, ["hash", "size"]).where("item_id is not null")
+    met = met.where((F.col("size") >= shortest) | (F.col("slots_item") == F.col("slots_doc")))
     met = materialise(met.select("doc_id", "item_id", "item_start", (F.col("doc_start") - F.col("item_start")).alias("offset"), "slots_item", "slots_doc"))
     along = Window.partitionBy("doc_id", "item_id").orderBy("offset")
     met = met.withColumn("far", (F.col("offset") - F.lag("offset", 1).over(along) > shift).cast("int"))
     met = met.withColumn("occurrence", F.coalesce(F.sum("far").over(along), F.lit(0)))
     # Occurrence -1 is the whole document.
     met = met.withColumn("occurrence", F.explode(F.array(F.lit(-1).cast("long"), F.col("occurrence").cast("long")))).drop("far", "offset").distinct()
-    # The document value that an item value stands for is the one that most of an occurrence's windows show.
+    # What a value stands for is what most of an occurrence's windows show, both ways.
     of = ["doc_id", "item_id", "occurrence"]
     pairs = met.select(*of, "item_start", F.explode(F.arrays_zip("slots_item", "slots_doc")).alias("p"))
     votes = pairs.groupBy(*of, F.col("p.slots_item").alias("a"), F.col("p.slots_doc").alias("b")).agg(F.countDistinct("item_start").alias("n"))
-    usual = votes.groupBy(*of, "a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
-    maps = usual.groupBy(*of).agg(F.map_from_entries(F.collect_list(F.struct("a", "b"))).alias("to"))
-    joined = met.join(maps, of, "left")
-    agree = F.coalesce(F.forall(F.arrays_zip("slots_item", "slots_doc"), lambda p: F.col("to")[p["slots_item"]] == p["slots_doc"]), F.lit(True))
+
+    def usual(x: str, y: str, name: str) -> DataFrame:
+        most = votes.groupBy(*of, x).agg(F.max_by(y, F.struct("n", y)).alias(y))
+        return most.groupBy(*of).agg(F.map_from_entries(F.collect_list(F.struct(x, y))).alias(name))
+
+    joined = met.join(usual("a", "b", "to"), of, "left").join(usual("b", "a", "back"), of, "left")
+    both_ways = lambda p: (F.col("to")[p["slots_item"]] == p["slots_doc"]) & (F.col("back")[p["slots_doc"]] == p["slots_item"])
+    agree = F.coalesce(F.forall(F.arrays_zip("slots_item", "slots_doc"), both_ways), F.lit(True))
     good = joined.where(agree).groupBy(*of).agg(F.countDistinct("item_start").alias("matched"))
     good = good.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
     whole = items.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("start").alias("windows"))
@@ -177,5 +181,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, shortest: int
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """The rows of docs, all columns, whose document holds no item of the benchmark; rows without doc_id stay."""
-    held = leaks(docs, benchmark, **params).select(F.col("doc_id").alias("_held_id")).distinct()
-    return docs.join(held, docs["doc_id"] == held["_held_id"], "left_anti")
+    key = unused(docs, "_held_id")
+    held = leaks(docs, benchmark, **params).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(held, docs["doc_id"] == held[key], "left_anti")

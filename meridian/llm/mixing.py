@@ -9,33 +9,34 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import materialise, text_of
+from meridian.llm.common import materialise, text_of, unused
 
 DOMAINS = ("clean", "low_quality", "toxic")
 TARGETS = {"clean": 0.90, "low_quality": 0.05, "toxic": 0.05}
-#: Upper bounds of the bins of each feature; the last bin is open.
+#: Upper bounds of the bins of each feature of a text's form; the last bin is open.
 BINS = {
-    "lexicon": (0, 1, 3),
     "symbols": (0.0, 0.02, 0.10),
     "capitals": (0.02, 0.15, 0.40),
     "exclamations": (0.0, 0.05, 0.20),
     "length": (19, 99, 499),
     "same_lines": (0.0, 0.10, 0.30),
 }
+BUCKETS = 1 << 14
+#: Characters that part words like blanks (fixed values).
+_PARTS = "\t\n\x0b\x0c\r.,;:!?()[]{}<>|&*#%$\"'"
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, 2).when(quality == 0, 1).otherwise(0)
 
 
-def features(rows: DataFrame, lexicon: list[str]) -> DataFrame:
-    """rows with n_tokens (words) and the bin number of every feature of the whole text."""
+def features(rows: DataFrame) -> DataFrame:
+    """rows (_text) with n_tokens (words), the bin number of every feature of form, and `buckets`: the distinct hash
+    buckets of the text's words, lower-cased. All of the whole text."""
     words = F.regexp_count("_text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    known = F.regexp_count("_text", F.lit(rf"(?<!\p{{L}})(?:{'|'.join(lexicon)})(?!\p{{L}})")) if lexicon else F.lit(0)
     rows = rows.withColumn("n_tokens", words).withColumn("_lines", F.split("_text", "\n"))
     some = F.greatest(F.col("n_tokens"), F.lit(1))
     values = {
-        "lexicon": known,
         "symbols": F.regexp_count("_text", F.lit(r"[#*$%&|<>]")) / some,
         "capitals": F.regexp_count("_text", F.lit(r"\p{Lu}")) / F.greatest(F.length("_text"), F.lit(1)),
         "exclamations": F.regexp_count("_text", F.lit("!")) / some,
@@ -44,55 +45,68 @@ def features(rows: DataFrame, lexicon: list[str]) -> DataFrame:
     }
     part = lambda v, bounds: reduce(lambda a, b: a + b, ((v > x).cast("int") for x in bounds))
     rows = rows.withColumns({f"_v_{k}": v for k, v in values.items()})
-    return rows.withColumns({f"_b_{k}": part(F.col(f"_v_{k}"), BINS[k]) for k in BINS}).drop("_lines", *(f"_v_{k}" for k in BINS))
+    rows = rows.withColumns({f"_b_{k}": part(F.col(f"_v_{k}"), BINS[k]) for k in BINS}).drop("_lines", *(f"_v_{k}" for k in BINS))
+    plain = F.split(F.translate(F.lower("_text"), _PARTS, " " * len(_PARTS)), " ")
+    return rows.withColumn("buckets", F.array_distinct(F.transform(plain, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     """At most max_rows labelled documents, in an order fixed by a hash of doc_id: _text and domain."""
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select(F.col("doc_id").alias("_id"), domain_of(F.col("q"), F.col("t")).alias("domain"))
-    return materialise(docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select(text_of().alias("_text"), "domain").where(F.octet_length("_text") <= 1 << 16))
+    texts = docs.select("doc_id", text_of().alias("_text"))
+    return texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["_id"]).select("_text", "domain")
 
 
-def learn_lexicon(sample: DataFrame, size: int) -> list[str]:
-    """The words that tell toxic from other sampled texts best: `size` words at most."""
-    words = sample.select("domain", F.explode(F.array_distinct(F.split("_text", r"\P{L}+"))).alias("word")).where(F.length("word") > 2)
-    totals = sample.agg(F.sum((F.col("domain") == 2).cast("int")).alias("n2"), F.count("*").alias("n")).first()
-    if not totals["n2"]:
-        return []
-    counted = words.groupBy("word").agg(F.sum((F.col("domain") == 2).cast("int")).alias("a"), F.count("*").alias("b"))
-    odds = F.log(((F.col("a") + 0.5) / totals["n2"]) / ((F.col("b") - F.col("a") + 0.5) / max(totals["n"] - totals["n2"], 1)))
-    best = counted.where("a >= 5").withColumn("odds", odds).where("odds > 2").orderBy((F.col("odds") * F.sqrt("a")).desc(), "word").limit(size)
-    return sorted(r["word"] for r in best.collect())
+def word_weights(seen: DataFrame, sizes: dict[int, int], least: float = 25.0) -> np.ndarray:
+    """(domains, BUCKETS) log odds of a domain against the others where a bucket occurs, near 0 unless well supported.
 
-
-def posteriors(docs: DataFrame, labels: DataFrame, train_rows: int = 6000, lexicon_size: int = 48) -> DataFrame:
-    """docs with n_tokens and p_<domain>: a naive Bayes classifier over binned features, fitted on a bounded sample.
-
-    Counts of bins by domain (72 numbers) become literals of one expression; add-one smoothing.
+    seen: domain, buckets of the sample. At most BUCKETS rows come to the driver.
+    """
+    split = [F.sum((F.col("domain") == d).cast("int")).alias(f"n{d}") for d in range(len(DOMAINS))]
+    counted = seen.select("domain", F.explode("buckets").alias("b")).groupBy("b").agg(*split).collect()
+    own = np.zeros((len(DOMAINS), BUCKETS))
+    for r in counted:
+        own[:, r["b"]] = r[1:]
+    n = np.array([[sizes.get(d, 0)] for d in range(len(DOMAINS))], float)
+    rest, n_rest = own.sum(0) - own, n.sum() - n
+    odds = np.log((own + 0.5) / (n + 1)) - np.log((rest + 0.5) / (n_rest + 1))
+    z = odds**2 / (1 / (own + 0.5) + 1 / (rest + 0.5))
+    return np.clip(odds * z**2 / (z**2 + least**2), -4, 4)
+
+
+def posteriors(docs: DataFrame, labels: DataFrame, train_rows: int = 6000) -> DataFrame:
+    """docs with n_tokens and p_<domain>: a naive Bayes classifier over hashed words and features of form.
+
+    It is fitted on a bounded sample of labelled rows. Words count by their well supported log odds, features by
+    their bins with add-one smoothing; weights go into the plan as one literal.
     """
-    sample = labelled_sample(docs, labels, train_rows)
-    lexicon = learn_lexicon(sample, lexicon_size)
-    seen = features(sample, lexicon)
+    seen = materialise(features(labelled_sample(docs, labels, train_rows)).drop("_text"))
     cells = seen.select("domain", F.explode(F.array(*(F.struct(F.lit(k).alias("f"), F.col(f"_b_{k}").alias("b")) for k in BINS))).alias("x"))
     counts = {(r["f"], r["b"], r["domain"]): r["count"] for r in cells.groupBy("domain", "x.f", "x.b").count().collect()}
-    sizes = {r["domain"]: r["count"] for r in sample.groupBy("domain").count().collect()}
+    sizes = {r["domain"]: r["count"] for r in seen.groupBy("domain").count().collect()}
     total = sum(sizes.values())
+    # One string of fixed decimals becomes one constant array when the plan is made.
+    weights = word_weights(seen, sizes).T.ravel()
+    table = F.split(F.lit(",".join(f"{x:.4f}" for x in weights)), ",").cast("array<double>")
 
-    def log_odds(d: int) -> Column:
+    def form(d: int) -> Column:
         score = F.lit(float(np.log((sizes.get(d, 0) + 1) / (total + len(DOMAINS)))))
         for f, bounds in BINS.items():
-            table = [float(np.log((counts.get((f, b, d), 0) + 1) / (sizes.get(d, 0) + len(bounds) + 1))) for b in range(len(bounds) + 1)]
-            score = score + F.get(F.array(*map(F.lit, table)), F.col(f"_b_{f}"))
+            odds = [float(np.log((counts.get((f, b, d), 0) + 1) / (sizes.get(d, 0) + len(bounds) + 1))) for b in range(len(bounds) + 1)]
+            score = score + F.get(F.array(*map(F.lit, odds)), F.col(f"_b_{f}"))
         return score
 
-    rows = features(docs.withColumn("_text", text_of()), lexicon).drop("_text")
-    rows = rows.withColumns({f"_s{d}": log_odds(d) for d in range(len(DOMAINS))})
+    names = [f"s{d}" for d in range(len(DOMAINS))]
+    start = F.struct(*(F.lit(0.0).alias(n) for n in names))
+    step = lambda a, b: F.struct(*((a[n] + F.get(table, b * len(DOMAINS) + d)).alias(n) for d, n in enumerate(names)))
+    rows = features(docs.withColumn("_text", text_of())).drop("_text").withColumn("_w", F.aggregate("buckets", start, step)).drop("buckets")
+    rows = rows.withColumns({f"_s{d}": form(d) + F.col(f"_w.s{d}") for d in range(len(DOMAINS))})
     top = F.greatest(*(F.col(f"_s{d}") for d in range(len(DOMAINS))))
     rows = rows.withColumns({f"_e{d}": F.exp(F.col(f"_s{d}") - top) for d in range(len(DOMAINS))})
     norm = reduce(lambda a, b: a + b, (F.col(f"_e{d}") for d in range(len(DOMAINS))))
     rows = rows.withColumns({f"p_{name}": F.col(f"_e{d}") / norm for d, name in enumerate(DOMAINS)})
-    return rows.drop(*(f"_b_{k}" for k in BINS), *(f"_{x}{d}" for x in "se" for d in range(len(DOMAINS))))
+    return rows.drop("_w", *(f"_b_{k}" for k in BINS), *(f"_{x}{d}" for x in "se" for d in range(len(DOMAINS))))
 
 
 def _inverse(gram: np.ndarray, ridge: float = 0.01) -> np.ndarray:
@@ -110,18 +124,18 @@ def rates(rows: DataFrame, targets: dict[str, float] = TARGETS, rounds: int = 60
 
     Least squares over all documents' rates, weighted by tokens and started from 1, by projected gradient steps:
     a step moves each rate by its posteriors times a vector of one number per domain and cuts it off at 0. The
-    driver sees the domains' totals and their Gram matrix; a document's rate is the fold of the steps so far, so
+    driver sees the domains' totals and their Gram matrix over the documents whose rate isn't 0, which scales the
+    step; a step that made things worse halves the next. A document's rate is the fold of the steps so far, so
     nothing per document is kept between passes. Targets are shares of the present tokens. Steps end when each
     domain is within tolerance of its target, relative to it; if `rounds` steps don't come there, or eight gain
     less than 1 % (a domain no token is likely in), a RuntimeWarning gives what each domain misses.
     """
     names = list(targets)
     p = [F.col(f"p_{x}") for x in names]
-    gram = rows.agg(*(F.sum(F.col("n_tokens") * a * b) for a in p for b in p), F.sum("n_tokens")).first()
-    total = gram[len(p) ** 2] or 0
+    total = rows.agg(F.sum("n_tokens")).first()[0] or 0
     goal = np.array([targets[x] for x in names]) / sum(targets.values()) * total
-    inverse = _inverse(np.array([x or 0.0 for x in gram[: len(p) ** 2]]).reshape(len(p), len(p)))
     steps: list[list[float]] = []
+    share = 1.0
     record: list[float] = []
 
     def rate() -> Column:
@@ -132,9 +146,13 @@ def rates(rows: DataFrame, targets: dict[str, float] = TARGETS, rounds: int = 60
         return F.aggregate(path, F.lit(1.0), lambda r, s: F.greatest(r - dot(s), F.lit(0.0)))
 
     while True:
-        now = np.array([x or 0.0 for x in rows.agg(*(F.sum(F.col("n_tokens") * a * rate()) for a in p)).first()])
+        moved = rows.withColumn("_rate", rate())
+        live = F.when(F.col("_rate") > 0, F.col("n_tokens")).otherwise(0)
+        sums = moved.agg(*(F.sum(F.col("n_tokens") * a * F.col("_rate")) for a in p), *(F.sum(live * a * b) for a in p for b in p)).first()
+        now, gram = np.array([x or 0.0 for x in sums[: len(p)]]), np.array([x or 0.0 for x in sums[len(p) :]]).reshape(len(p), len(p))
         missed = np.abs(now - goal) / np.where(goal > 0, goal, max(total, 1))
-        step = inverse @ (now - goal)
+        share = share / 2 if record and missed.max() > record[-1] else min(1.0, 1.5 * share)
+        step = share * (_inverse(gram) @ (now - goal))
         if missed.max() <= tolerance:
             break
         record.append(missed.max())
@@ -161,6 +179,7 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARG
 
 def mix(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     """docs, all columns, each row as many times as mixture() says; rows that repeat one doc_id go by the largest."""
-    copies = mixture(docs, labels, **params).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"])).where("_copies > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(docs[c] for c in docs.columns))
+    key, copies, copy = (unused(docs, x) for x in ("_id", "_copies", "_copy"))
+    found = mixture(docs, labels, **params).groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(found[key])).where(F.col(copies) > 0)
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import materialise, text_of
+from meridian.llm.common import materialise, text_of, unused
 
 WINDOW = 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -120,5 +120,6 @@ def quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of docs, all columns, that quality() keeps. Rows that repeat one doc_id stay if one of them is kept."""
-    good = quality(docs, threshold).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["_kept_id"]), "left_semi")
+    key = unused(docs, "_kept_id")
+    good = quality(docs, threshold).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(good, docs["doc_id"].eqNullSafe(good[key]), "left_semi")

@@ -7,12 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.llm.common import pieces, text_of
 
-WIDTH, STRIDE = 32, 24  # words in a window, and from one window's start to the next
+WIDTH, STRIDE = 32, 16  # words in a window, and from one window's start to the next: a run of 17 words lies whole in one
 UNITS, WORD_DIM, CHAR_DIM, BUCKETS = 8, 8, 8, 4096
 TRIM = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -162,10 +162,9 @@ def _log_odds(seen: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.clip(odds * z / (z + 25), -3, 3)
 
 
-def train(rows: list[tuple[int, str, int]], max_vocabulary: int = 8192, windows_of_text: int = 24, rounds: int = 5, decay: float = 0.02, seed: int = 7) -> Network:
-    """Fit on (doc_id, text, label) rows. A text is as toxic as its most toxic window, so each round scores the
-    windows and learns from every text's highest one and one other window of each clean text. windows_of_text
-    bounds the windows of a training text (drawn at random)."""
+def train(rows: list[tuple[int, str, int]], max_vocabulary: int = 8192, rounds: int = 5, decay: float = 0.02, seed: int = 7) -> Network:
+    """Fit on (doc_id, text, label) rows. A text is as toxic as its most toxic window, so each round scores all
+    windows and learns from every text's highest one and one other window of each clean text."""
     rng = np.random.default_rng(seed)
     rows = sorted(rows)
     texts, labels = pa.array([r[1] for r in rows], pa.string()), np.array([r[2] for r in rows])
@@ -194,11 +193,6 @@ def train(rows: list[tuple[int, str, int]], max_vocabulary: int = 8192, windows_
             hits[np.unique(np.concatenate([gram[by_word[j] : by_word[j + 1]] for j in own.tolist()] or [np.zeros(0, np.int64)])), y] += 1
     net.w["grams"][:, 0] = _log_odds(hits, sizes)
     w_owner, first, size = _windows(counts)
-    order = rng.permutation(len(w_owner))
-    order = order[np.argsort(w_owner[order], kind="stable")]
-    place = np.arange(len(order)) - np.searchsorted(w_owner[order], w_owner[order])
-    chosen = order[place < windows_of_text]
-    w_owner, first, size = w_owner[chosen], first[chosen], size[chosen]
     codes, steps = np.r_[codes, np.zeros(WIDTH, np.int64)], np.arange(WIDTH)
     mean, square = ({k: np.zeros_like(v) for k, v in net.w.items()} for _ in range(2))
     step = 0
@@ -227,19 +221,22 @@ def train(rows: list[tuple[int, str, int]], max_vocabulary: int = 8192, windows_
     return net
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_train_bytes: int = 65536) -> DataFrame:
-    """The bounded training sample: of each label per_class rows at most, in an order fixed by a hash of doc_id.
+def sample(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_bytes: int = 64 << 20) -> DataFrame:
+    """The bounded training sample: of each label per_class rows at most, in an order fixed by a hash of doc_id, and
+    of these as many as come to max_bytes of text together.
 
-    Rows of held_out() never enter; texts over max_train_bytes are left to scoring. Of several labels of one
-    doc_id the highest holds.
+    Rows of held_out() never enter. Of several labels of one doc_id the highest holds.
     """
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id")
     part = lambda y: known.where(F.col("toxic") == y).orderBy(order, "doc_id").limit(per_class)
-    chosen = part(0).union(part(1))
-    rows = docs.select("doc_id", text_of().alias("text")).where(F.octet_length("text") <= max_train_bytes)
-    return rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(part(0).union(part(1))), "doc_id").dropDuplicates(["doc_id"])
+    # Two partitions of per_class rows at most, by length alone; the texts stay out of the sort.
+    sizes = rows.select("doc_id", "toxic", F.octet_length("text").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("toxic").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    fits = sizes.withColumn("total", total).where(F.col("total") <= max_bytes // 2).select("doc_id")
+    return rows.join(F.broadcast(fits), "doc_id").select("doc_id", "text", "toxic")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class: int = 1500) -> DataFrame:

@@ -355,6 +355,14 @@ def test_decontamination(spark, odd):
     for cap in (1_000_000, 1):
         got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in decontamination.leaks(docs, bench, coverage=0.8, max_broadcast=cap).collect()}
         assert (0, 1) in got and (2, 4) in got and (1, 1) not in got and len(got) == 2
+    short = spark.createDataFrame([(1, "Say: tiny ONE, here"), (2, "a tiny two"), (3, "just 5 km now"), (4, "just 7 km now")], "doc_id long, text string")
+    few = spark.createDataFrame([(1, "tiny one"), (2, "5 km")], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(short, few).collect()} == {(1, 1), (3, 2)}
+    one = spark.createDataFrame([(1, "we had 12 red balls and then we had 35 green balls in the old box")], "item_id long, text string")
+    same = spark.createDataFrame([(1, "we had 70 red balls and then we had 70 green balls in the old box"), (2, "we had 70 red balls and then we had 71 green balls in the old box")], "doc_id long, text string")
+    # Two item values can't stand for one document value: the windows that hold both are lost.
+    found = {r["doc_id"]: r["coverage"] for r in decontamination.leaks(same, one, coverage=0.0).collect()}
+    assert found[2] == 1.0 and found.get(1, 0.0) < 0.8
     kept = decontamination.drop_leaks(odd, bench)
     assert kept.columns == odd.columns and kept.count() == odd.count()
     assert decontamination.leaks(odd.limit(0), bench).count() == 0 and decontamination.leaks(odd, bench.limit(0)).count() == 0
@@ -390,6 +398,44 @@ def test_mixing(spark, odd):
     assert mixing.mixture(odd.limit(0), labels).count() == 0 and mixing.mix(odd, labels).columns == odd.columns
 
 
+def test_mixing_classifier_held_out(spark):
+    """Domains of labelled documents that the classifier has not seen."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    seen = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(4)) > 0
+    labelled = docs.join(labels.withColumn("domain", mixing.domain_of(F.col("quality"), F.col("toxic"))), "doc_id").select("doc_id", "text", "domain")
+    found = mixing.posteriors(labelled, labels.where(seen)).where(~seen).collect()
+    likeliest = [(r["domain"], int(np.argmax([r[f"p_{x}"] for x in mixing.DOMAINS]))) for r in found]
+    assert sum(a == b for a, b in likeliest) / len(likeliest) > 0.8
+    toxic = [b for a, b in likeliest if a == 2]
+    assert sum(b == 2 for b in toxic) / len(toxic) > 0.7
+
+
+def test_mixing_equals_plain_solver(spark):
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([2, 1, 0.5], 50)
+    tokens = rng.integers(1, 400, 50)
+    rows = spark.createDataFrame([(int(n), *map(float, x)) for n, x in zip(tokens, p)], "n_tokens long, p_clean double, p_low_quality double, p_toxic double")
+    got = np.array([r["rate"] for r in mixing.rates(rows).orderBy("n_tokens", "p_clean").collect()])
+    order = np.lexsort((p[:, 0], tokens))
+    p, tokens = p[order], tokens[order]
+    goal = np.array([mixing.TARGETS[x] for x in mixing.DOMAINS]) * tokens.sum()
+    rate, weight = np.ones(50), p * tokens[:, None]
+    for _ in range(200_000):  # plain projected gradient on the squared misses, in small steps
+        miss = weight.T @ rate - goal
+        rate = np.maximum(rate - p @ miss / np.linalg.norm(p.T @ weight, 2), 0)
+        if np.abs(miss).max() < 1e-9 * tokens.sum():
+            break
+    assert np.abs(weight.T @ rate - goal).max() < 1e-5 * tokens.sum() and np.abs(weight.T @ got - goal).max() < 1e-5 * tokens.sum()
+    assert got.min() >= 0
+
+
+def test_mix_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "some text", 1, 2, 3), (1, "some text", 1, 2, 3), (None, None, 1, 2, 3)], "doc_id long, text string, _copies int, _copy int, _id int")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    with pytest.warns(RuntimeWarning):
+        assert mixing.mix(docs, labels).columns == docs.columns
+
+
 def test_mixing_rare_domain(spark):
     likely = [(0.97, 0.029, 0.001)] * 950 + [(0.08, 0.919, 0.001)] * 48 + [(0.1, 0.1, 0.8)] * 2
     rows = spark.createDataFrame([(100, *p) for p in likely], "n_tokens long, p_clean double, p_low_quality double, p_toxic double")
@@ -423,6 +469,23 @@ def test_toxicity_held_out(spark, odd):
     assert toxicity.toxicity(odd, labels.limit(0)).count() == odd.count()
 
 
+def test_toxicity_of_labelled_documents(spark, odd):
+    """Held-out rows of the real labels: few are toxic, so recall is not held to more than it reaches."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    judged = docs.join(labels, "doc_id").where(toxicity.held_out(F.col("doc_id")))
+    found = toxicity.toxicity(docs.join(labels, "doc_id", "left_semi"), labels).join(judged.select("doc_id", "toxic"), "doc_id").collect()
+    toxic, clean = [r["predicted"] for r in found if r["toxic"]], [r["predicted"] for r in found if not r["toxic"]]
+    print("held out: recall", sum(toxic) / len(toxic), "false", sum(clean) / len(clean), len(toxic), len(clean))
+    assert sum(toxic) / len(toxic) > 0.55 and sum(clean) / len(clean) < 0.06
+    assert toxicity.toxicity(odd.limit(0), labels).count() == 0
+
+
+def test_every_offset_is_seen_whole():
+    """A run of 17 words lies whole in one window, at whatever place it starts."""
+    owner, first, size = toxicity._windows(np.array([500]))
+    assert all(any(f <= k and k + 17 <= f + n for f, n in zip(first.tolist(), size.tolist())) for k in range(500 - 16))
+
+
 def test_gradients_match_differences():
     import pyarrow as pa
 
