@@ -24,16 +24,22 @@ def contiguous_runs(files: DataFrame, axis: list[str], gap: float) -> DataFrame:
 def group_acquisitions(files: DataFrame, most: int, least: int = 1) -> DataFrame:
     """file_id, acq_id, group_id: an acquisition's files in groups of a size near `most` whose rest is small.
 
-    Over `most` files, the size is the one closest to it (smaller first) whose rest is under max(1, most / 10);
-    half of the rest goes before the first group and the ends take what is over.
+    Over `most` files, the size is `most` if its rest is under accept = max(1, most / 10). Else both neighbours are
+    tried, one step further out each time, until the rest of either is accept or less; of the two the one with the
+    smaller rest holds, the larger size if they are equal. Half of the rest goes before the first group and the ends
+    take what is over.
     """
     order = Window.partitionBy("acq_id").orderBy("start_t", "file_id")
     rows = files.withColumns({"_i": F.row_number().over(order) - 1, "_n": F.count("*").over(Window.partitionBy("acq_id"))}).where(F.col("_n") >= least)
-    near = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda k: F.array(most - k, most + k)))
-    size = F.element_at(F.filter(near, lambda m: (F.col("_n") % m) < max(1, most // 10)), 1)
-    rows = rows.withColumn("_m", F.when(F.col("_n") > most, F.coalesce(size, F.lit(most))).otherwise(F.col("_n")))
-    groups = F.greatest(F.floor(F.col("_n") / F.col("_m")), F.lit(1))
-    at = F.floor((F.col("_i") - F.floor((F.col("_n") % F.col("_m")) / 2)) / F.col("_m"))
+    accept, n = max(1, most // 10), F.col("_n")
+    steps = F.sequence(F.lit(1), F.lit(most - 1)) if most > 1 else F.array().cast("array<int>")
+    fits = F.filter(steps, lambda k: (n % (most - k) <= accept) | (n % (most + k) <= accept))
+    k = F.get(fits, F.lit(0))
+    away = F.when(n % (most - k) < n % (most + k), most - k).otherwise(most + k)
+    size = F.when(n <= most, n).when(n % most < accept, most).otherwise(F.coalesce(away, F.lit(most)))
+    rows = rows.withColumn("_m", size)
+    groups = F.greatest(F.floor(n / F.col("_m")), F.lit(1))
+    at = F.floor((F.col("_i") - F.floor((n % F.col("_m")) / 2)) / F.col("_m"))
     return rows.select("file_id", "acq_id", F.least(F.greatest(at, F.lit(0)), groups - 1).alias("group_id"))
 
 
@@ -70,13 +76,23 @@ def filter_existing(files: DataFrame, done: DataFrame, least: int, day: float) -
 
 
 def classify_logs(logs: DataFrame, patterns: dict[str, str], tail: int = 30000) -> DataFrame:
-    """The first class whose pattern is in the log's tail; unknown without any."""
-    text, found = F.right("log", F.lit(tail)), F.lit("unknown")
+    """The first class whose pattern is in the log's last `tail` bytes; unknown without any.
+
+    A character that the cut goes through counts as U+FFFD.
+    """
+    raw = F.col("log").cast("binary")
+    text, found = F.substring(raw, F.greatest(F.octet_length(raw) - tail + 1, F.lit(1)), F.lit(tail)).cast("string"), F.lit("unknown")
     for name, pattern in reversed(patterns.items()):
         found = F.when(text.rlike(pattern), name).otherwise(found)
     return logs.select("tag", found.alias("class"))
 
 
+def next_jobs(jobs: DataFrame, now: float, most: int, day: float = DAY, pad: float = 0.0) -> DataFrame:
+    """The first `most` jobs to run: retries first, then new ones by start, of days older than 1 + pad days."""
+    old = jobs.where(F.lit(now) - F.col("start_t") > (1 + pad) * day)
+    return old.orderBy(F.when(F.col("retry"), 0).otherwise(1), "start_t", "file_id").limit(most)
+
+
 def job_status(available: DataFrame, finished: DataFrame, pending: DataFrame, running: DataFrame, crashed: DataFrame) -> DataFrame:
     """(tag, status) by set algebra over tag relations, in one union and one aggregation."""
     names = ("available", "finished", "pending", "running", "crashed")

@@ -6,21 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _merged(left: DataFrame, right: DataFrame, on: list[str], left_t: str, right_t: str, values: list[str], after: bool) -> DataFrame:
-    """left with, in _found, the struct of right_t and values of the last right row at or before each left row (the
-    first at or after it, if after). One shuffle on the keys; ties of right_t go to the largest values."""
+def _found(left: DataFrame, right: DataFrame, on: list[str], left_t: str, right_t: str, values: list[str], before: bool, after: bool) -> DataFrame:
+    """left with _before and _after: structs of right_t and values of the last right row at or before each left row
+    and of the first at or after it. One shuffle on the keys; ties of right_t go to the largest values.
+
+    Both are the last row seen in a running frame, one in rising and one in falling order of time: a frame that
+    grows by a row at a time is linear, one that shrinks is not.
+    """
     rows = F.struct(F.col(right_t).alias("at"), *(F.col(v).alias(v) for v in values))
-    both = left.withColumns({"_t": F.col(left_t).cast("double"), "_side": F.lit(0 if after else 1)}).unionByName(
-        right.select(*on, F.col(right_t).cast("double").alias("_t"), F.lit(1 if after else 0).alias("_side"), rows.alias("_right")), allowMissingColumns=True
+    both = left.withColumns({"_t": F.col(left_t).cast("double"), "_side": F.lit(True)}).unionByName(
+        right.select(*on, F.col(right_t).cast("double").alias("_t"), F.lit(False).alias("_side"), rows.alias("_right")), allowMissingColumns=True
     )
-    is_left = F.col("_side") == (0 if after else 1)
+    seen = lambda *order: F.last("_right", ignorenulls=True).over(Window.partitionBy(*on).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    if before:
+        both = both.withColumn("_before", seen("_t", "_side", "_right"))
     if after:
-        window = Window.partitionBy(*on).orderBy("_t", "_side", F.col("_right").desc_nulls_last()).rowsBetween(0, Window.unboundedFollowing)
-        found = F.first("_right", ignorenulls=True).over(window)
-    else:
-        window = Window.partitionBy(*on).orderBy("_t", "_side", "_right").rowsBetween(Window.unboundedPreceding, 0)
-        found = F.last("_right", ignorenulls=True).over(window)
-    return both.withColumn("_found", found).where(is_left).select(*left.columns, "_found")
+        both = both.withColumn("_after", seen(F.desc("_t"), "_side", "_right"))
+    return both.where("_side").select(*left.columns, *["_before"] * before, *["_after"] * after)
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_t: str, right_t: str, values: dict[str, str], direction: str = "backward") -> DataFrame:
@@ -28,15 +30,39 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_t: str, rig
 
     direction: backward (last row at or before), forward (first at or after) or nearest (ties to the earlier).
     """
-    columns = list(dict.fromkeys(values.values()))
-    if direction != "nearest":
-        out = _merged(left, right, on, left_t, right_t, columns, direction == "forward")
-        return out.select(*left.columns, *(F.col("_found")[c].alias(n) for n, c in values.items()))
-    one = _merged(left, right, on, left_t, right_t, columns, False).withColumnRenamed("_found", "_before")
-    two = _merged(one, right, on, left_t, right_t, columns, True)
-    earlier = F.col("_found").isNull() | (F.col(left_t) - F.col("_before")["at"] <= F.col("_found")["at"] - F.col(left_t))
-    pick = F.when(F.col("_before").isNotNull() & earlier, F.col("_before")).otherwise(F.col("_found"))
-    return two.withColumn("_pick", pick).select(*left.columns, *(F.col("_pick")[c].alias(n) for n, c in values.items()))
+    if direction not in ("backward", "forward", "nearest"):
+        raise ValueError(f"unknown direction {direction!r}")
+    found = _found(left, right, on, left_t, right_t, list(dict.fromkeys(values.values())), direction != "forward", direction != "backward")
+    if direction == "nearest":
+        earlier = F.col("_after").isNull() | (F.col(left_t) - F.col("_before")["at"] <= F.col("_after")["at"] - F.col(left_t))
+        pick = F.when(F.col("_before").isNotNull() & earlier, F.col("_before")).otherwise(F.col("_after"))
+    else:
+        pick = F.col("_after" if direction == "forward" else "_before")
+    return found.withColumn("_pick", pick).select(*left.columns, *(F.col("_pick")[c].alias(n) for n, c in values.items()))
+
+
+def nearest_key(left: DataFrame, right: DataFrame, x: str, y: str, value: str, width: float) -> DataFrame:
+    """left with the value of the right row whose y is nearest to x; ties go to the smaller y, then the smaller value.
+
+    Right rows are kept once per bucket of y (the outermost two of each) so that a bucket without rows sees the next
+    one that has some: the boundary rows alone pass through an ordered window, everything else meets by bucket.
+    """
+    buckets = right.withColumn("_b", F.floor(F.col(y) / width).cast("long"))
+    edge = F.struct(F.col(y).alias("y"), F.col(value).alias("v"))
+    # Largest y of each bucket with the smallest value there, and the smallest y likewise: two rows a bucket.
+    tops = buckets.groupBy("_b").agg(F.min(edge).alias("low"), F.max(F.struct(F.col(y).alias("y"), (-F.col(value)).alias("v"))).alias("top"))
+    tops = tops.select("_b", "low", F.struct(F.col("top")["y"].alias("y"), (-F.col("top")["v"]).alias("v")).alias("high"))
+    spots = left.select(x).distinct().withColumn("_b", F.floor(F.col(x) / width).cast("long"))
+    order = Window.orderBy("_b")
+    grid = tops.select("_b", "low", "high").unionByName(spots.select("_b").distinct(), allowMissingColumns=True).groupBy("_b").agg(F.min("low").alias("low"), F.min("high").alias("high"))
+    ends = grid.withColumns({
+        "before": F.last("high", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)),
+        "after": F.last("low", ignorenulls=True).over(Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)),
+    })
+    inside = spots.join(buckets.select("_b", edge.alias("c")), "_b")
+    outside = spots.join(ends, "_b").select(x, F.explode(F.array("before", "after")).alias("c")).where("c is not null")
+    best = inside.select(x, "c").union(outside).groupBy(x).agg(F.min(F.struct(F.abs(F.col("c")["y"] - F.col(x)).alias("d"), F.col("c")["y"].alias("y"), F.col("c")["v"].alias("v"))).alias("best"))
+    return left.join(best.select(x, F.col("best")["v"].alias(value)), x, "left")
 
 
 def _buckets(start: Column, finish: Column, width: float) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions.scalar import C_M_MHZ, abs2, channel_mhz, inv0, modulo
 from meridian.operators.joins import asof_join, interval_join
+from meridian.operators.windows import trailing_sum
 
 FINITE = "isnotnull({0}) AND NOT isnan({0}) AND abs({0}) < double('infinity')"
 
@@ -46,12 +47,22 @@ def apply_data_flags(df: DataFrame, flags: DataFrame, types: list[str], width: f
     return apply_mask(df, hit.withColumn("bad", F.lit(True)), ["freq_id", "t"])
 
 
-def mask_ra(df: DataFrame, start: float = 90.0, end: float = 270.0, width: float = 60.0) -> DataFrame:
-    """A cosine-tapered weight m of the right ascension: values times m, w times m squared."""
+def mask_ra(df: DataFrame, axis: list[str], start: float = 90.0, end: float = 270.0, width: float = 60.0, zero_data: bool = True, remove_average: bool = True) -> DataFrame:
+    """A cosine-tapered weight m of the right ascension: w times m squared, values times m if zero_data.
+
+    With remove_average each series (axis) first loses the median of its samples where the untapered mask is 1.
+    Where the ramps overlap the closing one holds.
+    """
     s, e = modulo(F.col("ra") - start, 360.0), (end - start) % 360.0
     ramp = lambda x: 0.5 * (1 + F.cos(math.pi * x / width))
-    m = F.when(s < width, ramp(s)).when((s > e - width) & (s <= e), ramp(s - e)).otherwise((s > e).cast("double"))
-    return df.withColumns({"re": F.col("re") * m, "im": F.col("im") * m, "w": F.col("w") * m * m})
+    base = s > e
+    m = F.when((s > e - width) & (s <= e), ramp(s - e)).when(s < width, ramp(s)).otherwise(base.cast("double"))
+    if remove_average:
+        middle = df.where(base).groupBy(*axis).agg(*(F.percentile(c, F.lit(0.5)).alias(f"_{c}") for c in ("re", "im")))
+        joined = df.join(middle, axis, "left")
+        df = joined.withColumns({c: F.col(c) - F.coalesce(F.col(f"_{c}"), F.lit(0.0)) for c in ("re", "im")}).select(*df.columns)
+    values = {c: F.col(c) * m for c in ("re", "im")} if zero_data else {}
+    return df.withColumns(values | {"w": F.col("w") * m * m})
 
 
 def mask_channels(df: DataFrame, clock_width: float = 0.5, freqs: list[int] = ()) -> DataFrame:
@@ -84,13 +95,24 @@ def expand_mask(mask: DataFrame, axis: list[str], order: str, n: int = 1) -> Dat
     return mask.withColumn("bad", F.max("bad").over(window))
 
 
-def flag_rainfall(df: DataFrame, rain: DataFrame, samples: int, threshold: float) -> DataFrame:
-    """w = 0 where the rain of the last `samples` readings, read at the next reading, reaches the threshold."""
-    days = rain.groupBy("day").agg(F.sum("rain").alias("rain"), F.max("t").alias("t"))
-    total = F.sum("rain").over(Window.orderBy("t").rowsBetween(-(samples - 1), 0))
-    summed = days.withColumn("total", total).withColumn("_k", F.lit(1))
-    found = asof_join(df.withColumn("_k", F.lit(1)), summed, ["_k"], "t", "t", {"_rain": "total"}, "forward")
-    return _zero_weight(found, F.col("_rain") >= threshold).select(*df.columns)
+def flag_rainfall(df: DataFrame, rain: DataFrame, samples: int, threshold: float, width: float = 864000.0) -> DataFrame:
+    """w = 0 where the rain of the last `samples` readings reaches the threshold; samples read the first reading at
+    or after them, the last one if there is none.
+
+    rain: reading_id, t, rain. Both sides meet in ranges of t of `width`: the first reading of a later range stands
+    at the end of a range that has none behind its samples.
+    """
+    summed = trailing_sum(rain, "t", "reading_id", "rain", samples, width)
+    ranges = summed.select(F.floor(F.col("t") / width).cast("long").alias("_r"), "t", "total")
+    first = ranges.groupBy("_r").agg(F.min_by("total", "t").alias("_first"), F.max_by("total", "t").alias("_last"))
+    grid = first.unionByName(df.select(F.floor(F.col("t") / width).cast("long").alias("_r")).distinct(), allowMissingColumns=True)
+    grid = grid.groupBy("_r").agg(F.max("_first").alias("_first"), F.max("_last").alias("_last"))
+    after = F.last("_first", ignorenulls=True).over(Window.orderBy(F.desc("_r")).rowsBetween(Window.unboundedPreceding, -1))
+    before = F.last("_last", ignorenulls=True).over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, 0))
+    ends = grid.select("_r", F.coalesce(after, before).alias("_end"))
+    rows = df.withColumn("_r", F.floor(F.col("t") / width).cast("long")).join(ends, "_r")
+    found = asof_join(rows, ranges, ["_r"], "t", "t", {"_rain": "total"}, "forward")
+    return _zero_weight(found, F.coalesce("_rain", "_end") >= threshold).select(*df.columns)
 
 
 def flag_edges(df: DataFrame, axis: list[str], order: str, begin: int, end: int) -> DataFrame:

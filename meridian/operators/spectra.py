@@ -89,15 +89,21 @@ def run_round_centre(df: DataFrame, axis: list[str], order: str) -> DataFrame:
 
 
 def fill_between(df: DataFrame, axis: list[str], position: str, value: str) -> DataFrame:
-    """Samples without weight filled linearly between the nearest ones with weight along the axis, else left."""
-    order = Window.partitionBy(*axis).orderBy(position)
-    good = F.when(F.col("w") > 0, F.struct(F.col(position).alias("x"), F.col(value).alias("y")))
-    low = F.last(good, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    high = F.first(good, ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
-    rows = df.withColumns({"_low": low, "_high": high})
+    """Samples without weight filled linearly between the nearest ones with weight along the axis, else left.
+
+    A filled sample's weight is that of the linear combination: 1 / (p1^2 / w1 + p2^2 / w2).
+    """
+    good = F.when(F.col("w") > 0, F.struct(F.col(position).alias("x"), F.col(value).alias("y"), F.col("w").alias("w")))
+    seen = lambda order: F.last(good, ignorenulls=True).over(Window.partitionBy(*axis).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    rows = df.withColumns({"_low": seen(F.col(position)), "_high": seen(F.desc(position))})
     p = (F.col(position) - F.col("_low.x")) / (F.col("_high.x") - F.col("_low.x"))
     between = F.col("_low.y") + p * (F.col("_high.y") - F.col("_low.y"))
-    return rows.withColumn(value, F.when(F.col("w") > 0, F.col(value)).otherwise(F.coalesce(between, F.col(value)))).drop("_low", "_high")
+    weight = inv0((1 - p) * (1 - p) * inv0(F.col("_low.w")) + p * p * inv0(F.col("_high.w")))
+    ok = F.col("w") > 0
+    return rows.withColumns({
+        value: F.when(ok, F.col(value)).otherwise(F.coalesce(between, F.col(value))),
+        "w": F.when(ok, F.col("w")).otherwise(F.coalesce(weight, F.lit(0.0))),
+    }).drop("_low", "_high")
 
 
 def regrid_bins(df: DataFrame, axis: list[str], position: Column, value: str) -> DataFrame:

@@ -70,9 +70,9 @@ def interpolate(grid: DataFrame, samples: DataFrame, axis: list[str], x: str, va
     """
     pair = F.struct(F.col(x).alias("x"), F.col(value).alias("y"), F.col("w").alias("w"))
     both = grid.withColumns({"_grid": F.lit(1)}).unionByName(samples.select(*axis, x, F.lit(0).alias("_grid"), pair.alias("_s")), allowMissingColumns=True)
-    order = Window.partitionBy(*axis).orderBy(x, F.col("_grid").desc())
-    low = F.last("_s", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    high = F.first("_s", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    seen = lambda *order: F.last("_s", ignorenulls=True).over(Window.partitionBy(*axis).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    # A sample at x itself is both neighbours' candidate: it comes before the grid row in the one order and in the other.
+    low, high = seen(x, "_grid"), seen(F.desc(x), "_grid")
     rows = both.withColumns({"_low": low, "_high": high}).where("_grid = 1")
     a1 = (F.col("_high")["x"] - F.col(x)) * inv0(F.col("_high")["x"] - F.col("_low")["x"])
     ok = F.coalesce((F.col("_low")["w"] > 0) & (F.col("_high")["w"] > 0), F.lit(False))
@@ -81,6 +81,27 @@ def interpolate(grid: DataFrame, samples: DataFrame, axis: list[str], x: str, va
     return rows.select(*grid.columns, F.when(ok, y).otherwise(0.0).alias(value), F.when(ok, weight).otherwise(0.0).alias("w"))
 
 
+def trailing_sum(df: DataFrame, t: str, tie: str, value: str, n: int, width: float) -> DataFrame:
+    """df with total: the sum of value over the last n rows by (t, tie), the row itself included, of the whole table.
+
+    Rows are dealt into ranges of t of `width`. Each range takes the n - 1 rows before it along: those it needs from
+    earlier ranges are named by the ranges' row counts alone, so no task holds more than a range and its halo.
+    """
+    rows = df.withColumn("_r", F.floor(F.col(t) / width).cast("long"))
+    back = Window.partitionBy("_r").orderBy(F.desc(t), F.desc(tie))
+    # A range's last n - 1 rows may be wanted by later ranges, as long as the ranges between hold fewer rows.
+    ends = rows.select("_r", t, tie, value, F.row_number().over(back).alias("_back")).where(F.col("_back") < n)
+    order = Window.orderBy("_r")
+    counts = rows.groupBy("_r").agg(F.count("*").alias("_c")).withColumn("_upto", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    before = counts.select("_r", "_c", (F.col("_upto") - F.col("_c")).alias("_start"), F.collect_list(F.struct("_r", "_upto")).over(order.rowsBetween(-(n - 1), -1)).alias("_past"))
+    halo = before.select("_r", "_start", F.explode("_past").alias("_p")).where(F.col("_start") - F.col("_p._upto") < n - 1)
+    halo = halo.select(F.col("_r").alias("_to"), F.col("_p._r").alias("_r"), (F.col("_start") - F.col("_p._upto")).alias("_between"))
+    taken = ends.join(halo, "_r").where(F.col("_back") + F.col("_between") < n).select(F.col("_to").alias("_r"), t, tie, value, F.lit(False).alias("_own"))
+    both = rows.withColumn("_own", F.lit(True)).unionByName(taken, allowMissingColumns=True)
+    total = F.sum(value).over(Window.partitionBy("_r").orderBy(t, tie).rowsBetween(-(n - 1), 0))
+    return both.withColumn("total", total).where("_own").select(*df.columns, "total")
+
+
 def weighted_median(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """First value at which the summed weight passes half; the mean with the next one where it is half exactly."""
     order = Window.partitionBy(*group).orderBy(value, "w")

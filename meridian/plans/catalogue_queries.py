@@ -120,8 +120,8 @@ def q27_runnable_tags(opinion, file):
     file="file",
 )
 def q30_next_jobs(file):
-    waiting = file.where("NOT online AND start_t < 900000000").select("file_id", (~col("has_file")).alias("retry"), "start_t")
-    return waiting.orderBy(F.when(col("retry"), 0).otherwise(1), "start_t", "file_id").limit(50).select("file_id", "retry")
+    waiting = file.where("NOT online").select("file_id", (~col("has_file")).alias("retry"), "start_t")
+    return Q.next_jobs(waiting, 900086400.0, 50).select("file_id", "retry")
 
 
 @query("SELECT lsd, CAST(2000+lsd//360 AS BIGINT) AS year, CAST(1+(lsd//90)%4 AS BIGINT) AS quarter, CAST(lsd%2 AS BIGINT) AS part FROM fx_opinion", opinion="opinion")
@@ -199,8 +199,8 @@ _NEXT = "fx_day a JOIN fx_day b ON a.lsd+1=b.lsd AND a.freq_id=b.freq_id AND a.s
 def u5_mix_two(day):
     other = day.select((col("lsd") - 1).alias("lsd"), "freq_id", "stack_id", "ra_id", col("re").alias("re2"), col("w").alias("w2"))
     weight = F.when((col("w") > 0) & (col("w2") > 0), X.inv0(0.271828 * 0.271828 * X.inv0(col("w")) + 0.728172 * 0.728172 * X.inv0(col("w2")))).otherwise(0.0)
-    mixed = day.join(other, CELL).select(*CELL, F.round(0.271828 * col("re") + 0.728172 * col("re2"), 4).alias("re"), weight.alias("w"))
-    return rounded(mixed)
+    mixed = day.join(other, CELL).select(*CELL, (0.271828 * col("re") + 0.728172 * col("re2")).alias("re"), weight.alias("w"))
+    return rounded(mixed, re=4)
 
 
 _STACKED = "(SELECT freq_id, stack_id, ra_id, CASE WHEN sum(w)=0 THEN 0 ELSE sum(w*re)/sum(w) END AS re, sum(w) AS w FROM fx_day GROUP BY freq_id, stack_id, ra_id)"
@@ -215,8 +215,8 @@ def u6_blend_stack(day):
     cell = ["freq_id", "stack_id", "ra_id"]
     stack = day.groupBy(*cell).agg((F.sum(col("w") * col("re"))).alias("_s"), (0.1 * F.sum("w")).alias("_w"))
     w = col("w") + col("_w")
-    blended = day.join(stack, cell).select(*CELL, F.round((col("w") * col("re") + 0.1 * col("_s")) * X.inv0(w), 4).alias("re"), w.alias("w"))
-    return rounded(blended)
+    blended = day.join(stack, cell).select(*CELL, ((col("w") * col("re") + 0.1 * col("_s")) * X.inv0(w)).alias("re"), w.alias("w"))
+    return rounded(blended, re=4)
 
 
 @query(
@@ -275,7 +275,7 @@ def k6_nearest_beam(catalog):
 def x10_beam_widths(catalog):
     width = lambda p: X.beam_sigma(F.lit(600.0), col("dec"), F.lit(p))
     flat = F.exp(-F.pow(F.abs((col("dec") - 49.3) / 40), F.lit(6)))
-    return rounded(catalog.select("source_id", width("X").alias("sigma_x"), width("Y").alias("sigma_y"), F.round(flat, 6).alias("north_south")), 8)
+    return rounded(catalog.select("source_id", width("X").alias("sigma_x"), width("Y").alias("sigma_y"), flat.alias("north_south")), 8, north_south=6)
 
 
 @query("SELECT sample_id, CAST(freq_id*4096+(input_id%16)*256+(sample_id%16)*16+(lsd+16)%16 AS BIGINT) AS stream, sample_id%16 AS slot FROM fx_vis", vis="vis")

@@ -11,7 +11,7 @@ from meridian.operators import fits as M
 from meridian.operators import index as Q
 from meridian.operators import masks as D
 from meridian.operators import windows as W
-from meridian.operators.joins import asof_join, interval_join, overlap_join
+from meridian.operators.joins import asof_join, interval_join, nearest_key, overlap_join
 from meridian.plans.quarter_stack import quarter_stack as _quarter_stack
 from meridian.plans.registry import R, col, query, rounded
 from meridian.streaming import groups as T
@@ -43,11 +43,9 @@ def s8_select_beam(spec):
     return rounded(spec.where(F.floor(col("beam") / 4).isin(0, 1) & (col("beam") % 4).between(1, 2)))
 
 
-@query(f"SELECT b.freq_id, arg_min(c.source_id, abs(c.dec - 10*b.freq_id)*1000+c.source_id) AS source_id FROM (SELECT DISTINCT freq_id FROM fx_spec) b CROSS JOIN fx_catalog c GROUP BY b.freq_id", spec="spec", catalog="catalog")
-def s9_nearest_beam(spec, catalog):
-    beams = spec.select("freq_id").distinct()
-    pairs = beams.crossJoin(F.broadcast(catalog.select("source_id", "dec")))  # a beam list of fixed size
-    return pairs.groupBy("freq_id").agg(F.min_by("source_id", F.abs(col("dec") - 10 * col("freq_id")) * 1000 + col("source_id")).alias("source_id"))
+@query("SELECT v.sample_id, (SELECT min(c.source_id) FROM fx_catalog c WHERE c.dec = arg_min) AS source_id FROM (SELECT sample_id, (SELECT arg_min(c.dec, abs(c.dec - v.im)*1000 + c.dec) FROM (SELECT DISTINCT dec FROM fx_catalog) c) AS arg_min FROM fx_vis v) v", vis="vis", catalog="catalog")
+def s9_nearest_beam(vis, catalog):
+    return nearest_key(vis.select("sample_id", "im"), catalog.select("dec", "source_id"), "im", "dec", "source_id", 5.0).select("sample_id", "source_id")
 
 
 @query(
@@ -116,8 +114,11 @@ def q8_exclude_data_flags(vis, flags):
 
 
 @query(
-    """WITH n AS (SELECT acq_id, count(*) AS n FROM fx_file GROUP BY acq_id),
-    s AS (SELECT acq_id, n, CASE WHEN n <= 12 THEN n ELSE coalesce((SELECT arg_min(m, abs(m-12)*2 + CASE WHEN m > 12 THEN 1 ELSE 0 END) FROM range(1, 24) t(m) WHERE n % m < 1), 12) END AS m FROM n),
+    """WITH RECURSIVE n AS (SELECT acq_id, count(*) AS n FROM fx_file GROUP BY acq_id),
+    walk AS (SELECT acq_id, n, 1 AS k FROM n WHERE n > 12 AND n % 12 >= 1
+      UNION ALL SELECT acq_id, n, k + 1 FROM walk WHERE n % (12 - k) > 1 AND n % (12 + k) > 1 AND k < 11),
+    e AS (SELECT acq_id, n, max(k) AS k FROM walk GROUP BY acq_id, n),
+    s AS (SELECT n.acq_id, n.n, CASE WHEN n.n <= 12 THEN n.n WHEN k IS NULL THEN 12 WHEN n.n % (12 - k) < n.n % (12 + k) THEN 12 - k ELSE 12 + k END AS m FROM n LEFT JOIN e ON n.acq_id = e.acq_id),
     r AS (SELECT f.file_id, f.acq_id, row_number() OVER (PARTITION BY f.acq_id ORDER BY start_t, file_id) - 1 AS i, s.n, s.m FROM fx_file f JOIN s ON f.acq_id = s.acq_id)
     SELECT file_id, acq_id, CAST(least(greatest(floor((i - floor((n % m)/2.0e0))/m), 0), greatest(floor(n/m), 1) - 1) AS BIGINT) AS group_id FROM r""",
     file="file",
@@ -189,8 +190,11 @@ def q28_job_status(file):
     return Q.job_status(part("has_file"), part("online"), part("acqtype = 'weather'"), part("finish_t - start_t > 18000"), part("NOT has_file"))
 
 
-@query("""SELECT tag, CASE WHEN regexp_matches(right(log, 30000), 'password|token') THEN 'secret' WHEN regexp_matches(right(log, 30000), 'Licen[sc]ed') THEN 'license'
-    WHEN regexp_matches(right(log, 30000), '[0-9]{3}') THEN 'number' ELSE 'unknown' END AS class FROM fx_log""", log="log")
+_TAIL = "(CASE WHEN strlen(log) <= 30000 THEN log ELSE right(log, (SELECT max(k) FROM range(0, 30001, 1) r(k) WHERE strlen(right(log, k)) <= 30000)) END)"
+
+
+@query(f"""SELECT tag, CASE WHEN regexp_matches(log, 'password|token') THEN 'secret' WHEN regexp_matches(log, 'Licen[sc]ed') THEN 'license'
+    WHEN regexp_matches(log, '[0-9]{{3}}') THEN 'number' ELSE 'unknown' END AS class FROM (SELECT tag, {_TAIL} AS log FROM fx_log)""", log="log")
 def q29_classify_logs(log):
     return Q.classify_logs(log, {"secret": "password|token", "license": "Licen[sc]ed", "number": "[0-9]{3}"})
 
@@ -254,12 +258,29 @@ def d16_apply_data_flags(day, flags):
 
 
 _RA_S = "(ra-90 - 360*floor((ra-90)/360))"
-_RA_M = f"(CASE WHEN {_RA_S} < 60 THEN 0.5e0*(1+cos(pi()*{_RA_S}/60)) WHEN {_RA_S} > 120 AND {_RA_S} <= 180 THEN 0.5e0*(1+cos(pi()*({_RA_S}-180)/60)) WHEN {_RA_S} > 180 THEN 1 ELSE 0 END)"
+_RA_M = f"(CASE WHEN {_RA_S} > 120 AND {_RA_S} <= 180 THEN 0.5e0*(1+cos(pi()*({_RA_S}-180)/60)) WHEN {_RA_S} < 60 THEN 0.5e0*(1+cos(pi()*{_RA_S}/60)) WHEN {_RA_S} > 180 THEN 1 ELSE 0 END)"
 
 
-@query(f"SELECT {', '.join(CELL)}, {R(f're*{_RA_M}')} AS re, {R(f'w*{_RA_M}*{_RA_M}')} AS w FROM fx_day", day="day")
+@query(
+    f"""SELECT {', '.join(CELL)}, {R(f'(re-coalesce(m,0))*{_RA_M}')} AS re, {R(f'w*{_RA_M}*{_RA_M}')} AS w FROM fx_day
+    LEFT JOIN (SELECT lsd, freq_id, stack_id, quantile_cont(re, 0.5) AS m FROM fx_day WHERE {_RA_S} > 180 GROUP BY ALL) USING (lsd, freq_id, stack_id)""",
+    day="day",
+)
 def d10_mask_ra(day):
-    return rounded(D.mask_ra(day).select(*CELL, "re", "w"))
+    return rounded(D.mask_ra(day, ["lsd", "freq_id", "stack_id"]).select(*CELL, "re", "w"))
+
+
+_RAIN = """(SELECT t, sum(rain) OVER (ORDER BY t, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS total FROM fx_weather)"""
+
+
+@query(
+    f"""SELECT v.sample_id, CASE WHEN coalesce(r.total, (SELECT arg_max(total, t) FROM {_RAIN})) + 1e-7 >= 30.0e0 THEN 0.0e0 ELSE v.w END AS w
+    FROM fx_vis v ASOF LEFT JOIN {_RAIN} r ON v.t <= r.t""",
+    vis="vis", weather="weather",
+)
+def d21_flag_rainfall(vis, weather):
+    readings = weather.select(col("event_id").alias("reading_id"), "t", "rain")
+    return D.flag_rainfall(vis, readings, 30, 30.0 - 1e-7, 86400.0).select("sample_id", "w")
 
 
 @query("SELECT prod_id, NOT (xind = 0 OR pol <> 'XX') AS good FROM fx_baseline", baseline="baseline")
@@ -535,11 +556,9 @@ def w2_circular_difference(map):
     return rounded(W.circular_difference(map, ["freq_id", "el_id"], "ra_id", 180, 3, "val").select("freq_id", "el_id", "ra_id", "diff"))
 
 
-@query("SELECT event_id, round(sum(rain) OVER (ORDER BY t, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS total FROM (SELECT *, 1 AS k FROM fx_weather)", weather="weather")
+@query("SELECT event_id, round(sum(rain) OVER (ORDER BY t, event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) + 3.7e-9, 6) AS total FROM fx_weather", weather="weather")
 def w4_cumulative_rain(weather):
-    # One station has one series; with more the station is the partition.
-    order = Window.partitionBy(F.lit(1)).orderBy("t", "event_id").rowsBetween(-29, 0)
-    return weather.select("event_id", F.round(F.sum("rain").over(order), 6).alias("total"))
+    return rounded(W.trailing_sum(weather, "t", "event_id", "rain", 30, 86400.0).select("event_id", "total"))
 
 
 @query(
@@ -639,10 +658,10 @@ def x1_scalar_functions(vis):
     rot = X.cmul(v, X.cis(col("ra")))
     mhz = X.channel_mhz(col("freq_id"))
     out = vis.select(
-        "sample_id", rot[0].alias("rot_re"), F.sqrt(X.abs2(v)).alias("amp"), X.wrap(col("ra")).alias("wrapped"), F.round(X.stellar_angle(col("t"), -119.6), 4).alias("lsa"),
+        "sample_id", rot[0].alias("rot_re"), F.sqrt(X.abs2(v)).alias("amp"), X.wrap(col("ra")).alias("wrapped"), X.stellar_angle(col("t"), -119.6).alias("lsa"),
         X.sidereal_day(col("t"), 1704067200.0).alias("lsd_f"), mhz.alias("mhz"), X.wavelength(mhz).alias("lambda"),
     )
-    return rounded(out)
+    return rounded(out, lsa=4)
 
 
 @query(f"SELECT source_id, {R('1420.40575e0/(1+z)')} AS mhz, {R('14.87857614e0/(1420.40575e0/(1+z))/cos(radians(dec))')} AS sigma, CAST(round((800-1420.40575e0/(1+z))/400*1024) AS BIGINT) AS channel FROM fx_catalog", catalog="catalog")

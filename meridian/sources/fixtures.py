@@ -25,8 +25,8 @@ FIXTURES = {
         22.0e0*(user_id%4) AS x, 0.3e0*floor(user_id/8) AS y, user_id%13<>0 AS good FROM events
     """,
     "fx_baseline": """
-        SELECT a.input_id*32+b.input_id AS prod_id, a.input_id AS input_a, b.input_id AS input_b, concat(a.pol,b.pol) AS pol, abs(a.cyl-b.cyl) AS xind, a.x-b.x AS dx, a.y-b.y AS dy
-        FROM fx_input a JOIN fx_input b ON a.input_id<=b.input_id AND b.input_id<32
+        SELECT a.input_id*32+b.input_id-a.input_id AS prod_id, a.input_id AS input_a, b.input_id AS input_b, concat(a.pol,b.pol) AS pol, abs(a.cyl-b.cyl) AS xind, a.x-b.x AS dx, a.y-b.y AS dy
+        FROM fx_input a JOIN fx_input b ON a.input_id<=b.input_id AND b.input_id<a.input_id+32
     """,
     "fx_day": """
         SELECT lsd, freq_id, stack_id, ra_id, 15.0e0*ra_id AS ra, (lsd+ra_id/24.0e0)*5184000.0e0 AS t, avg(p/1000) AS re, avg(100*d) AS im,
@@ -44,11 +44,11 @@ FIXTURES = {
     """,
     "fx_flag_vis": """
         SELECT event_id AS flag_id, CASE WHEN user_id%2=0 THEN 'rain1mm' ELSE 'acjump' END AS flag_type, EPOCH(ts) AS start_t, EPOCH(ts)+cast(regexp_extract(props,'([0-9]+)',1) as int)*60.0e0 AS finish_t,
-        CASE WHEN user_id%3=0 THEN NULL ELSE user_id%5 END AS freq_id FROM events WHERE event_type='error' AND cast(regexp_extract(props,'([0-9]+)',1) as int)>=90 AND user_id<15
+        CASE WHEN user_id%3=0 THEN NULL ELSE user_id%5 END AS freq_id FROM events WHERE event_type='error'
     """,
     "fx_flag_day": """
         SELECT o_orderkey AS flag_id, CASE o_orderstatus WHEN 'F' THEN 'rain1mm' WHEN 'O' THEN 'acjump' ELSE 'globalflag' END AS flag_type, EPOCH(o_orderdate) AS start_t,
-        EPOCH(o_orderdate)+(1+o_orderkey%72)*43200.0e0 AS finish_t, CASE WHEN o_orderkey%3=0 THEN NULL ELSE 1+o_orderkey%7 END AS freq_id FROM orders WHERE o_orderkey%50=0 AND o_orderkey<1500
+        EPOCH(o_orderdate)+(1+o_orderkey%72)*600.0e0 AS finish_t, CASE WHEN o_orderkey%3=0 THEN NULL ELSE 1+o_orderkey%7 END AS freq_id FROM orders
     """,
     "fx_weather": """
         SELECT event_id, EPOCH(ts) AS t, value/100 AS rain, cast(regexp_extract(props,'([0-9]+)',1) as int)/2.0e0 AS temperature FROM events WHERE event_type='view'
@@ -90,8 +90,8 @@ def _needs(sql: str) -> list[str]:
 def _with(sql: str) -> str:
     parts = [f"{name} AS ({FIXTURES[name].strip()})" for name in _needs(sql)]
     body = sql.strip()
-    if body[:5].upper() == "WITH ":
-        return f"WITH {', '.join([*parts, body[5:]])}"
+    if head := re.match(r"WITH\s+(RECURSIVE\s+)?", body, re.I):
+        return f"WITH {(head[1] or '')}{', '.join([*parts, body[head.end():]])}"
     return f"WITH {', '.join(parts)} {body}" if parts else body
 
 

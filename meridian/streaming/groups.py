@@ -31,9 +31,8 @@ def running_stack(df: DataFrame, cell: list[str]) -> DataFrame:
     return df.groupBy(*cell).agg((F.sum(F.col("w") * F.col("re")) * inv0(F.sum("w"))).alias("re"), F.sum("w").alias("w"), F.count("*").alias("n"))
 
 
-def split_late(df: DataFrame, ts: Column, watermark_seconds: int) -> tuple[DataFrame, DataFrame]:
-    """Rows within and beyond the allowed lateness behind the latest event of a micro-batch."""
-    latest = df.agg(F.max(ts).alias("_latest"))
-    rows = df.crossJoin(F.broadcast(latest))
-    late = ts < F.col("_latest") - F.expr(f"INTERVAL {watermark_seconds} SECONDS")
-    return rows.where(~late).drop("_latest"), rows.where(late).drop("_latest")
+def on_time_and_late(batch: DataFrame, ts: Column, latest_before: float, allowed_seconds: float) -> tuple[DataFrame, DataFrame]:
+    """A micro-batch's rows within and beyond the allowed lateness behind the latest event (epoch seconds) of the
+    batches before it; for use inside foreachBatch, which keeps latest_before."""
+    late = ts.cast("double") < latest_before - allowed_seconds
+    return batch.where(~late), batch.where(late)

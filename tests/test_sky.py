@@ -11,10 +11,12 @@ from meridian.functions import scalar as X
 from meridian.operators import aggregates as A
 from meridian.operators import masks as D
 from meridian.operators import windows as W
-from meridian.operators.joins import asof_join, interval_join, overlap_join
-from meridian.plans import catalogue_queries, instrument_queries, queries  # noqa: F401
+from meridian.operators import index as Q
+from meridian.operators.joins import asof_join, interval_join, nearest_key, overlap_join
+from meridian.plans import calibration_queries, catalogue_queries, instrument_queries, queries  # noqa: F401
 from meridian.plans.registry import ORACLES, QUERIES
 from meridian.sources.fixtures import TABLES
+from meridian.streaming import groups as T
 
 DATA = "/root/testdata/sf0.001"
 
@@ -101,10 +103,63 @@ def test_query_matches_sql(spark, duck, name):
     want = duck.sql(ORACLES[name])
     assert sorted(got.columns) == sorted(want.columns)
     order = sorted(got.columns)
-    key = lambda r: tuple((x is None, x if not isinstance(x, float) else round(x, 4)) for x in r)
+    key = lambda r: tuple((x is None, x) for x in r)
     a = sorted((tuple(r) for r in got.select(*order).collect()), key=key)
     b = sorted(want.project(", ".join(f'"{c}"' for c in order)).fetchall(), key=key)
     assert len(a) == len(b)
-    for x, y in zip(a, b):
-        for p, q in zip(x, y):
-            assert p == q or (isinstance(p, float) and isinstance(q, (int, float)) and math.isclose(p, q, abs_tol=2e-4, rel_tol=1e-6)), (name, x, y)
+    assert not [(x, y) for x, y in zip(a, b) if x != y][:3], name
+
+
+def test_asof_is_linear_in_a_key(spark):
+    """All three directions over one key, against brute force."""
+    import bisect
+
+    at = [k * 7919 % 5000 / 10 for k in range(400)]
+    left = spark.createDataFrame([(1, t) for t in at], "k int, t double")
+    right = spark.createDataFrame([(1, u, str(u)) for u in sorted({k * 104729 % 500 * 1.0 for k in range(90)})], "k int, u double, v string")
+    us = sorted({k * 104729 % 500 * 1.0 for k in range(90)})
+    low = lambda t: us[bisect.bisect_right(us, t) - 1] if us[0] <= t else None
+    high = lambda t: us[bisect.bisect_left(us, t)] if us[-1] >= t else None
+    near = lambda t: min((x for x in (low(t), high(t)) if x is not None), key=lambda x: (abs(x - t), x))
+    for direction, want in (("backward", low), ("forward", high), ("nearest", near)):
+        got = rows(asof_join(left, right, ["k"], "t", "u", {"u": "u"}, direction), "t", "u")
+        assert got == sorted((t, want(t)) for t in at)
+
+
+def test_nearest_key(spark):
+    left = spark.createDataFrame([(k, float(k * 37 % 200 - 20)) for k in range(60)], "i int, x double")
+    ys = [(5.0, 2), (5.0, 1), (60.0, 3), (61.5, 4), (170.0, 5)]
+    right = spark.createDataFrame(ys, "y double, v int")
+    for width in (1.0, 7.0, 500.0):
+        got = dict(rows(nearest_key(left, right, "x", "y", "v", width), "i", "v"))
+        assert got == {i: min((abs(y - x), y, v) for y, v in ys)[2] for i, x in rows(left, "i", "x")}
+
+
+def test_trailing_sum_over_ranges(spark):
+    at = [float(t) for t in (0, 1, 2, 2, 3, 50, 51, 52, 200, 900, 901, 902, 903, 904, 905)]
+    df = spark.createDataFrame([(k, t, float(k + 1)) for k, t in enumerate(at)], "i int, t double, x double")
+    for n in (1, 3, 6, 40):
+        for width in (1.0, 10.0, 5000.0):
+            got = dict(rows(W.trailing_sum(df, "t", "i", "x", n, width), "i", "total"))
+            assert got == {k: sum(range(max(0, k - n + 1) + 1, k + 2)) for k in range(len(at))}
+
+
+def test_group_sizes(spark):
+    files = spark.createDataFrame([(k, 1, float(k)) for k in range(25)], "file_id int, acq_id int, start_t double")
+    sizes = {}
+    for _, g in rows(Q.group_acquisitions(files, 12), "file_id", "group_id"):
+        sizes[g] = sizes.get(g, 0) + 1
+    assert sorted(sizes.values()) == [8, 8, 9]  # 12 leaves 1 of 25, as do sizes out to 8, the first with a rest of 1
+
+
+def test_streams_equal_batches(spark, tmp_path):
+    """Running stacks and day groups over a file stream give the batch results."""
+    df = spark.createDataFrame([(k % 3, 86400.0 * (k // 40) + 600.0 * (k % 40), float(k), 1.0 + k % 2) for k in range(160)], "cell int, t double, re double, w double")
+    df.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    plans = {"stack": lambda x: T.running_stack(x, ["cell"]), "days": lambda x: T.day_groups(x, F.col("t") / 86400.0, 0.01, 3600.0)}
+    for name, plan in plans.items():
+        done = plan(stream).writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        done.awaitTermination(120)
+        want = plan(df)
+        assert rows(spark.table(name), *want.columns) == rows(want, *want.columns)
