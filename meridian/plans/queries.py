@@ -190,11 +190,13 @@ def q28_job_status(file):
     return Q.job_status(part("has_file"), part("online"), part("acqtype = 'weather'"), part("finish_t - start_t > 18000"), part("NOT has_file"))
 
 
-_TAIL = "(CASE WHEN strlen(log) <= 30000 THEN log ELSE right(log, (SELECT max(k) FROM range(0, 30001, 1) r(k) WHERE strlen(right(log, k)) <= 30000)) END)"
+_FITS = "lambda k: strlen(right(log, k)) <= 30000"
+_TAIL = f"""(SELECT tag, log FROM fx_log WHERE strlen(log) <= 30000 UNION ALL SELECT tag, right(log, list_max(list_filter(range(k, k + 151), {_FITS}))) AS log
+  FROM (SELECT tag, log, list_max(list_filter(range(0, 30001, 150), {_FITS})) AS k FROM fx_log WHERE strlen(log) > 30000))"""
 
 
 @query(f"""SELECT tag, CASE WHEN regexp_matches(log, 'password|token') THEN 'secret' WHEN regexp_matches(log, 'Licen[sc]ed') THEN 'license'
-    WHEN regexp_matches(log, '[0-9]{{3}}') THEN 'number' ELSE 'unknown' END AS class FROM (SELECT tag, {_TAIL} AS log FROM fx_log)""", log="log")
+    WHEN regexp_matches(log, '[0-9]{{3}}') THEN 'number' ELSE 'unknown' END AS class FROM {_TAIL}""", log="log")
 def q29_classify_logs(log):
     return Q.classify_logs(log, {"secret": "password|token", "license": "Licen[sc]ed", "number": "[0-9]{3}"})
 
