@@ -46,6 +46,9 @@ FIXTURES = {
         SELECT event_id AS flag_id, CASE WHEN user_id%2=0 THEN 'rain1mm' ELSE 'acjump' END AS flag_type, EPOCH(ts) AS start_t, EPOCH(ts)+cast(regexp_extract(props,'([0-9]+)',1) as int)*60.0e0 AS finish_t,
         CASE WHEN user_id%3=0 THEN NULL ELSE user_id%5 END AS freq_id FROM events WHERE event_type='error'
     """,
+    "fx_flag_meta": """
+        SELECT event_id AS flag_id, EPOCH(ts) AS start_t, EPOCH(ts)+600.0e0 AS finish_t, props AS metadata, cast(regexp_extract(props,'([0-9]+)',1) as int) AS k FROM events WHERE event_type='error'
+    """,
     "fx_flag_day": """
         SELECT o_orderkey AS flag_id, CASE o_orderstatus WHEN 'F' THEN 'rain1mm' WHEN 'O' THEN 'acjump' ELSE 'globalflag' END AS flag_type, EPOCH(o_orderdate) AS start_t,
         EPOCH(o_orderdate)+(1+o_orderkey%72)*600.0e0 AS finish_t, CASE WHEN o_orderkey%3=0 THEN NULL ELSE 1+o_orderkey%7 END AS freq_id FROM orders
