@@ -7,8 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.functions.scalar import cinv0, cis, cmul, cosine_taper, inv0
+from meridian.functions.scalar import cinv0, cis, cmul, cosine_taper, inv0, modulo
+from meridian.operators.calibration import doppler, half_hanning
 from meridian.operators.joins import asof_join
+from meridian.operators.windows import interpolate
 
 
 def flatten_spectra(df: DataFrame, channel: list[str], time: str, shape: Column, prior: float = 1e4, legacy_weight: bool = False) -> DataFrame:
@@ -129,3 +131,76 @@ def thermal_gain(df: DataFrame, t: str, transition: float, slope: Column) -> Dat
     out = df.withColumn("gain", F.when(good, gain).otherwise(0.0))
     k = cinv0((F.col("gain"), F.lit(0.0)))[0]
     return out.withColumns({"re": F.col("re") * k, "im": F.col("im") * k, "w": F.col("w") * F.col("gain") * F.col("gain")})
+
+
+def align_beams(df: DataFrame, axis: list[str], ra: str, value: str, hour_angle: Column) -> DataFrame:
+    """df with its value and w read at the same right ascensions once each beam's samples are moved by its hour angle.
+
+    Linear between the moved samples, round the circle: of each series the first and the last also stand a turn away.
+    """
+    moved = df.select(*axis, modulo(F.col(ra) - hour_angle, 360.0).alias(ra), value, "w")
+    row = F.struct(ra, value, "w")
+    ends = moved.groupBy(*axis).agg(F.min(row).alias("_low"), F.max(row).alias("_high"))
+    beyond = lambda c, turn: F.struct((F.col(c)[ra] + turn).alias(ra), F.col(c)[value].alias(value), F.col(c)["w"].alias("w"))
+    copies = ends.select(*axis, F.explode(F.array(beyond("_low", 360.0), beyond("_high", -360.0))).alias("_c")).select(*axis, "_c.*")
+    return interpolate(df.drop(value, "w"), moved.unionByName(copies), axis, ra, value).select(*df.columns)
+
+
+def doppler_shift(df: DataFrame, axis: list[str], mhz: str, value: str, km_s: Column, day: str | None = None) -> DataFrame:
+    """Spectra read at the frequencies that a frame moving at km_s sees, linear between channels; beyond them x and w are 0.
+
+    With day, df must hold one day alone: one speed can't stand for several.
+    """
+    if day is not None:
+        span = df.agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+        if span["a"] != span["b"]:
+            raise ValueError("several days need a time of their own for the speed")
+    grid = df.withColumns({"_own": F.col(mhz), mhz: doppler(F.col(mhz), km_s)}).drop(value, "w")
+    out = interpolate(grid, df.select(*axis, mhz, value, "w"), axis, mhz, value)
+    return out.withColumn(mhz, F.col("_own")).select(*df.columns)
+
+
+def taper_mask(df: DataFrame, axis: list[str], position: str, size: int, mask: str, n: int, outer: bool = False) -> DataFrame:
+    """df with taper: the mask (1 or 0), on either side of each of its steps times half a Hanning window of n cells.
+
+    The windows go into the mask, round the ring of `size` cells; with outer they go out of it.
+    """
+    on = ~F.col(mask) if outer else F.col(mask)
+    rows = df.withColumn("_on", on.cast("double"))
+    step = rows.withColumn("_d", F.col("_on") - F.lag("_on").over(Window.partitionBy(*axis).orderBy(position))).where("_d <> 0")
+    # A rise at p is 0 at p - 1 and grows from there; a fall at p is 0 at p and grows backwards.
+    at = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_j")
+    ramps = step.select(*axis, position, "_d", at).withColumn("_p", F.when(F.col("_d") > 0, F.col(position) - 1 + F.col("_j")).otherwise(F.col(position) - F.col("_j")))
+    factors = ramps.groupBy(*axis, F.pmod("_p", F.lit(size)).alias(position)).agg(F.product(half_hanning(F.col("_j"), n)).alias("_f"))
+    taper = F.col("_on") * F.coalesce("_f", F.lit(1.0))
+    return rows.join(factors, [*axis, position], "left").withColumn("taper", 1 - taper if outer else taper).select(*df.columns, "taper")
+
+
+def decorrelated_cylinders(vis: DataFrame, products: DataFrame, on: list[str], cylinders: int, threshold: float) -> DataFrame:
+    """on, bad: whether the samples without some cylinder are `threshold` times those with it, in the median.
+
+    vis: prod_id, on, re, im, w. products (prod_id, pol, yind, cyl_a, cyl_b) join neighbouring cylinders; those of
+    one (pol, yind) are copies, and only such with cylinders - 1 of them count. The median is over (pol, yind) with
+    valid samples on both sides; where there is none, bad is false.
+    """
+    copies = F.count("*").over(Window.partitionBy("pol", "yind"))
+    whole = products.withColumn("_n", copies).where(F.col("_n") == cylinders - 1).drop("_n")
+    cells = vis.join(whole, "prod_id").withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cylinders - 1).cast("long"))))
+    size, valid = F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")), F.col("w") > 0
+    held = (F.col("_c") == F.col("cyl_a")) | (F.col("_c") == F.col("cyl_b"))
+    means = cells.groupBy(*on, "pol", "yind", "_c").agg(F.avg(F.when(valid & held, size)).alias("_with"), F.avg(F.when(valid & ~held, size)).alias("_without"))
+    ratios = means.where("_with IS NOT NULL AND _without IS NOT NULL").groupBy(*on, "_c").agg(F.percentile(F.col("_without") * inv0(F.col("_with")), F.lit(0.5)).alias("_m"))
+    found = ratios.groupBy(*on).agg(F.max(F.col("_m") > threshold).alias("bad"))
+    return vis.select(*on).distinct().join(found, on, "left").withColumn("bad", F.coalesce("bad", F.lit(False)))
+
+
+def spread_to_slots(df: DataFrame, slot: list[str], most: float) -> DataFrame:
+    """bad also for all rows of a slot of which more than a share `most` is bad."""
+    share = F.avg(F.col("bad").cast("double")).over(Window.partitionBy(*slot))
+    return df.withColumn("bad", F.col("bad") | (share > most))
+
+
+def channel_range(df: DataFrame, freq_id: str, low: float, high: float) -> DataFrame:
+    """Channels from the one nearest to the frequency `high` up to, not including, the one nearest to `low` (MHz)."""
+    first, end = (round((800.0 - f) / 400.0 * 1024.0) for f in (high, low))
+    return df.where((F.col(freq_id) >= first) & (F.col(freq_id) < end))

@@ -121,3 +121,74 @@ def w16_thermal_calibration(vis, weather):
         known = known.withColumn("_h", hour(at)).join(hourly.withColumnRenamed("_temp", name), "_h", "left").drop("_h")
     out = M.thermal_gain(known, "t", 36000.0, (2 + col("freq_id")) * 1e-3)
     return rounded(out.select("sample_id", "gain", "re", "w"), 5, gain=6)
+
+
+_BETWEEN = "CASE WHEN hx=lx THEN 0 ELSE (hx-ex)/(hx-lx) END AS p"
+_VALUE = "CASE WHEN lw>0 AND hw>0 THEN p*ly+(1-p)*hy ELSE 0 END"
+_WEIGHT = "CASE WHEN lw>0 AND hw>0 THEN 1/(p*p/lw+(1-p)*(1-p)/hw) ELSE 0 END"
+_HA = "(0.37e0*(el_id-4.5e0))"
+
+
+@query(
+    f"""WITH r AS (SELECT freq_id, el_id, (ra-{_HA}) - 360*floor((ra-{_HA})/360) AS x, val AS y, w FROM fx_map),
+    s AS (SELECT freq_id, el_id, x+turn AS x, y, w FROM r, (SELECT unnest([-360.0e0, 0.0e0, 360.0e0]) AS turn) t),
+    b AS (SELECT m.freq_id, m.el_id, m.ra_id, m.ra AS ex, s.x AS lx, s.y AS ly, s.w AS lw FROM fx_map m ASOF LEFT JOIN s ON m.freq_id=s.freq_id AND m.el_id=s.el_id AND m.ra >= s.x),
+    f AS (SELECT b.*, s.x AS hx, s.y AS hy, s.w AS hw FROM b ASOF LEFT JOIN s ON b.freq_id=s.freq_id AND b.el_id=s.el_id AND b.ex <= s.x), a AS (SELECT *, {_BETWEEN} FROM f)
+    SELECT freq_id, el_id, ra_id, {R(_VALUE, 5)} AS val, {R(_WEIGHT, 5)} AS w FROM a""",
+    map="map",
+)
+def w10_align_beams(map):
+    rows = map.select("freq_id", "el_id", "ra_id", "ra", "val", "w")
+    return rounded(M.align_beams(rows, ["freq_id", "el_id"], "ra", "val", 0.37 * (col("el_id") - 4.5)).drop("ra"), 5)
+
+
+@query(
+    f"""WITH s AS (SELECT *, 600-0.4e0*freq_id+subfreq*0.006e0 AS f FROM fx_spec), g AS (SELECT *, f*(1-(10.0e0+t_id%7)/299792.458e0) AS ex FROM s),
+    b AS (SELECT g.freq_id, g.beam, g.t_id, g.subfreq, g.ex, s.f AS lx, s.x AS ly, s.w AS lw FROM g ASOF LEFT JOIN s ON g.freq_id=s.freq_id AND g.beam=s.beam AND g.t_id=s.t_id AND g.ex >= s.f),
+    f AS (SELECT b.*, s.f AS hx, s.x AS hy, s.w AS hw FROM b ASOF LEFT JOIN s ON b.freq_id=s.freq_id AND b.beam=s.beam AND b.t_id=s.t_id AND b.ex <= s.f), a AS (SELECT *, {_BETWEEN} FROM f)
+    SELECT freq_id, beam, t_id, subfreq, {R(_VALUE, 5)} AS x, {R(_WEIGHT, 5)} AS w FROM a""",
+    spec="spec",
+)
+def w11_doppler_shift(spec):
+    rows = spec.withColumn("mhz", 600 - 0.4 * col("freq_id") + col("subfreq") * 0.006)
+    return rounded(M.doppler_shift(rows, ["freq_id", "beam", "t_id"], "mhz", "x", 10.0 + col("t_id") % 7).drop("mhz"), 5)
+
+
+@query(
+    f"""WITH m AS (SELECT el_id, ra_id, avg(val) > 0 AS m FROM fx_map GROUP BY el_id, ra_id),
+    s AS (SELECT *, CAST(m AS INT) - lag(CAST(m AS INT)) OVER (PARTITION BY el_id ORDER BY ra_id) AS d FROM m),
+    r AS (SELECT el_id, (CASE WHEN d > 0 THEN ra_id-1+j ELSE ra_id-j END + 180)%180 AS ra_id, product(CASE WHEN j >= 3 THEN 1.0e0 ELSE 0.5e0*(1-cos(pi()*j/3.0e0)) END) AS f FROM s, range(4) t(j) WHERE d <> 0 GROUP BY 1, 2)
+    SELECT m.el_id, m.ra_id, {R('CAST(m AS INT)*coalesce(f, 1)')} AS taper FROM m LEFT JOIN r ON m.el_id=r.el_id AND m.ra_id=r.ra_id""",
+    map="map",
+)
+def d11_taper_mask(map):
+    mask = map.groupBy("el_id", "ra_id").agg((F.avg("val") > 0).alias("m"))
+    return rounded(M.taper_mask(mask, ["el_id"], "ra_id", 180, "m", 4).drop("m"))
+
+
+@query(
+    """WITH p AS (SELECT min(b.prod_id) AS prod_id, b.pol, CAST(round(b.dy/0.3e0) AS BIGINT) AS yind, ia.cyl AS cyl_a, ib.cyl AS cyl_b FROM fx_baseline b JOIN fx_input ia ON b.input_a=ia.input_id JOIN fx_input ib ON b.input_b=ib.input_id
+      WHERE b.xind=1 AND ia.cyl < ib.cyl GROUP BY ALL),
+    q AS (SELECT * FROM p QUALIFY count(*) OVER (PARTITION BY pol, yind) = 3),
+    v AS (SELECT b.prod_id, c.freq_id, CAST(floor(c.t/2592000) AS BIGINT) AS month, sqrt(c.re*c.re+c.im*c.im) AS a, c.w-10 > 0 AS ok FROM fx_cell c JOIN fx_baseline b ON c.input_id=b.input_a WHERE b.xind=1),
+    g AS (SELECT freq_id, month, pol, yind, k, avg(CASE WHEN ok AND k IN (cyl_a, cyl_b) THEN a END) AS yes, avg(CASE WHEN ok AND k NOT IN (cyl_a, cyl_b) THEN a END) AS no FROM v JOIN q USING (prod_id), range(4) t(k) GROUP BY ALL),
+    h AS (SELECT freq_id, month, k, median(no/yes) AS m FROM g WHERE yes IS NOT NULL AND no IS NOT NULL GROUP BY ALL),
+    f AS (SELECT freq_id, month, bool_or(m > 1.2503e0) AS bad FROM h GROUP BY ALL),
+    a AS (SELECT d.freq_id, d.month, coalesce(f.bad, false) AS bad FROM (SELECT DISTINCT freq_id, month FROM v) d LEFT JOIN f ON d.freq_id=f.freq_id AND d.month=f.month)
+    SELECT freq_id, month, bad OR avg(CAST(bad AS INT)) OVER (PARTITION BY month, freq_id%2) > 0.7e0 AS bad FROM a""",
+    cell="cell", baseline="baseline", inputs="input",
+)
+def d26_decorrelated_cylinders(cell, baseline, inputs):
+    side = lambda x: inputs.select(col("input_id").alias(f"input_{x}"), col("cyl").alias(f"cyl_{x}"))
+    near = baseline.where("xind = 1")
+    pairs = near.join(side("a"), "input_a").join(side("b"), "input_b").where("cyl_a < cyl_b").withColumn("yind", F.round(col("dy") / 0.3).cast("long"))
+    products = pairs.groupBy("pol", "yind", "cyl_a", "cyl_b").agg(F.min("prod_id").alias("prod_id"))
+    month = F.floor(col("t") / 2592000).cast("long").alias("month")
+    vis = cell.select(col("input_id").alias("input_a"), "freq_id", month, "re", "im", (col("w") - 10).alias("w")).join(near.select("prod_id", "input_a"), "input_a")
+    bad = M.decorrelated_cylinders(vis, products, ["freq_id", "month"], 4, 1.2503)
+    return M.spread_to_slots(bad.withColumn("slot", col("freq_id") % 2), ["month", "slot"], 0.7).drop("slot")
+
+
+@query("SELECT freq_id, t_id, count(*) AS n FROM fx_spec WHERE freq_id >= 1 AND freq_id < 3 GROUP BY freq_id, t_id", spec="spec")
+def s6_channel_range(spec):
+    return M.channel_range(spec, "freq_id", 798.9, 799.5).groupBy("freq_id", "t_id").agg(F.count("*").alias("n"))
