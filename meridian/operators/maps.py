@@ -204,3 +204,43 @@ def channel_range(df: DataFrame, freq_id: str, low: float, high: float) -> DataF
     """Channels from the one nearest to the frequency `high` up to, not including, the one nearest to `low` (MHz)."""
     first, end = (round((800.0 - f) / 400.0 * 1024.0) for f in (high, low))
     return df.where((F.col(freq_id) >= first) & (F.col(freq_id) < end))
+
+
+def regrid_transit(df: DataFrame, axis: list[str], ra: str, source_ra: float, samples: int = 1024, ha_span: float = 180.0) -> DataFrame:
+    """axis, sample, ha, re, im, w: each series read at `samples` cell centres of hour angle round a source's transit.
+
+    Linear between a series' samples; w and values are 0 outside its coverage.
+    """
+    ha = modulo(F.col(ra) - source_ra + 180.0, 360.0) - 180.0
+    rows = df.select(*axis, ha.alias("ha"), "re", "im", "w")
+    grid = rows.select(*axis).distinct().select(*axis, F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("sample"))
+    grid = grid.withColumn("ha", ha_span * ((F.col("sample") + 0.5) / samples - 0.5))
+    return interpolate(grid, rows, axis, "ha", ["re", "im"])
+
+
+def fit_delays(df: DataFrame, series: list[str], x: str, phase: str, sigmas: list[float]) -> DataFrame:
+    """df with delay, offset and kept: per series the weighted line phase = offset + delay * x, fitted once for each
+    of `sigmas`, after which samples further off than so many weighted standard deviations lose their place.
+
+    Passes are windows over one partitioning, so the table is shuffled once. Samples of no weight aren't kept; a
+    series whose kept samples have one x has delay 0.
+    """
+    window = Window.partitionBy(*series)
+    rows = df.withColumn("kept", F.col("w") > 0)
+    for most in (*sigmas, None):
+        w = F.when(F.col("kept"), F.col("w")).otherwise(0.0)
+        mean = lambda e: F.sum(w * e).over(window) * inv0(F.sum(w).over(window))
+        rows = rows.withColumns({"_mx": mean(F.col(x)), "_my": mean(F.col(phase))})
+        dx, dy = F.col(x) - F.col("_mx"), F.col(phase) - F.col("_my")
+        rows = rows.withColumns({"_cov": mean(dx * dy), "_var": mean(dx * dx)})
+        rows = rows.withColumn("delay", F.when(F.col("_var") > 1e-12 * F.col("_mx") * F.col("_mx"), F.col("_cov") / F.col("_var")).otherwise(0.0)).withColumn("offset", F.col("_my") - F.col("delay") * F.col("_mx"))
+        if most is not None:
+            rows = rows.withColumn("_r", F.col(phase) - F.col("offset") - F.col("delay") * F.col(x))
+            rows = rows.withColumn("kept", F.col("kept") & (F.abs("_r") <= most * F.sqrt(mean(F.col("_r") * F.col("_r")))))
+    return rows.select(*df.columns, "delay", "offset", "kept")
+
+
+def good_fits(fits: DataFrame, series: list[str], item: list[str], least_kept: float = 0.85, least_passed: float = 0.5) -> DataFrame:
+    """item, good: whether more than least_passed of an item's series kept least_kept of their samples or more."""
+    passed = fits.groupBy(*series, *(c for c in item if c not in series)).agg(F.avg(F.col("kept").cast("double")).alias("_s"))
+    return passed.groupBy(*item).agg((F.avg((F.col("_s") >= least_kept).cast("double")) > least_passed).alias("good"))

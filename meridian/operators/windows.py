@@ -63,12 +63,14 @@ def block_outliers(df: DataFrame, block: dict[str, Column], nsigma: float, value
     return rows.withColumn("bad", F.col("_residual") > nsigma * 1.4826 * mad).drop("_residual", *block)
 
 
-def interpolate(grid: DataFrame, samples: DataFrame, axis: list[str], x: str, value: str) -> DataFrame:
-    """grid rows with the value interpolated linearly between the samples before and at or after x, and its weight.
+def interpolate(grid: DataFrame, samples: DataFrame, axis: list[str], x: str, value: str | list[str]) -> DataFrame:
+    """grid rows with the value (or values) interpolated linearly between the samples before and at or after x, and
+    its weight.
 
     Weight 0 outside the samples and where either sample has none. One shuffle: both sides go through one window.
     """
-    pair = F.struct(F.col(x).alias("x"), F.col(value).alias("y"), F.col("w").alias("w"))
+    values = [value] if isinstance(value, str) else value
+    pair = F.struct(F.col(x).alias("x"), *(F.col(v).alias(f"y_{v}") for v in values), F.col("w").alias("w"))
     both = grid.withColumns({"_grid": F.lit(1)}).unionByName(samples.select(*axis, x, F.lit(0).alias("_grid"), pair.alias("_s")), allowMissingColumns=True)
     seen = lambda *order: F.last("_s", ignorenulls=True).over(Window.partitionBy(*axis).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     # A sample at x itself is both neighbours' candidate: it comes before the grid row in the one order and in the other.
@@ -76,9 +78,9 @@ def interpolate(grid: DataFrame, samples: DataFrame, axis: list[str], x: str, va
     rows = both.withColumns({"_low": low, "_high": high}).where("_grid = 1")
     a1 = (F.col("_high")["x"] - F.col(x)) * inv0(F.col("_high")["x"] - F.col("_low")["x"])
     ok = F.coalesce((F.col("_low")["w"] > 0) & (F.col("_high")["w"] > 0), F.lit(False))
-    y = a1 * F.col("_low")["y"] + (1 - a1) * F.col("_high")["y"]
+    between = lambda v: a1 * F.col("_low")[f"y_{v}"] + (1 - a1) * F.col("_high")[f"y_{v}"]
     weight = inv0(a1 * a1 * inv0(F.col("_low")["w"]) + (1 - a1) * (1 - a1) * inv0(F.col("_high")["w"]))
-    return rows.select(*grid.columns, F.when(ok, y).otherwise(0.0).alias(value), F.when(ok, weight).otherwise(0.0).alias("w"))
+    return rows.select(*grid.columns, *(F.when(ok, between(v)).otherwise(0.0).alias(v) for v in values), F.when(ok, weight).otherwise(0.0).alias("w"))
 
 
 def trailing_sum(df: DataFrame, t: str, tie: str, value: str, n: int, width: float) -> DataFrame:

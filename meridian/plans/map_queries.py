@@ -192,3 +192,53 @@ def d26_decorrelated_cylinders(cell, baseline, inputs):
 @query("SELECT freq_id, t_id, count(*) AS n FROM fx_spec WHERE freq_id >= 1 AND freq_id < 3 GROUP BY freq_id, t_id", spec="spec")
 def s6_channel_range(spec):
     return M.channel_range(spec, "freq_id", 798.9, 799.5).groupBy("freq_id", "t_id").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"""WITH s AS (SELECT lsd, freq_id, stack_id, ra-100+180 - 360*floor((ra-100+180)/360) - 180 AS x, re AS y, im AS z, w FROM fx_day),
+    g AS (SELECT lsd, freq_id, stack_id, sample, 180*((sample+0.5e0)/16-0.5e0) AS ex FROM (SELECT DISTINCT lsd, freq_id, stack_id FROM fx_day), range(16) t(sample)),
+    b AS (SELECT g.*, s.x AS lx, s.y AS ly, s.z AS lz, s.w AS lw FROM g ASOF LEFT JOIN s ON g.lsd=s.lsd AND g.freq_id=s.freq_id AND g.stack_id=s.stack_id AND g.ex >= s.x),
+    f AS (SELECT b.*, s.x AS hx, s.y AS hy, s.z AS hz, s.w AS hw FROM b ASOF LEFT JOIN s ON b.lsd=s.lsd AND b.freq_id=s.freq_id AND b.stack_id=s.stack_id AND b.ex <= s.x), a AS (SELECT *, {_BETWEEN} FROM f)
+    SELECT lsd, freq_id, stack_id, CAST(sample AS INT) AS sample, {R(_VALUE, 5)} AS re, {R(_VALUE.replace('ly', 'lz').replace('hy', 'hz'), 5)} AS im, {R(_WEIGHT, 5)} AS w FROM a""",
+    day="day",
+)
+def w14_regrid_transit(day):
+    return rounded(M.regrid_transit(day, ["lsd", "freq_id", "stack_id"], "ra", 100.0, 16).drop("ha"), 5)
+
+
+def _fit(name: str, before: str) -> str:
+    """CTEs of one weighted line fit over the samples that `before` keeps."""
+    over = "OVER (PARTITION BY input_id, month)"
+    mean = lambda e: f"coalesce(sum(CASE WHEN kept THEN w*({e}) ELSE 0 END) {over}/nullif(sum(CASE WHEN kept THEN w ELSE 0 END) {over}, 0), 0)"
+    return f"""{name}m AS (SELECT * EXCLUDE (mx, my), {mean('x')} AS mx, {mean('y')} AS my FROM {before}),
+    {name}c AS (SELECT *, {mean('(x-mx)*(y-my)')} AS cov, {mean('(x-mx)*(x-mx)')} AS vr FROM {name}m),
+    {name}l AS (SELECT * EXCLUDE (cov, vr, delay), CASE WHEN vr > 1e-12*mx*mx THEN cov/vr ELSE 0 END AS delay FROM {name}c)"""
+
+
+def _cut(name: str, before: str, most: float) -> str:
+    over = "OVER (PARTITION BY input_id, month)"
+    return f"""{name}r AS (SELECT *, y-(my-delay*mx)-delay*x AS r FROM {before}),
+    {name} AS (SELECT * EXCLUDE (r, kept), kept AND abs(r) <= {most}*sqrt(coalesce(sum(CASE WHEN kept THEN w*r*r ELSE 0 END) {over}/nullif(sum(CASE WHEN kept THEN w ELSE 0 END) {over}, 0), 0)) AS kept FROM {name}r)"""
+
+
+_FITS = f"""WITH z AS (SELECT update_t, input_id, freq_id, CAST(floor(update_t/2592000) AS BIGINT) AS month, w, w > 0 AS kept, 0.8e0-0.4e0*freq_id/1024.0e0 AS x, atan2(im, re) AS y, 0.0e0 AS mx, 0.0e0 AS my, 0.0e0 AS delay FROM fx_gain),
+    {_fit('a', 'z')}, {_cut('ak', 'al', 2.47)}, {_fit('b', 'ak')}, {_cut('bk', 'bl', 1.97)}, {_fit('c', 'bk')}"""
+
+
+def _delays(gain):
+    rows = gain.select("update_t", "input_id", "freq_id", F.floor(col("update_t") / 2592000).cast("long").alias("month"), "w", (0.8 - 0.4 * col("freq_id") / 1024.0).alias("x"), F.atan2("im", "re").alias("y"))
+    return M.fit_delays(rows, ["input_id", "month"], "x", "y", [2.47, 1.97])
+
+
+@query(f"{_FITS} SELECT update_t, input_id, freq_id, {R('my-delay*mx+delay*x')} AS fitted, kept FROM cl", gain="gain")
+def m3_delay_fit(gain):
+    return rounded(_delays(gain).select("update_t", "input_id", "freq_id", (col("offset") + col("delay") * col("x")).alias("fitted"), "kept"))
+
+
+@query(
+    f"""{_FITS}, s AS (SELECT input_id, month, avg(CAST(kept AS INT)) AS s FROM cl GROUP BY input_id, month)
+    SELECT input_id, avg(CASE WHEN s >= 0.65e0 THEN 1 ELSE 0 END) > 0.5e0 AS good FROM s GROUP BY input_id""",
+    gain="gain",
+)
+def m3_good_inputs(gain):
+    return M.good_fits(_delays(gain), ["input_id", "month"], ["input_id"], 0.65)
