@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meridian.functions import scalar as X
+from meridian.operators import amplitudes as P
 from meridian.operators import maps as M
 from meridian.plans.gain_queries import _AT, _in_force
 from meridian.plans.registry import R, col, query, rounded
@@ -242,3 +243,42 @@ def m3_delay_fit(gain):
 )
 def m3_good_inputs(gain):
     return M.good_fits(_delays(gain), ["input_id", "month"], ["input_id"], 0.65)
+
+
+_AMP = """SELECT g.*, CASE WHEN input_id%8<4 THEN 'X' ELSE 'Y' END AS pol, CAST(floor(update_t/2592000) AS BIGINT) AS month, sqrt(re*re+im*im) AS a FROM fx_gain g"""
+
+
+def _amplitudes(gain):
+    return gain.withColumns({"pol": F.when(col("input_id") % 8 < 4, "X").otherwise("Y"), "month": F.floor(col("update_t") / 2592000).cast("long")})
+
+
+@query(
+    f"""WITH r0 AS (SELECT *, w > 0 AS k FROM ({_AMP})), m AS (SELECT month, median(a) FILTER (k) AS m FROM r0 GROUP BY month),
+    r1 AS (SELECT r0.* EXCLUDE (k), k AND a >= 0.3e0*m AND a <= 1.9e0*m AS k FROM r0 JOIN m USING (month)),
+    n AS (SELECT month, freq_id, pol, median(a) FILTER (k) AS m FROM r1 GROUP BY ALL), r2 AS (SELECT r1.*, m FROM r1 JOIN n USING (month, freq_id, pol)),
+    d AS (SELECT month, freq_id, pol, median(m-a) FILTER (k AND a < m) AS lo, median(a-m) FILTER (k AND a > m) AS hi FROM r2 GROUP BY ALL),
+    r3 AS (SELECT r2.* EXCLUDE (k, m), k AND a-m >= -2.5131e0*1.4826e0*coalesce(lo,0) AND a-m <= 2.5131e0*1.4826e0*coalesce(hi,0) AS k FROM r2 JOIN d USING (month, freq_id, pol)),
+    c AS (SELECT month, freq_id, pol, median(a) FILTER (k) AS m FROM r3 GROUP BY ALL HAVING m IS NOT NULL),
+    c1 AS (SELECT *, abs(m - quantile_cont(m, 0.5) OVER u) AS r FROM c WINDOW u AS (PARTITION BY month, pol ORDER BY freq_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+    c2 AS (SELECT month, freq_id, pol, r > 4.0131e0*1.4826e0*quantile_cont(r, 0.5) OVER u AS bad FROM c1 WINDOW u AS (PARTITION BY month, pol ORDER BY freq_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+    r4 AS (SELECT r3.* EXCLUDE (k), k AND NOT coalesce(bad, true) AS k FROM r3 LEFT JOIN c2 USING (month, freq_id, pol)),
+    f AS (SELECT month, freq_id, avg(CAST(k AS INT)) > 0.5e0 AS fine FROM r4 GROUP BY ALL), e AS (SELECT month FROM f GROUP BY month HAVING avg(CAST(fine AS INT)) >= 0.3e0),
+    r5 AS (SELECT r4.*, fine FROM r4 JOIN f USING (month, freq_id) JOIN e USING (month)), i AS (SELECT month, input_id, avg(CAST(k AS INT)) > 0.4e0 AS kept FROM r5 WHERE fine GROUP BY ALL)
+    SELECT update_t, input_id, freq_id, CASE WHEN k AND fine AND coalesce(kept, false) THEN w ELSE 0.0e0 END AS w FROM r5 LEFT JOIN i USING (month, input_id)""",
+    gain="gain",
+)
+def d27_flag_amplitudes(gain):
+    out = P.flag_amplitudes(_amplitudes(gain), ["month"], 0.3, 1.9, 2.5131, 4.0131, 3, 0.5, 0.4, 0.3)
+    return out.select("update_t", "input_id", "freq_id", "w")
+
+
+@query(
+    f"""WITH a AS (SELECT * EXCLUDE (a), CASE WHEN w > 0 THEN a END AS a FROM ({_AMP})),
+    b AS (SELECT *, abs(a - quantile_cont(a, 0.5) OVER u) AS r FROM a WINDOW u AS (PARTITION BY input_id, month ORDER BY freq_id, update_t ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING))
+    SELECT update_t, input_id, freq_id, CASE WHEN coalesce(r > 3.0131e0*1.4826e0*quantile_cont(r, 0.5) OVER u, false) THEN 0.0e0 ELSE w END AS w FROM b
+    WINDOW u AS (PARTITION BY input_id, month ORDER BY freq_id, update_t ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING)""",
+    gain="gain",
+)
+def m12_narrowband_features(gain):
+    rows = _amplitudes(gain).withColumn("at", F.struct("freq_id", "update_t"))
+    return P.narrowband_features(rows, ["input_id", "month"], "at", 4, 3.0131).select("update_t", "input_id", "freq_id", "w")

@@ -35,7 +35,7 @@ def s1_read_vis(vis):
 
 @query(f"SELECT update_t, input_id, freq_id, {R('re')} AS re, {R('im')} AS im, w FROM fx_gain WHERE update_kind NOT LIKE '%transition%'", gain="gain")
 def s3_gain_updates(gain):
-    return rounded(gain.where(~col("update_kind").contains("transition")).select("update_t", "input_id", "freq_id", "re", "im", F.coalesce("w", F.lit(1.0)).alias("w")))
+    return rounded(T.gain_updates(gain).select("update_t", "input_id", "freq_id", "re", "im", "w"))
 
 
 @query(f"SELECT freq_id, beam, t_id, subfreq, {R('x')} AS x, w FROM fx_spec WHERE beam//4 IN (0, 1) AND beam%4 BETWEEN 1 AND 2", spec="spec")

@@ -36,3 +36,14 @@ def on_time_and_late(batch: DataFrame, ts: Column, latest_before: float, allowed
     batches before it; for use inside foreachBatch, which keeps latest_before."""
     late = ts.cast("double") < latest_before - allowed_seconds
     return batch.where(~late), batch.where(late)
+
+
+def gain_updates(gain: DataFrame, keep_transition: bool = False) -> DataFrame:
+    """Gain updates as they come, those of transitions only if asked for; a missing weight is 1. Batch or stream."""
+    kept = gain if keep_transition else gain.where(~F.col("update_kind").contains("transition"))
+    return kept.withColumn("w", F.coalesce("w", F.lit(1.0)))
+
+
+def accumulate(df: DataFrame, cell: list[str], values: list[str]) -> DataFrame:
+    """Per cell the number of rows and each value's sum and largest; on a stream the state is those numbers."""
+    return df.groupBy(*cell).agg(F.count("*").alias("n"), *(f(v).alias(f"{v}_{name}") for v in values for name, f in (("sum", F.sum), ("max", F.max))))

@@ -1,5 +1,6 @@
 """Operators on hand-made rows, and registered queries against their SQL at the smallest scale."""
 
+import cmath
 import math
 import os
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions import scalar as X
 from meridian.operators import aggregates as A
+from meridian.operators import maps as M
 from meridian.operators import masks as D
 from meridian.operators import windows as W
 from meridian.operators import index as Q
@@ -163,3 +165,61 @@ def test_streams_equal_batches(spark, tmp_path):
         done.awaitTermination(120)
         want = plan(df)
         assert rows(spark.table(name), *want.columns) == rows(want, *want.columns)
+
+
+def test_gain_updates_and_accumulators_stream(spark, tmp_path):
+    """Gain updates, accumulated means and delay fits' verdicts over micro-batches equal the batch results."""
+    gain = spark.createDataFrame([(float(k), k % 4, k % 3, 1.0 + k, 0.5, 1.0, "transition" if k % 5 == 0 else "gain") for k in range(60)], "update_t double, input_id int, freq_id int, re double, im double, w double, update_kind string")
+    gain.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(gain.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    plans = {"updates": (T.gain_updates, "append"), "accumulated": (lambda x: T.accumulate(x, ["input_id"], ["re"]), "complete")}
+    for name, (plan, mode) in plans.items():
+        done = plan(stream).writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        done.awaitTermination(120)
+        want = plan(gain)
+        assert rows(spark.table(name), *want.columns) == rows(want, *want.columns)
+    assert spark.table("updates").count() == 48
+
+
+def test_ring_map_by_hand(spark):
+    vis = spark.createDataFrame([(1, "XX", 0, 0.0, 1.0, 0.0, 0.5), (1, "XX", 1, 0.5, 0.0, 1.0, 1.0), (2, "XY", 0, 0.0, 2.0, 3.0, 1.0), (2, "YX", 0, 0.0, 1.0, 1.0, 1.0)], "g int, pol string, xind int, y double, re double, im double, weight double")
+    got = {(r.g, r.pol, r.beam, r.el_id): (r.value, r.dirty) for r in M.ring_map(vis, ["g"], F.col("y"), [0.0, 1.0], 3).collect()}
+    for beam in range(3):
+        for el in range(2):
+            turn = cmath.exp(-2j * math.pi * 0.5 * el + 2j * math.pi * beam / 3)
+            value, dirty = got[1, "XX", beam, el]
+            assert math.isclose(value, 2 * (0.5 + 1j * turn).real, abs_tol=1e-12) and math.isclose(dirty, 2 * (0.5 + turn).real, abs_tol=1e-12)
+            assert got[2, "reXY", beam, el][0] == pytest.approx(3.0) and got[2, "imXY", beam, el][0] == pytest.approx(2.0)
+
+
+def test_flattened_spectra_are_flat(spark):
+    """x = (level + amplitude of the time) * shape + offset of the channel comes out without shape and offset."""
+    shape = [1.0 + 0.3 * math.cos(k) for k in range(16)]
+    df = spark.createDataFrame([(t, k, shape[k], 2.0 * shape[k] + 7.0, 1.0) for t in range(5) for k in range(16)], "t int, k int, s double, x double, w double").withColumn("c", F.lit(1))
+    got = M.flatten_spectra(df, ["c"], "t", F.col("s"))
+    spread = got.agg(F.max("x") - F.min("x"), F.min("w")).first()
+    assert spread[0] < 1e-3 and spread[1] > 0
+
+
+def test_several_products_of_a_reference_are_an_error(spark):
+    inputs = spark.createDataFrame([(1, "X"), (2, "Y"), (3, "X")], "input_id int, pol string")
+    products = spark.createDataFrame([(1, 3, 5.0, 2.0, 1.0), (2, 3, 1.0, 1.0, 1.0), (3, 3, 9.0, 9.0, 1.0)], "input_a int, input_b int, re double, im double, w double")
+    got = rows(M.holography_beam(products, inputs, {1: "X", 2: "Y"}, []), "reference", "input_id", "pol", "re", "im")
+    assert got == [(1, 3, "co", 5.0, -2.0), (2, 3, "cross", 1.0, -1.0)]
+    with pytest.raises(Exception, match="several products"):
+        M.holography_beam(products.union(products), inputs, {1: "X", 2: "Y"}, []).collect()
+    with pytest.raises(ValueError):
+        M.holography_beam(products, inputs, {1: "X"}, [])
+
+
+def test_point_before_the_first_update_is_an_error(spark):
+    points = spark.createDataFrame([(1, 5.0, 0)], "f int, t double, s int")
+    errors = spark.createDataFrame([(1, 6.0, 0.5, 1.0)], "f int, u double, error double, w double")
+    with pytest.raises(Exception, match="before the first gain update"):
+        M.gain_error_mask(points, errors, ["f"], "t", "u", 1.0, ["f", "s"], 0.1).collect()
+
+
+def test_one_speed_for_several_days_is_an_error(spark):
+    df = spark.createDataFrame([(1, 1, 400.0, 1.0, 1.0), (2, 1, 401.0, 1.0, 1.0)], "lsd int, f int, mhz double, x double, w double")
+    with pytest.raises(ValueError, match="several days"):
+        M.doppler_shift(df, ["f"], "mhz", "x", F.lit(3.0), day="lsd")
