@@ -78,7 +78,7 @@ _TRANSITION = 864000.0
     n AS (SELECT c.freq_id, c.t, e.err AS now FROM c ASOF JOIN e ON c.freq_id=e.freq_id AND c.t >= e.update_t),
     b AS (SELECT n.freq_id, n.t, n.now, e.err AS past FROM n ASOF LEFT JOIN e ON n.freq_id=e.freq_id AND n.t-{_TRANSITION} >= e.update_t)
     SELECT freq_id, CAST(t/86400 AS BIGINT)%7 AS slot, {R('avg(CASE WHEN abs(now) > abs(coalesce(past,0)) THEN now ELSE coalesce(past,now) END)')} AS error,
-    abs(avg(CASE WHEN abs(now) > abs(coalesce(past,0)) THEN now ELSE coalesce(past,now) END)) > 0.2013e0 AS bad FROM b GROUP BY freq_id, CAST(t/86400 AS BIGINT)%7""",
+    abs(avg(CASE WHEN abs(now) > abs(coalesce(past,0)) THEN now ELSE coalesce(past,now) END)) > 1.4513e0 AS bad FROM b GROUP BY freq_id, CAST(t/86400 AS BIGINT)%7""",
     cell="cell", gain="gain",
 )
 def a14_gain_error_mask(cell, gain):
@@ -86,7 +86,7 @@ def a14_gain_error_mask(cell, gain):
     errors = gain.select("freq_id", "update_t", (col("re") - 1.5).alias("error"), "w")
     # The instrument starts without an error, so no cell comes before the first update.
     start = gain.select("freq_id", F.lit(0.0).alias("update_t"), F.lit(0.0).alias("error"), F.lit(1.0).alias("w")).distinct()
-    return rounded(M.gain_error_mask(points, errors.union(start), ["freq_id"], "t", "update_t", _TRANSITION, ["freq_id", "slot"], 0.2013))
+    return rounded(M.gain_error_mask(points, errors.union(start), ["freq_id"], "t", "update_t", _TRANSITION, ["freq_id", "slot"], 1.4513))
 
 
 @query(
@@ -174,7 +174,7 @@ def d11_taper_mask(map):
     v AS (SELECT b.prod_id, c.freq_id, CAST(floor(c.t/2592000) AS BIGINT) AS month, sqrt(c.re*c.re+c.im*c.im) AS a, c.w-10 > 0 AS ok FROM fx_cell c JOIN fx_baseline b ON c.input_id=b.input_a WHERE b.xind=1),
     g AS (SELECT freq_id, month, pol, yind, k, avg(CASE WHEN ok AND k IN (cyl_a, cyl_b) THEN a END) AS yes, avg(CASE WHEN ok AND k NOT IN (cyl_a, cyl_b) THEN a END) AS no FROM v JOIN q USING (prod_id), range(4) t(k) GROUP BY ALL),
     h AS (SELECT freq_id, month, k, median(no/yes) AS m FROM g WHERE yes IS NOT NULL AND no IS NOT NULL GROUP BY ALL),
-    f AS (SELECT freq_id, month, bool_or(m > 1.2503e0) AS bad FROM h GROUP BY ALL),
+    f AS (SELECT freq_id, month, bool_or(m > 1.8013e0) AS bad FROM h GROUP BY ALL),
     a AS (SELECT d.freq_id, d.month, coalesce(f.bad, false) AS bad FROM (SELECT DISTINCT freq_id, month FROM v) d LEFT JOIN f ON d.freq_id=f.freq_id AND d.month=f.month)
     SELECT freq_id, month, bad OR avg(CAST(bad AS INT)) OVER (PARTITION BY month, freq_id%2) > 0.7e0 AS bad FROM a""",
     cell="cell", baseline="baseline", inputs="input",
@@ -186,7 +186,7 @@ def d26_decorrelated_cylinders(cell, baseline, inputs):
     products = pairs.groupBy("pol", "yind", "cyl_a", "cyl_b").agg(F.min("prod_id").alias("prod_id"))
     month = F.floor(col("t") / 2592000).cast("long").alias("month")
     vis = cell.select(col("input_id").alias("input_a"), "freq_id", month, "re", "im", (col("w") - 10).alias("w")).join(near.select("prod_id", "input_a"), "input_a")
-    bad = M.decorrelated_cylinders(vis, products, ["freq_id", "month"], 4, 1.2503)
+    bad = M.decorrelated_cylinders(vis, products, ["freq_id", "month"], 4, 1.8013)
     return M.spread_to_slots(bad.withColumn("slot", col("freq_id") % 2), ["month", "slot"], 0.7).drop("slot")
 
 
@@ -238,11 +238,11 @@ def m3_delay_fit(gain):
 
 @query(
     f"""{_FITS}, s AS (SELECT input_id, month, avg(CAST(kept AS INT)) AS s FROM cl GROUP BY input_id, month)
-    SELECT input_id, avg(CASE WHEN s >= 0.65e0 THEN 1 ELSE 0 END) > 0.5e0 AS good FROM s GROUP BY input_id""",
+    SELECT input_id, avg(CASE WHEN s >= 0.85e0 THEN 1 ELSE 0 END) > 0.3503e0 AS good FROM s GROUP BY input_id""",
     gain="gain",
 )
 def m3_good_inputs(gain):
-    return M.good_fits(_delays(gain), ["input_id", "month"], ["input_id"], 0.65)
+    return M.good_fits(_delays(gain), ["input_id", "month"], ["input_id"], 0.85, 0.3503)
 
 
 _AMP = """SELECT g.*, CASE WHEN input_id%8<4 THEN 'X' ELSE 'Y' END AS pol, CAST(floor(update_t/2592000) AS BIGINT) AS month, sqrt(re*re+im*im) AS a FROM fx_gain g"""
