@@ -19,13 +19,13 @@ _BAND = f"(SELECT freq_id, beam, t_id, subfreq, w, x*{_SHAPE} AS x FROM fx_spec)
     f"""WITH s AS (SELECT freq_id, beam, t_id, sum({_SHAPE}*{_SHAPE}*w) AS ww, sum({_SHAPE}*w) AS zw, sum(w) AS zz, sum({_SHAPE}*w*x) AS wd, sum(w*x) AS zd FROM {_BAND} GROUP BY freq_id, beam, t_id),
     c AS (SELECT freq_id, beam, sum(ww*{_LEFT})+1e-8 AS c00, sum(zw*{_LEFT}) AS c01, sum(zz-1e8*{_LEFT}*zw*zw)+1e-8 AS c11, sum(wd*{_LEFT}) AS d0, sum(zd-1e8*{_LEFT}*zw*wd) AS d1 FROM s GROUP BY freq_id, beam),
     f AS (SELECT freq_id, beam, (d0*c11-d1*c01)/(c00*c11-c01*c01) AS a, (c00*d1-c01*d0)/(c00*c11-c01*c01) AS b FROM c)
-    SELECT v.freq_id, v.beam, v.t_id, v.subfreq, {R(f'(x-b)/(a*{_SHAPE})', 4)} AS x, {R(f'w*(a*{_SHAPE})*(a*{_SHAPE})', 4)} AS w FROM {_BAND} v JOIN f ON v.freq_id=f.freq_id AND v.beam=f.beam""",
+    SELECT v.freq_id, v.beam, v.t_id, v.subfreq, {R(f'(x-b)/(a*{_SHAPE})', 5)} AS x, {R(f'w*(a*{_SHAPE})*(a*{_SHAPE})', 5)} AS w FROM {_BAND} v JOIN f ON v.freq_id=f.freq_id AND v.beam=f.beam""",
     spec="spec",
 )
 def a22_flatten_spectra(spec):
     shape = 1 + 0.5 * F.cos(2 * F.pi() * col("subfreq") / 64.0)
     band = spec.withColumn("x", col("x") * shape)
-    return rounded(M.flatten_spectra(band, ["freq_id", "beam"], "t_id", shape).select("freq_id", "beam", "t_id", "subfreq", "x", "w"), 4)
+    return rounded(M.flatten_spectra(band, ["freq_id", "beam"], "t_id", shape).select("freq_id", "beam", "t_id", "subfreq", "x", "w"), 5)
 
 
 _Y = "(0.3e0*stack_id*(800-400*freq_id/1024.0e0)/299.792458e0)"
