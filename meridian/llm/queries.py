@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meridian.llm import chat, decontamination, lines, mixing, packing, quality, simhash, suffixes, token_counts, toxicity
+from meridian.llm import chat, cost_packing, decontamination, divergence, lines, mixing, packing, quality, repair, simhash, suffixes, token_counts, toxicity
 from meridian.llm.common import table
 
 
@@ -56,6 +56,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damage(conversations), conversations)
+
+
+def op13_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cost_packing.pieces_of(cost_packing.pack_balanced(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -72,10 +86,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_decontamination,
             op9_simhash_dedup,
             op10_token_counts,
+            op11_source_audit,
+            op12_conversation_repair,
+            op13_cost_packing,
         )
     }
     return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {op11_source_audit.__name__: divergence.SQL}
