@@ -47,13 +47,11 @@ class Block:
             self._sum()
 
     def _sum(self) -> None:
-        key, at = np.unique(np.concatenate([x[0] for x in self.held]), return_inverse=True)
-        sums = []
-        for k in (1, 2):
-            total = np.zeros(len(key), np.int64)
-            np.add.at(total, at, np.concatenate([x[k] for x in self.held]))
-            sums.append(total)
-        self.held, self.size = [(key, *sums)], len(key)
+        key, n, docs = (np.concatenate([x[k] for x in self.held]) for k in range(3))
+        order = np.argsort(key)
+        begin = np.flatnonzero(np.diff(key[order], prepend=-1))
+        self.held = [(key[order][begin], np.add.reduceat(n[order], begin), np.add.reduceat(docs[order], begin))] if len(begin) else []
+        self.size = len(begin)
 
     @property
     def full(self) -> bool:
@@ -98,49 +96,58 @@ def block_runs(docs: DataFrame, max_entries: int = 1_000_000) -> DataFrame:
     return docs.select(text("lang"), text("source"), low).mapInArrow(run, POSTINGS)
 
 
+def _starts(*columns: pa.Array) -> np.ndarray:
+    """Where a row differs from the one before it in any column; the first row always does."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= pa.compute.not_equal(c.slice(1), c.slice(0, max(len(c) - 1, 0))).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _whole_terms(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], least: int = 200_000) -> Iterator[pa.Table]:
+    """Tables of at least so many rows, as far as there are, none of which cuts the rows of a term in two."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= least:
+            table = pa.Table.from_batches(held).combine_chunks()
+            last = int(_starts(*(table.column(c).chunk(0) for c in columns))[-1])
+            if last:
+                yield table.slice(0, last).combine_chunks()
+            held = table.slice(last).to_batches()
+            size = 0 if last else size // 2  # a term longer than this waits for its end
+    if held and sum(x.num_rows for x in held):
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def merge_runs(runs: DataFrame, least_docs: int) -> DataFrame:
     """lang, term, source, n, of_lang, first: the postings of terms in least_docs documents of their language or
     more, with the term's count in the language; `first` marks one posting of each term. Rows with an empty term
     name the groups.
 
-    Shards by hash of language and term hold the runs in order of term and source (Spark's sort merges them); one
-    pass adds up like postings and holds one term's sources at a time."""
+    Shards by hash of language and term hold the runs merged in order of term (Spark's sort merges what it spills);
+    one pass adds up like postings and holds little more than one term's rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now: tuple[str, str] | None = None
-        sources: dict[str, int] = {}
-        docs = 0
-        out: list[tuple] = []
-
-        def close() -> None:
-            if now is None:
-                return
-            if now[1] == "":
-                out.extend((now[0], "", s, 0, 0, False) for s in sources)
-            elif docs >= least_docs:
-                total = sum(sources.values())
-                out.extend((*now, s, n, total, k == 0) for k, (s, n) in enumerate(sources.items()))
-
-        def batch_of() -> pa.RecordBatch:
-            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
-            made = pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out), kinds)], ["lang", "term", "source", "n", "of_lang", "first"])
-            out.clear()
-            return made
-
-        for batch in batches:
-            for lang, term, source, n, d in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                if now != (lang, term):
-                    close()
-                    now, sources, docs = (lang, term), {}, 0
-                sources[source] = sources.get(source, 0) + n
-                docs += d
-            if len(out) > 20_000:
-                yield batch_of()
-        close()
-        if out:
-            yield batch_of()
-
-    shards = runs.repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
+        for table in _whole_terms(batches, ("term", "lang")):
+            term, lang, source = (table.column(c).chunk(0) for c in ("term", "lang", "source"))
+            at = _starts(term, lang, source)
+            n, docs = (np.add.reduceat(table.column(c).to_numpy(), at) for c in ("n", "docs"))
+            term, lang, source = (c.take(pa.array(at)) for c in (term, lang, source))
+            first = _starts(term, lang)
+            size = np.diff(np.append(first, len(at)))
+            keep = np.repeat(np.add.reduceat(docs, first) >= least_docs, size) | (pa.compute.binary_length(term).to_numpy() == 0)
+            of_lang = np.repeat(np.add.reduceat(n, first), size)
+            marks = np.zeros(len(at), bool)
+            marks[first] = True
+            some = pa.array(keep)
+            arrays = [*(c.filter(some) for c in (lang, term, source)), *(pa.array(x[keep]) for x in (n, of_lang, marks))]
+            yield pa.RecordBatch.from_arrays(arrays, ["lang", "term", "source", "n", "of_lang", "first"])
+
+    shards = runs.repartition("lang", "term").sortWithinPartitions("term", "lang", "source")
     return shards.mapInArrow(run, "lang string, term string, source string, n long, of_lang long, first boolean")
 
 
@@ -166,58 +173,42 @@ def _apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // q
 
 
-def joint_corrections(postings: DataFrame, max_postings: int = 1_000_000, max_cells: int = 4_000_000) -> DataFrame:
+def joint_corrections(postings: DataFrame, max_cells: int = 2_000_000) -> DataFrame:
     """lang, source, item, value: what terms that occur in both sources add to the sum over sources taken apart.
 
     postings (lang, term, source, n, total), total the count and number of the group's terms. Each task streams its
-    shard by term and adds into a table of source pairs (max_cells cells at most: with more sources, rows of the
-    table in turn), which it writes after max_postings postings; so a pair comes once a buffer, not once a term."""
+    shard by term; terms in equally many sources are taken together, max_cells source pairs at a time, and their
+    corrections added up by pair before they are written: a pair comes once for so many cells, not once a term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lang, term = None, None
-        numbers: dict[str, int] = {}
-        held: list[tuple[list[int], list[int], list[int]]] = []  # by term: sources, counts, totals
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal size
-            names = pa.array(list(numbers), pa.string())
-            wide = len(numbers)
-            ready = []
-            for sources, counts, totals in held:
-                if len(sources) > 1:
-                    at, n, total = (np.array(x, np.int64) for x in (sources, counts, totals))
-                    ready.append((at, _shares(n, total), _shares(np.zeros(len(n), np.int64), total)))
-            rows = max(1, max_cells // max(wide, 1))
-            for low in range(0, wide if ready else 0, rows):
-                table = np.zeros((min(rows, wide - low), wide), np.int64)
-                for at, p, p0 in ready:
-                    mine = (at >= low) & (at < low + rows)
-                    for part in np.array_split(np.flatnonzero(mine), max(1, mine.sum() * len(at) // max_cells)):
-                        a, a0 = p[part, None], p0[part, None]
-                        table[np.ix_(at[part] - low, at)] += _apart(a, p) - _apart(a, p0) - _apart(a0, p) + _apart(a0, p0)
-                g, h = np.nonzero(table)
-                for k in range(0, len(g), 1 << 16):
-                    x, y = g[k : k + (1 << 16)], h[k : k + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(x), pa.string()), names.take(pa.array(x + low)), names.take(pa.array(y)), pa.array(table[x, y])], ["lang", "source", "item", "value"])
-            numbers.clear()
-            held.clear()
-            size = 0
-
-        for batch in batches:
-            for x, t, source, n, total in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                if (x, t) != (lang, term):
-                    if x != lang or size > max_postings:
-                        yield from flush()
-                    lang, term = x, t
-                    held.append(([], [], []))
-                held[-1][0].append(numbers.setdefault(source, len(numbers)))
-                held[-1][1].append(n)
-                held[-1][2].append(total)
-                size += 1
-        yield from flush()
-
-    ordered = postings.select("lang", "term", "source", "n", "total").repartition("lang", "term").sortWithinPartitions("lang", "term")
+        for table in _whole_terms(batches, ("term", "lang"), 1_000_000):
+            term, lang, source = (table.column(c).chunk(0) for c in ("term", "lang", "source"))
+            n, total = (table.column(c).to_numpy() for c in ("n", "total"))
+            p, p0 = _shares(n, total), _shares(np.zeros(len(n), np.int64), total)
+            coded = [c.dictionary_encode() for c in (lang, source)]
+            names, sources = (c.dictionary for c in coded)
+            owner, at = (c.indices.to_numpy().astype(np.int64) for c in coded)
+            first = _starts(term, lang)
+            size = np.diff(np.append(first, len(n)))
+            wide = len(sources)
+            for d in np.unique(size[size > 1]):
+                begins = first[size == d]
+                for some in np.array_split(begins, max(1, len(begins) * int(d) * int(d) // max_cells)):
+                    # At least one term at a time; of a term in very many sources some rows of its table at a time.
+                    for low in range(0, d, max(1, max_cells // int(d))):
+                        rows = np.arange(low, min(d, low + max(1, max_cells // int(d))))
+                        mine, all_of = some[:, None] + rows, some[:, None] + np.arange(d)
+                        a, a0, b, b0 = p[mine][:, :, None], p0[mine][:, :, None], p[all_of][:, None, :], p0[all_of][:, None, :]
+                        # As in the sums over sources apart, the other source's share stands below.
+                        value = (_apart(a, b) - _apart(a, b0) - _apart(a0, b) + _apart(a0, b0)).ravel()
+                        key = ((owner[mine] * wide + at[mine])[:, :, None] * wide + at[all_of][:, None, :]).ravel()
+                        order = np.argsort(key, kind="stable")
+                        begin = np.flatnonzero(np.diff(key[order], prepend=-1))
+                        sums, key = np.add.reduceat(value[order], begin), key[order][begin]
+                        taken = (names.take(pa.array(key // wide // wide)), sources.take(pa.array(key // wide % wide)), sources.take(pa.array(key % wide)))
+                        yield pa.RecordBatch.from_arrays([*taken, pa.array(sums)], ["lang", "source", "item", "value"])
+
+    ordered = postings.select("lang", "term", "source", "n", "total").repartition("lang", "term").sortWithinPartitions("term", "lang")
     return ordered.mapInArrow(run, "lang string, source string, item string, value long").where("source <> item")
 
 
