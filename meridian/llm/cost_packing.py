@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import heapq
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.llm.common import pieces, text_of
-from meridian.llm.packing import ODD, UNIT
+from meridian.llm.packing import ODD
 
+#: A Latin word with the blanks before it, where ASCII marks follow (letters and marks are never one pre-token), or
+#: whatever lies up to the next blank.
+UNIT = re.compile(r"[\t-\r ]*[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[!-/:-@\[-`{-~])|[\t-\r ]*[^\t-\r ]+|[\t-\r ]+\Z")
 SCHEMA = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_cost double"
 
 
@@ -21,7 +26,8 @@ class LibraryIds:
     """Ids of texts as the tokenizers library gives them under a byte-level file, special strings by its default.
 
     Pre-tokens never reach from a word into the blanks after it, so each distinct word with the blanks before it goes
-    to the library once; texts with other blanks than ASCII's, or with "<|", go to it whole."""
+    to the library once; texts with other blanks than ASCII's, or with "<|", go to it whole. Ids are native 32-bit
+    numbers, little-endian where Spark runs."""
 
     def __init__(self, tokenizer_path: str, max_entries: int = 500_000):
         import os
@@ -37,20 +43,24 @@ class LibraryIds:
         self.dtype = np.dtype("<u4")
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> bytes:
-        if "<|" in text or ODD.search(text):
-            return self._encode([text])[0]
-        units, known = UNIT.findall(text), self.units
-        try:
-            return b"".join([known[u] for u in units])
-        except KeyError:
-            if len(known) > self.max_entries:
-                known.clear()
-            new = list({u for u in units if u not in known})
-            known.update(zip(new, self._encode(new)))
-            return b"".join([known[u] for u in units])
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 4 little-endian bytes each; words that none had before go to the library in one call."""
+        whole = [k for k, t in enumerate(texts) if "<|" in t or ODD.search(t)]
+        apart = set(whole)
+        cut = [[] if k in apart else UNIT.findall(t) for k, t in enumerate(texts)]
+        known = self.units
+        new = set().union(*cut).difference(known)
+        if len(known) + len(new) > self.max_entries:
+            known.clear()
+            new = set().union(*cut)
+        words = list(new)
+        known.update(zip(words, self._encode(words)))
+        out = [b"".join([known[u] for u in units]) for units in cut]
+        for k, ids in zip(whole, self._encode([texts[k] for k in whole])):
+            out[k] = ids
+        return out
 
 
 class Sequences:
@@ -189,8 +199,8 @@ def pack_balanced(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end
             return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], ["doc_id", *(x.split()[0] for x in SCHEMA.split(", "))])
 
         for batch in pieces(batches, max_bytes=2 << 20):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.append((doc_id, encode(text) + end))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+                held.append((doc_id, ids + end))
                 size += len(held[-1][1]) // step
                 if size >= buffer_tokens:
                     yield flush()
