@@ -77,3 +77,26 @@ def transiting_source(items: DataFrame, key: list[str], catalog: DataFrame, low:
     ranges = items.select(*key, low.alias("_low"), high.alias("_high"))
     met = interval_join(catalog, ranges, "ra", "_low", "_high", width)
     return met.groupBy(*key).agg(F.max_by("source_id", F.struct("flux", "source_id")).alias("source_id"))
+
+
+def channel_flags(inputs: DataFrame, tests: DataFrame, test_mhz: list[float], mhz: dict[int, float], known_bad: list[int], ignore: tuple[str, ...] = ()) -> DataFrame:
+    """input_id, good: inputs (input_id, on) that are on, not known bad, and pass every test at every test frequency.
+
+    tests (input_id, freq_id, gains, noise, fit); a frequency stands for its nearest channel among `mhz`. Tests in
+    `ignore` don't count; an unknown (null) result passes, as does an input that was not tested there."""
+    channels = sorted({min(mhz, key=lambda c: (abs(mhz[c] - f), c)) for f in test_mhz})
+    used = [t for t in ("gains", "noise", "fit") if t not in ignore]
+    passed = F.lit(True)
+    for t in used:
+        passed = passed & F.coalesce(F.col(t), F.lit(True))
+    results = tests.where(F.col("freq_id").isin(channels)).groupBy("input_id").agg(F.bool_and(passed).alias("_ok"))
+    good = F.coalesce("on", F.lit(False)) & ~F.col("input_id").isin(known_bad) & F.coalesce("_ok", F.lit(True))
+    return inputs.join(results, "input_id", "left").select("input_id", good.alias("good"))
+
+
+def flag_products(df: DataFrame, inputs: DataFrame) -> DataFrame:
+    """w = 0 where either input (input_a, input_b) is not good, or not known."""
+    side = lambda x: inputs.select(F.col("input_id").alias(f"input_{x}"), F.col("good").alias(f"_{x}"))
+    met = df.join(side("a"), "input_a", "left").join(side("b"), "input_b", "left")
+    both = F.coalesce(F.col("_a") & F.col("_b"), F.lit(False))
+    return met.withColumn("w", F.when(both, F.col("w")).otherwise(0.0)).select(*df.columns)

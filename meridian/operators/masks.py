@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.functions.scalar import C_M_MHZ, abs2, channel_mhz, inv0, modulo
-from meridian.operators.joins import asof_join, interval_join
-from meridian.operators.windows import trailing_sum
+from meridian.operators.joins import asof_join
+from meridian.operators.windows import islands, trailing_sum
 
 FINITE = "isnotnull({0}) AND NOT isnan({0}) AND abs({0}) < double('infinity')"
 
@@ -36,14 +36,28 @@ def drop_bad_days(df: DataFrame, bad_days: DataFrame) -> DataFrame:
     return df.join(bad_days.select("lsd").distinct(), "lsd", "left_anti")
 
 
+def merged_flags(flags: DataFrame, channel: str, width: float) -> DataFrame:
+    """channel, bucket, start_t, finish_t: flags cut at multiples of `width` and, within each bucket and channel, laid
+    together to runs that don't overlap; however many flags cover a time, one run holds it."""
+    first, last = F.floor(F.col("start_t") / width), F.floor(F.col("finish_t") / width)
+    pieces = flags.where("finish_t >= start_t").select(channel, "start_t", "finish_t", F.explode(F.sequence(first, last)).alias("bucket"))
+    cut = pieces.select(channel, "bucket", F.greatest(F.col("start_t"), F.col("bucket") * width).alias("start_t"), F.least(F.col("finish_t"), (F.col("bucket") + 1) * width).alias("finish_t")).distinct()
+    runs = islands(cut, [channel, "bucket"], "start_t", 0.0, "finish_t")
+    return runs.groupBy(channel, "bucket", "island").agg(F.min("start_t").alias("start_t"), F.max("finish_t").alias("finish_t")).drop("island")
+
+
 def apply_data_flags(df: DataFrame, flags: DataFrame, types: list[str], width: float) -> DataFrame:
     """w = 0 inside flag intervals of the types; a flag without freq_id holds for all.
 
-    One row per distinct (freq_id, t) meets the flags, so samples are joined by key alone.
+    One row per distinct (freq_id, t) meets the runs of its bucket of `width`, so samples are joined by key alone and
+    many flags over one time cost no more than one.
     """
-    spots = df.select("freq_id", "t").distinct()
-    chosen = flags.where(F.col("flag_type").isin(types)).select(F.col("freq_id").alias("_f"), "start_t", "finish_t")
-    hit = interval_join(spots, chosen, "t", "start_t", "finish_t", width, "left_semi", F.col("_f").isNull() | (F.col("_f") == F.col("freq_id")))
+    spots = df.select("freq_id", "t").distinct().withColumn("_pb", F.floor(F.col("t") / width))
+    chosen = merged_flags(flags.where(F.col("flag_type").isin(types)).select(F.col("freq_id").alias("_f"), "start_t", "finish_t"), "_f", width)
+    inside = (F.col("_pb") == F.col("bucket")) & (F.col("t") >= F.col("start_t")) & (F.col("t") <= F.col("finish_t"))
+    own = spots.join(chosen.where("_f is not null"), inside & (F.col("_f") == F.col("freq_id")), "left_semi")
+    general = spots.join(chosen.where("_f is null"), inside, "left_semi")
+    hit = own.unionByName(general).select("freq_id", "t").distinct()
     return apply_mask(df, hit.withColumn("bad", F.lit(True)), ["freq_id", "t"])
 
 

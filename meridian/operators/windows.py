@@ -114,3 +114,51 @@ def weighted_median(df: DataFrame, group: list[str], value: str) -> DataFrame:
     })
     hit = F.when(F.col("_cum") * 2 == F.col("_all"), (F.col(value) + F.col("_next")) / 2).when(F.col("_cum") * 2 > F.col("_all"), F.col(value))
     return rows.groupBy(*group).agg(F.min_by(hit, F.when(hit.isNotNull(), F.struct("_cum", value))).alias("median"))
+
+
+def _padded(df: DataFrame, position: str, size: int, margin: int, mode: str) -> DataFrame:
+    """df with its axis of whole positions carried on beyond both ends by `margin`, wrapped or mirrored without the edge."""
+    if mode not in ("wrap", "reflect"):
+        raise ValueError(f"unknown mode {mode!r}")
+    period = size if mode == "wrap" or size == 1 else 2 * (size - 1)
+    p = F.col(position)
+    turns = F.sequence(F.lit(-(margin // period) - 1), F.lit((size + margin) // period + 1))
+    places = F.transform(turns, lambda k: p + k * period)
+    if mode == "reflect" and size > 1:
+        inner = (p > 0) & (p < size - 1)  # the ends are their own mirror images
+        places = F.when(inner, F.concat(places, F.transform(turns, lambda k: k * period - p))).otherwise(places)
+    places = F.filter(places, lambda x: (x >= -margin) & (x < size + margin))
+    return df.withColumn(position, F.explode(F.transform(places, lambda x: x.cast("long"))))
+
+
+def kz_low_pass(
+    df: DataFrame, axis: list[str], positions: tuple[str, str], sizes: tuple[int, int], value: str, windows: tuple[int, int] = (3, 5), rounds: tuple[int, int] = (12, 8),
+    modes: tuple[str, str] = ("reflect", "wrap"), least: float = 0.4, keep: Column | None = None,
+) -> DataFrame:
+    """axis, positions, value, w of every cell of a grid: a moving mean in two directions, `rounds` times each.
+
+    Boxes of odd width (an even one is made wider by one) over positions 0 to size - 1, ends mirrored or wrapped;
+    samples without weight or rows don't count, and a cell is 0 with w = 0 where less than `least` of the kernel falls
+    on samples. Where `keep` (a condition on value and _original) holds, the cell keeps its own value, as inside a
+    source's main lobe. Each direction is one shuffle: its boxes are window sums over one order, one upon another,
+    whatever the number of rounds, and no cell meets its kernel's samples in a join."""
+    a, b = positions
+    cells = df.select(*axis).distinct() if axis else df.sparkSession.range(1).select()
+    grid = cells.withColumn(a, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sizes[0] - 1).cast("long")))).withColumn(b, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sizes[1] - 1).cast("long"))))
+    key = [*axis, a, b]
+    sums = df.where((F.col("w") > 0) & F.col(value).isNotNull()).groupBy(*key).agg(F.sum(value).alias("_v"), F.count("*").cast("double").alias("_n"))
+    rows = grid.join(sums, key, "left").select(*key, (F.coalesce("_v", F.lit(0.0)) * inv0(F.coalesce("_n", F.lit(0.0)))).alias("_s"), F.when(F.col("_n") > 0, 1.0).otherwise(0.0).alias("_f"))
+    rows = rows.withColumn("_own", F.when(F.col("_f") > 0, F.col("_s")))
+    for k, position in enumerate(positions):
+        half = windows[k] // 2
+        order = Window.partitionBy(*axis, positions[1 - k]).orderBy(position).rangeBetween(-half, half)
+        rows = _padded(rows, position, sizes[k], half * rounds[k], modes[k])
+        for _ in range(rounds[k]):
+            rows = rows.withColumns({c: F.sum(c).over(order) / (2 * half + 1) for c in ("_s", "_f")})
+        rows = rows.where((F.col(position) >= 0) & (F.col(position) < sizes[k]))
+    enough = F.col("_f") >= least * (1 - 1e-12)
+    out = rows.select(*key, F.when(enough, F.col("_s") * inv0(F.col("_f"))).otherwise(0.0).alias(value), F.when(enough, 1.0).otherwise(0.0).alias("w"), F.col("_own").alias("_original"))
+    if keep is not None:
+        kept = F.coalesce(keep & F.col("_original").isNotNull(), F.lit(False))
+        out = out.withColumns({value: F.when(kept, F.col("_original")).otherwise(F.col(value)), "w": F.when(kept, 1.0).otherwise(F.col("w"))})
+    return out.drop("_original")

@@ -256,7 +256,7 @@ def d6_flag_nodes(day):
 
 @query(f"SELECT {', '.join(CELL)}, w FROM ({_FLAGGED})", day="day", flags="flag_day")
 def d16_apply_data_flags(day, flags):
-    return D.apply_data_flags(day, flags, ["rain1mm", "acjump"], 864000.0).select(*CELL, "w")
+    return D.apply_data_flags(day, flags, ["rain1mm", "acjump"], 86400.0).select(*CELL, "w")
 
 
 _RA_S = "(ra-90 - 360*floor((ra-90)/360))"
@@ -410,7 +410,7 @@ def j5_interval_contains(vis, flags):
 @query("SELECT f.file_id, g.flag_id FROM fx_file f JOIN fx_flag_day g ON f.start_t < g.finish_t AND f.finish_t >= g.start_t", file="file", flags="flag_day")
 def j6_interval_overlaps(file, flags):
     other = flags.select("flag_id", col("start_t").alias("a"), col("finish_t").alias("b"))
-    return overlap_join(file, other, "start_t", "finish_t", "a", "b", 432000.0).select("file_id", "flag_id")
+    return overlap_join(file, other, "start_t", "finish_t", "a", "b", 28800.0).select("file_id", "flag_id")
 
 
 # --- aggregations --------------------------------------------------------------------------------------------

@@ -71,6 +71,18 @@ FIXTURES = {
         SELECT o_orderkey AS file_id, o_custkey%20 AS acq_id, EPOCH(o_orderdate)+(o_orderkey%24)*3600.0e0 AS start_t, EPOCH(o_orderdate)+(o_orderkey%24)*3600.0e0+7200.0e0+(o_orderkey%5)*3600.0e0 AS finish_t,
         o_orderstatus='F' AS online, o_orderkey%50<>0 AS has_file, CASE WHEN o_orderpriority='5-LOW' THEN 'weather' ELSE 'corr' END AS acqtype FROM orders
     """,
+    "fx_polmap": """
+        SELECT CAST(l_linenumber AS BIGINT) AS freq_id, l_partkey%180 AS ra_id, l_suppkey%10 AS el_id, l_orderkey%2 AS pol, avg(l_extendedprice/1000)-50 AS val, CAST(count(*) AS DOUBLE) AS w FROM lineitem GROUP BY 1,2,3,4
+    """,
+    "fx_wide": """
+        SELECT CAST(floor(EPOCH(l_shipdate)/15552000) AS BIGINT) AS update_id, l_partkey%64 AS freq_id, l_suppkey%8 AS input_id, 1.0e0+avg(l_discount) AS re, avg(l_tax) AS im, CAST(count(*) AS DOUBLE) AS w FROM lineitem GROUP BY 1,2,3
+    """,
+    "fx_delay": """
+        SELECT user_id%4 AS table_id, user_id%8 AS input_id, t, avg(value)*1.0e-10 AS delay, 1.0e0 AS w FROM (SELECT user_id, EPOCH(ts) AS t, value FROM events WHERE event_type <> 'error') GROUP BY 1,2,3
+    """,
+    "fx_dataset": """
+        SELECT o_orderkey AS dataset_id, CASE WHEN o_orderkey%11=0 THEN NULL ELSE CAST(floor(o_orderkey/3) AS BIGINT) END AS parent_id, CASE WHEN o_orderkey%5=0 THEN 'map' ELSE 'gain' END AS kind, o_orderkey%3 AS state FROM orders
+    """,
     "fx_opinion": """
         SELECT doc_id AS lsd, CASE WHEN quality=1 THEN 'good' ELSE 'bad' END AS decision, toxic FROM labels
     """,

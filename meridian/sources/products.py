@@ -39,3 +39,34 @@ def read_by_tag(df: DataFrame, root: str, tag: str = "lsd") -> DataFrame:
 def write_product(df: DataFrame, path: str, tag: str = "lsd") -> None:
     """Write df by tag, replacing the tags that df has and leaving all others."""
     df.write.partitionBy(tag).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def read_spectra(
+    spark: SparkSession, paths: list[str], time_range: tuple[float, float] | None = None, mhz_range: tuple[float, float] | None = None, mhz_list: list[float] | None = None,
+    beams: list[int] | None = None, top_mhz: float = 800.0, width_mhz: float = 400.0 / 1024, channels: int = 1024, day_zero: float | None = None, day_seconds: float = 86164.0989,
+) -> DataFrame:
+    """Rows of many spectrum files (t, freq_id, beam, ...) within times, channels and beams; with day_zero also lsd and
+    the calendar date of each file's middle.
+
+    Bounds become plain comparisons with numbers, so files and row groups beyond them are not read: times are half
+    open; a range of frequencies runs from the channel nearest its higher end up to, not including, that nearest its
+    lower end; a list takes the nearest channel of each; the range goes before the list. An empty list of beams or
+    frequencies reads nothing; a range in the wrong order is turned round."""
+    rows = spark.read.option("mergeSchema", "false").parquet(*paths)
+    nearest = lambda mhz: min(max(round((top_mhz - mhz) / width_mhz), 0), channels - 1)
+    if time_range is not None:
+        rows = rows.where((F.col("t") >= float(time_range[0])) & (F.col("t") < float(time_range[1])))
+    if mhz_range is not None:
+        low, high = nearest(max(mhz_range)), nearest(min(mhz_range))
+        rows = rows.where((F.col("freq_id") >= low) & (F.col("freq_id") < high))
+    elif mhz_list is not None:
+        rows = rows.where(F.col("freq_id").isin(sorted({nearest(x) for x in mhz_list})))
+    if beams is not None:
+        rows = rows.where(F.col("beam").isin(sorted(set(beams))))
+    if day_zero is None:
+        return rows
+    rows = rows.withColumn("_file", F.col("_metadata.file_path"))
+    middle = rows.groupBy("_file").agg(((F.min("t") + F.max("t")) / 2).alias("_t"))
+    lsd = F.floor((F.col("_t") - day_zero) / day_seconds).cast("long")
+    date = F.date_format(F.timestamp_seconds("_t"), "yyyyMMdd")
+    return rows.join(middle, "_file").withColumns({"lsd": lsd, "date": date}).drop("_file", "_t")

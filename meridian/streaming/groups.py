@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +50,29 @@ def gain_updates(gain: DataFrame, keep_transition: bool = False) -> DataFrame:
 def accumulate(df: DataFrame, cell: list[str], values: list[str]) -> DataFrame:
     """Per cell the number of rows and each value's sum and largest; on a stream the state is those numbers."""
     return df.groupBy(*cell).agg(F.count("*").alias("n"), *(f(v).alias(f"{v}_{name}") for v in values for name, f in (("sum", F.sum), ("max", F.max))))
+
+
+def acquisition_references(df: DataFrame, acquisition: str, order: str, value: str, name: str) -> DataFrame:
+    """A stream's rows with `name`: the value less its acquisition's reference, which the acquisition's first
+    micro-batch fixes (its row of the least `order`; ties to the least value) and state keeps for all later ones.
+
+    State is one number per acquisition, so a new acquisition starts anew and a restart from the checkpoint goes on
+    with what was fixed. Rows of a key are handled as they come in Arrow batches; the first of them are looked
+    through for the reference before any is written."""
+    fields = df.schema.fieldNames()
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            (reference,) = state.get
+        else:
+            frames = list(frames)  # one acquisition's rows of one micro-batch
+            first = min((tuple(x) for f in frames for x in f[[order, value]].itertuples(index=False)), default=None)
+            if first is None:
+                return
+            reference = float(first[1])
+            state.update((reference,))
+        for frame in frames:
+            yield frame.assign(**{name: frame[value] - reference})[[*fields, name]]
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    return df.groupBy(acquisition).applyInPandasWithState(run, f"{kinds}, {name} double", "reference double", "append", "NoTimeout")
