@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from meridian.llm.common import pieces, text_of
 
 WIDTH, STRIDE = 32, 16  # words in a window, and from one window's start to the next: a run of 17 words lies whole in one
-UNITS, WORD_DIM, CHAR_DIM, BUCKETS = 8, 8, 8, 4096
+UNITS, WORD_DIM, CHAR_DIM, BUCKETS = 8, 8, 8, 1 << 14
+STEMS = (6, 8)  # bytes at a longer word's start that stand for its stem
+LEAST = -6.0  # a lower logit proves no more
 TRIM = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -55,6 +57,27 @@ def _grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (data[at] * 961 + data[at + 1] * 31 + data[at + 2]) % BUCKETS, word
 
 
+def _stems(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the starts of longer words, and the word of each, by word."""
+    large = words.cast(pa.large_string())
+    offsets = np.frombuffer(large.buffers()[1], dtype=np.int64)[large.offset : large.offset + len(large) + 1]
+    data = np.frombuffer(large.buffers()[2], dtype=np.uint8).astype(np.int64) if len(words) else np.zeros(0, np.int64)
+    found, owner = [], []
+    for n in STEMS:
+        longer = np.flatnonzero(np.diff(offsets) > n)
+        code = np.full(len(longer), n, np.int64)
+        for k in range(n):
+            code = (code * 1_000_003 + data[offsets[longer] + k]) % 2_147_483_647
+        found.append(code % BUCKETS)
+        owner.append(longer)
+    order = np.argsort(np.concatenate(owner), kind="stable")
+    return np.concatenate(found)[order], np.concatenate(owner)[order]
+
+
+#: The tables of character inputs, each a mean over what a word has of it.
+CHARS = {"grams": _grams, "stems": _stems}
+
+
 class Network:
     """Weights and passes. Row 0 of the word table stands for words outside the vocabulary."""
 
@@ -62,8 +85,9 @@ class Network:
         rng = np.random.default_rng(seed)
         draw = lambda *s, scale=0.2: (rng.standard_normal(s) * scale).astype(np.float32)
         self.vocabulary = vocabulary
-        d = WORD_DIM + CHAR_DIM
-        self.w = {"words": draw(len(vocabulary) + 1, WORD_DIM, scale=0.02), "grams": draw(BUCKETS, CHAR_DIM, scale=0.02)}
+        self.pooling = np.array([1.0, 0.0, 0.0, 0.0, 0.0])  # of evidence() and 1: the highest window alone
+        d = WORD_DIM + CHAR_DIM * len(CHARS)
+        self.w = {"words": draw(len(vocabulary) + 1, WORD_DIM, scale=0.02)} | {name: draw(BUCKETS, CHAR_DIM, scale=0.02) for name in CHARS}
         for side in "fb":
             self.w |= {f"x{side}": draw(d, 3 * UNITS), f"h{side}": draw(UNITS, 3 * UNITS), f"c{side}": np.zeros(3 * UNITS, np.float32)}
         self.w |= {"pool": draw(2 * UNITS), "out": draw(2 * UNITS), "bias": np.full(1, -1, np.float32)}
@@ -72,14 +96,17 @@ class Network:
         return pc.fill_null(pc.index_in(words, value_set=pa.array(self.vocabulary, pa.string())), -1).to_numpy(zero_copy_only=False) + 1
 
     def inputs(self, words: pa.Array, ids: np.ndarray) -> np.ndarray:
-        """Word and mean character-triple embeddings of distinct words."""
-        gram, word = _grams(words)
-        chars = np.zeros((len(words), CHAR_DIM), np.float32)
-        number = np.bincount(word, minlength=len(words))
-        if len(gram):
-            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            chars[word[first]] = np.add.reduceat(self.w["grams"][gram], first, axis=0)
-        return np.hstack([self.w["words"][ids], chars / np.maximum(number, 1)[:, None].astype(np.float32)])
+        """Embeddings of distinct words, of their character triples and of their stems."""
+        parts = [self.w["words"][ids]]
+        for name, cut in CHARS.items():
+            bucket, word = cut(words)
+            chars = np.zeros((len(words), CHAR_DIM), np.float32)
+            number = np.bincount(word, minlength=len(words))
+            if len(bucket):
+                first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+                chars[word[first]] = np.add.reduceat(self.w[name][bucket], first, axis=0)
+            parts.append(chars / np.maximum(number, 1)[:, None].astype(np.float32))
+        return np.hstack(parts)
 
     def forward(self, x: dict[str, np.ndarray], codes: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Logits of windows. x: projected inputs of the distinct words by direction; codes, mask: (windows, WIDTH)."""
@@ -134,24 +161,60 @@ class Network:
                 g[f"x{side}"] += inputs[codes[:, t]].T @ d_x
                 np.add.at(d_inputs, codes[:, t], d_x @ self.w[f"x{side}"].T)
         np.add.at(g["words"], ids, d_inputs[:, :WORD_DIM])
-        gram, word = _grams(words)
-        number = np.maximum(np.bincount(word, minlength=len(words)), 1)[:, None]
-        np.add.at(g["grams"], gram, (d_inputs[:, WORD_DIM:] / number)[word])
+        for k, (name, cut) in enumerate(CHARS.items()):
+            bucket, word = cut(words)
+            number = np.maximum(np.bincount(word, minlength=len(words)), 1)[:, None]
+            own = d_inputs[:, WORD_DIM + k * CHAR_DIM : WORD_DIM + (k + 1) * CHAR_DIM]
+            np.add.at(g[name], bucket, (own / number)[word])
         return g
 
-    def scores(self, texts: pa.Array) -> np.ndarray:
-        """For each whole text the highest probability over all its overlapping windows."""
+    def evidence(self, texts: pa.Array) -> np.ndarray:
+        """For each whole text the highest logit over all its overlapping windows, then the three highest over its
+        windows that don't overlap (LEAST where there are fewer): words that one window misses count in another."""
         counts, codes, words = _words(texts)
         owner, first, size = _windows(counts)
         x = self.project(self.inputs(words, self.ids(words))) if len(words) else {s: np.zeros((1, 3 * UNITS), np.float32) for s in "fb"}
         codes = np.r_[codes, np.zeros(WIDTH, np.int64)]
-        best = np.full(len(counts), -np.inf, np.float32)
-        steps = np.arange(WIDTH)
+        logits, steps = np.zeros(len(owner), np.float32), np.arange(WIDTH)
         for at in range(0, len(owner), 4096):
             cut = slice(at, at + 4096)
-            mask = (steps < size[cut, None]).astype(np.float32)
-            np.maximum.at(best, owner[cut], self.forward(x, codes[first[cut, None] + steps], mask))
-        return 1 / (1 + np.exp(-best.astype(np.float64)))
+            logits[cut] = self.forward(x, codes[first[cut, None] + steps], (steps < size[cut, None]).astype(np.float32))
+        found = np.full((len(counts), 4), LEAST)
+        np.maximum.at(found[:, 0], owner, logits)
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        apart = np.flatnonzero(place % -(-WIDTH // STRIDE) == 0)
+        order = apart[np.lexsort((-logits[apart], owner[apart]))]
+        rank = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
+        top = order[rank < 3]
+        found[owner[top], 1 + rank[rank < 3]] = np.maximum(logits[top], LEAST)
+        return found
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        """The probability of label 1 of each whole text, from the evidence of its windows."""
+        logits = self.evidence(texts) @ self.pooling[:-1] + self.pooling[-1]
+        return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+
+    def fit_pooling(self, texts: pa.Array, labels: np.ndarray, prior: float | None = None, pull: float = 1.0) -> None:
+        """What the windows of a text prove together: a logistic regression on texts the network has not seen, labels
+        weighted to the share `prior` of label 1, with a pull towards the highest window alone."""
+        x = np.hstack([self.evidence(texts), np.ones((len(labels), 1))])
+        seen = np.bincount(labels, minlength=2)
+        if seen.min() == 0:
+            return
+        share = np.array([1 - prior, prior]) if prior else seen / seen.sum()
+        weight = (share / (seen / seen.sum()))[labels]
+        start = w = np.array([1.0, 0.0, 0.0, 0.0, 0.0])
+        loss = lambda w: (weight * np.logaddexp(0, np.where(labels == 1, -1, 1) * (x @ w))).sum() + pull / 2 * ((w - start) ** 2).sum()
+        for _ in range(50):  # Newton steps on a convex loss of five numbers, halved while they overshoot
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            slope = x.T @ (weight * (p - labels)) + pull * (w - start)
+            step = np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + pull * np.eye(5), slope)
+            while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
+                step = step / 2
+            w = w - step
+            if np.abs(step).max() < 1e-8:
+                break
+        self.pooling = w
 
 
 def _log_odds(seen: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -162,7 +225,19 @@ def _log_odds(seen: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.clip(odds * z / (z + 25), -3, 3)
 
 
-def train(rows: list[tuple[int, str, int]], max_vocabulary: int = 8192, rounds: int = 5, decay: float = 0.02, seed: int = 7) -> Network:
+def train(rows: list[tuple[int, str, int]], prior: float | None = None, **params) -> Network:
+    """Fit on (doc_id, text, label) rows: the network on four fifths of them, the pooling of its windows on the rest.
+    prior is the share of label 1 that scores are to hold for, if not that of the rows."""
+    rows = sorted(rows)
+    held = [k % 5 == 4 for k in range(len(rows))]
+    net = train_windows([r for r, h in zip(rows, held) if not h], **params)
+    rest = [r for r, h in zip(rows, held) if h]
+    if rest:
+        net.fit_pooling(pa.array([r[1] for r in rest], pa.string()), np.array([r[2] for r in rest]), prior)
+    return net
+
+
+def train_windows(rows: list[tuple[int, str, int]], max_vocabulary: int = 8192, rounds: int = 5, decay: float = 0.02, seed: int = 7) -> Network:
     """Fit on (doc_id, text, label) rows. A text is as toxic as its most toxic window, so each round scores all
     windows and learns from every text's highest one and one other window of each clean text."""
     rng = np.random.default_rng(seed)
@@ -184,14 +259,15 @@ def train(rows: list[tuple[int, str, int]], max_vocabulary: int = 8192, rounds:
     # The first cell of a word or triple starts at its log odds, so that the first round's highest windows mean something.
     sizes = np.bincount(labels, minlength=2)
     net.w["words"][:, 0] = _log_odds(np.array([[0, 0], *(seen[w] for w in net.vocabulary)]), sizes)
-    gram, word = _grams(words)
-    by_word = np.searchsorted(word, np.arange(len(plain) + 1))
-    hits = np.zeros((BUCKETS, 2), np.int64)
-    for y in (0, 1):
-        for k in np.flatnonzero(labels == y).tolist():
-            own = np.unique(pairs[np.searchsorted(pairs, k * len(plain)) : np.searchsorted(pairs, (k + 1) * len(plain))] % len(plain))
-            hits[np.unique(np.concatenate([gram[by_word[j] : by_word[j + 1]] for j in own.tolist()] or [np.zeros(0, np.int64)])), y] += 1
-    net.w["grams"][:, 0] = _log_odds(hits, sizes)
+    for name, cut in CHARS.items():
+        bucket, word = cut(words)
+        by_word = np.searchsorted(word, np.arange(len(plain) + 1))
+        hits = np.zeros((BUCKETS, 2), np.int64)
+        for y in (0, 1):
+            for k in np.flatnonzero(labels == y).tolist():
+                own = np.unique(pairs[np.searchsorted(pairs, k * len(plain)) : np.searchsorted(pairs, (k + 1) * len(plain))] % len(plain))
+                hits[np.unique(np.concatenate([bucket[by_word[j] : by_word[j + 1]] for j in own.tolist()] or [np.zeros(0, np.int64)])), y] += 1
+        net.w[name][:, 0] = _log_odds(hits, sizes)
     w_owner, first, size = _windows(counts)
     codes, steps = np.r_[codes, np.zeros(WIDTH, np.int64)], np.arange(WIDTH)
     mean, square = ({k: np.zeros_like(v) for k, v in net.w.items()} for _ in range(2))
@@ -223,7 +299,7 @@ def train(rows: list[tuple[int, str, int]], max_vocabulary: int = 8192, rounds:
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_bytes: int = 64 << 20) -> DataFrame:
     """The bounded training sample: of each label per_class rows at most, in an order fixed by a hash of doc_id, and
-    of these as many as come to max_bytes of text together.
+    of these as many as come to max_bytes of text together, the shortest in any case.
 
     Rows of held_out() never enter. Of several labels of one doc_id the highest holds.
     """
@@ -235,18 +311,22 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_bytes:
     # Two partitions of per_class rows at most, by length alone; the texts stay out of the sort.
     sizes = rows.select("doc_id", "toxic", F.octet_length("text").alias("n"))
     total = F.sum("n").over(Window.partitionBy("toxic").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    fits = sizes.withColumn("total", total).where(F.col("total") <= max_bytes // 2).select("doc_id")
+    first = F.row_number().over(Window.partitionBy("toxic").orderBy("n", order, "doc_id"))
+    fits = sizes.withColumns({"total": total, "first": first}).where((F.col("total") <= max_bytes // 2) | (F.col("first") == 1)).select("doc_id")
     return rows.join(F.broadcast(fits), "doc_id").select("doc_id", "text", "toxic")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class: int = 1500) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs (doc_id, text).
 
-    The network is fitted on sample() alone and sees nothing but texts. A text scores as its highest window; a null
-    or empty text gets the score of a window without words. A null doc_id stays null and isn't held out; repeated
+    The network is fitted on sample() alone and sees nothing but texts. A text scores by its highest windows; a null
+    or empty text gets the score of a window without words. Scores hold for the share of label 1 among all labels
+    that training may see. A null doc_id stays null and isn't held out; repeated
     rows each give a row; without labels every score comes from the untrained network's bias.
     """
-    net = train([tuple(r) for r in sample(docs, labels, per_class).collect()])  # 2 * per_class rows at most
+    seen = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    prior = seen.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    net = train([tuple(r) for r in sample(docs, labels, per_class).collect()], prior)  # 2 * per_class rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, max_bytes=4 << 20):

@@ -270,3 +270,86 @@ def test_balance_against_a_plain_search():
                 room, cost, which = found
                 held[which] = (room - need, cost + need)
                 tree.put(room - need, cost + need, which)
+
+
+def test_mixing_posteriors_by_length(spark):
+    """Held-out clean texts: few of their tokens count as toxic, however long the text."""
+    from meridian.llm import mixing
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    seen = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(4)) > 0
+    labelled = docs.join(labels.withColumn("domain", mixing.domain_of(F.col("quality"), F.col("toxic"))), "doc_id").select("doc_id", "text", "domain")
+    found = mixing.posteriors(labelled, labels.where(seen)).where(~seen).drop("text").toPandas()
+    likeliest = found[[f"p_{x}" for x in mixing.DOMAINS]].to_numpy().argmax(axis=1)
+    assert (likeliest == found.domain).mean() > 0.93 and (likeliest == 2)[found.domain == 2].mean() > 0.75
+    clean = found[found.domain == 0]
+    for low, high in ((0, 20), (20, 100), (100, 500), (500, 2000), (2000, 10**9)):
+        part = clean[(clean.n_tokens >= low) & (clean.n_tokens < high)]
+        assert len(part) and (part.n_tokens * part.p_toxic).sum() / part.n_tokens.sum() < 0.05, (low, high)
+
+
+def test_rates_stay_within_their_bounds(spark):
+    from meridian.llm import mixing
+
+    likely = [(0.99, 0.005, 0.005)] * 60 + [(0.1, 0.1, 0.8)] * 40
+    rows = spark.createDataFrame([(100, *p) for p in likely], "n_tokens long, p_clean double, p_low_quality double, p_toxic double")
+    two = {"clean": 0.9, "toxic": 0.1}
+    got = mixing.rates(rows, two, most=1.0, anchor="clean", protect=0.5, slack=0.5).toPandas()
+    assert (got.rate[got.p_clean > 0.5] == 1).all() and (got.rate <= 1).all()
+    share = (got.rate * got.p_toxic).sum() / (got.rate * (got.p_toxic + got.p_clean)).sum()
+    assert abs(share - 0.1) < 0.02
+    with pytest.warns(RuntimeWarning):
+        far = mixing.rates(rows, {"clean": 0.5, "toxic": 0.5}, most=1.0, anchor="clean", protect=0.5, slack=0.2).toPandas()
+    assert (far.rate == 1).all()
+    assert mixing.rates(rows, most=1.5).agg(F.max("rate")).first()[0] <= 1.5
+
+
+def test_pipeline_keeps_clean_documents(spark):
+    """What mixing leaves at a hundredth of the scale: no copies, hardly a clean document less, toxic ones down."""
+    import corpus_pipeline
+    from meridian.llm.common import materialise
+
+    data = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    kept = materialise(corpus_pipeline.quality_rules(spark, docs, data))
+    mixed = materialise(corpus_pipeline.mix_sources(spark, kept, data))
+    assert mixed.groupBy("doc_id").count().agg(F.max("count")).first()[0] == 1 and mixed.columns == docs.columns
+    count = lambda df, y: df.join(labels.where(f"quality = 1 and toxic = {y}"), "doc_id", "left_semi").count()
+    assert count(mixed, 0) >= 0.98 * count(kept, 0) and count(mixed, 1) <= 0.5 * count(kept, 1) and mixed.count() > 0.85 * kept.count()
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_on_odd_rows(spark, odd, stage, tmp_path):
+    """Nulls, empty and repeated texts, clashing columns and no rows at all go through every stage."""
+    import corpus_pipeline
+
+    data = str(tmp_path)
+    spark.createDataFrame([(1, None), (None, "x y"), (2, "")], "item_id long, text string").write.parquet(f"{data}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0), (None, 0, 1), (2, None, None), (3, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{data}/labels.parquet")
+    name, run = corpus_pipeline.STAGES[stage]
+    out = run(spark, odd, data)
+    assert out.count() >= 0 and (stage == 4 or out.columns == odd.columns)
+    assert run(spark, odd.limit(0), data).count() == 0
+
+
+def test_toxicity_on_three_seeds(spark):
+    """Precision and recall on held-out labels don't hang on one start."""
+    import pyarrow as pa
+
+    from meridian.llm import toxicity
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = [tuple(r) for r in toxicity.sample(docs, labels).collect()]
+    judged = docs.join(labels, "doc_id").where(toxicity.held_out(F.col("doc_id"))).select("text", "toxic").toPandas()
+    for seed in (1, 2, 7):
+        flagged = toxicity.train(rows, 0.11, seed=seed).scores(pa.array(judged.text.fillna(""), pa.string())) >= 0.3
+        assert flagged[judged.toxic == 1].mean() > 0.75 and flagged[judged.toxic == 0].mean() < 0.045
+
+
+def test_toxicity_sample_has_both_labels(spark):
+    from meridian.llm import toxicity
+
+    docs = spark.createDataFrame([(k, "word " * 400) for k in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(8)], "doc_id long, toxic int")
+    got = toxicity.sample(docs, labels, max_bytes=100).collect()
+    assert sorted({r["toxic"] for r in got}) == [0, 1] and len(got) == 2
