@@ -87,3 +87,16 @@ def overlap_join(a: DataFrame, b: DataFrame, a_start: str, a_finish: str, b_star
     first = F.floor(F.greatest(F.col(a_start), F.col(b_start)) / width)
     on = (F.col("_ab") == F.col("_bb")) & (F.col("_ab") == first) & (F.col(a_start) < F.col(b_finish)) & (F.col(a_finish) >= F.col(b_start))
     return left.join(right, on).drop("_ab", "_bb")
+
+
+def box_join(points: DataFrame, boxes: DataFrame, x: str, y: str, bounds: tuple[str, str, str, str], widths: tuple[float, float], how: str = "inner") -> DataFrame:
+    """Points joined to the closed boxes (bounds: names of x low and high, y low and high) that hold them.
+
+    Boxes go to the cells of a grid (widths) that they touch, points have one cell each; so a pair comes once, and a
+    box costs a row for each of its cells. Choose widths of about a box's size. Null coordinates or bounds meet nothing."""
+    xl, xh, yl, yh = (F.col(b) for b in bounds)
+    cells = boxes.where((xl <= xh) & (yl <= yh)).withColumn("_bx", F.explode(F.sequence(F.floor(xl / widths[0]), F.floor(xh / widths[0]))))
+    cells = cells.withColumn("_by", F.explode(F.sequence(F.floor(yl / widths[1]), F.floor(yh / widths[1]))))
+    dealt = points.withColumns({"_px": F.floor(F.col(x) / widths[0]), "_py": F.floor(F.col(y) / widths[1])})
+    inside = (F.col(x) >= xl) & (F.col(x) <= xh) & (F.col(y) >= yl) & (F.col(y) <= yh)
+    return dealt.join(cells, (F.col("_px") == F.col("_bx")) & (F.col("_py") == F.col("_by")) & inside, how).drop("_px", "_py", "_bx", "_by")

@@ -15,7 +15,7 @@ from meridian.operators import masks as D
 from meridian.operators import windows as W
 from meridian.operators import index as Q
 from meridian.operators.joins import asof_join, interval_join, nearest_key, overlap_join
-from meridian.plans import calibration_queries, catalogue_queries, gain_queries, instrument_queries, map_queries, queries, solver_queries  # noqa: F401
+from meridian.plans import calibration_queries, catalogue_queries, gain_queries, instrument_queries, map_queries, queries, solver_queries, stream_queries  # noqa: F401
 from meridian.plans.registry import ORACLES, QUERIES
 from meridian.sources.fixtures import TABLES
 from meridian.streaming import groups as T
