@@ -84,6 +84,20 @@ class Templates:
                 h ^= h >> np.uint64(29)
             yield at, mask, h
 
+    def valued(self, at: np.ndarray, size: int, mask: int, hashes: np.ndarray, least_plain: int) -> np.ndarray:
+        """hashes, in which windows of under least_plain plain words take their slots' values along: templates of
+        little more than slots are all alike and would meet everywhere."""
+        slot = [(self.kind[at + k] > 0) | bool(mask >> k & 1) for k in range(size)]
+        few = size - np.sum(slot, axis=0) < least_plain
+        if not few.any():
+            return hashes
+        h = hashes.copy()
+        for k in range(size):
+            taken = few & slot[k]
+            h[taken] = (h[taken] ^ self.plain[at[taken] + k]) * _PRIME
+            h[taken] ^= h[taken] >> np.uint64(31)
+        return h
+
     def slots(self, start: int, size: int, mask: int) -> list[str]:
         """The slots' values as kind and word, in order."""
         kinds = [3 if mask >> k & 1 else x for k, x in enumerate(self.kind[start : start + size].tolist())]
@@ -100,13 +114,15 @@ def _word_hash(word: str) -> int:
     return xxh64_intdigest(word, 7)
 
 
-def _template_rows(tables: Iterator[pa.RecordBatch], sizes: list[int], own_size: bool, wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """id, start, size, hash, slots of windows; own_size: an item shorter than the longest size has one of its own."""
+def _template_rows(tables: Iterator[pa.RecordBatch], sizes: list[int], own_size: bool, wanted: np.ndarray | None, shortest: int, least_plain: int) -> Iterator[pa.RecordBatch]:
+    """id, start, size, hash, slots of windows; own_size: an item shorter than the longest size has one of its own.
+    Windows of under `shortest` words, or least_plain plain ones, meet by their slots' values too."""
     for batch in pieces(tables, max_bytes=4 << 20):
         t = Templates(batch.column(1))
         ids = batch.column(0).to_pylist()
         out: list[list] = [[], [], [], [], []]
         for size, (at, mask, hashes) in ((size, x) for size in sizes for x in t.windows(size)):
+            hashes = t.valued(at, size, mask, hashes, least_plain if size >= shortest else size + 1)
             if own_size:
                 ok = (size == sizes[-1]) | (t.counts[t.owner[at]] == size)
             elif wanted is not None:
@@ -124,32 +140,34 @@ def _template_rows(tables: Iterator[pa.RecordBatch], sizes: list[int], own_size:
 _ROWS = "id long, start int, size int, hash long, slots array<string>"
 
 
-def item_windows(benchmark: DataFrame, window: int = 8) -> DataFrame:
+def item_windows(benchmark: DataFrame, window: int = 8, shortest: int = 5, least_plain: int = 3) -> DataFrame:
     """Template windows of the items: `window` words each, or the whole of a shorter item."""
     rows = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("id"), text_of().alias("text"))
-    return rows.mapInArrow(lambda b: _template_rows(b, list(range(1, window + 1)), True, None), _ROWS)
+    return rows.mapInArrow(lambda b: _template_rows(b, list(range(1, window + 1)), True, None, shortest, least_plain), _ROWS)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, shortest: int = 5, coverage: float = 0.5, max_broadcast: int = 1_000_000, shift: int = 4) -> DataFrame:
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, window: int = 8, shortest: int = 5, coverage: float = 0.5, max_broadcast: int = 1_000_000, shift: int = 4, least_plain: int = 3
+) -> DataFrame:
     """(doc_id, item_id, matched, windows, coverage) for every document that holds an item, whole or in good part.
 
     A document holds an item if the windows of the item that match it, by template and with consistent slots, are
     at least `coverage` of all the item's windows. Slots are consistent if item values and document values stand for
     each other one to one throughout the document, or throughout one occurrence: windows whose places, document less
     item, follow each other by `shift` words or fewer. A template of under `shortest` words says too little, so an
-    item that short must occur with its own values. Up to max_broadcast item windows are sent to all tasks, which
+    item that short must occur with its own values, as must a window of under least_plain plain words. Up to max_broadcast item windows are sent to all tasks, which
     then drop other windows before the join; beyond that all windows are shuffled and give the same rows. Case and
     marks around words don't count; a capitalised word at a sentence's start is read both as an ordinary word and as
     a name. Items without words or with null text match nothing; null and empty texts hold nothing; a null doc_id or
     item_id never joins a pair; rows of one doc_id count as one document; of equal item ids all texts count as one
     item; empty tables give no rows.
     """
-    items = materialise(item_windows(benchmark, window))
+    items = materialise(item_windows(benchmark, window, shortest, least_plain))
     few = items.limit(max_broadcast + 1).count() <= max_broadcast
     wanted = np.unique(np.array([r[0] for r in items.select("hash").distinct().collect()], dtype=np.int64).view(np.uint64)) if few else None
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # `window` numbers at most
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).where("id is not null")
-    found = rows.mapInArrow(lambda b: _template_rows(b, sizes, False, wanted), _ROWS)
+    found = rows.mapInArrow(lambda b: _template_rows(b, sizes, False, wanted, shortest, least_plain), _ROWS)
     left = items.select(F.col("id").alias("item_id"), F.col("start").alias("item_start"), "size", "hash", F.col("slots").alias("slots_item"))
     right = found.select(F.col("id").alias("doc_id"), F.col("start").alias("doc_start"), "size", "hash", F.col("slots").alias("slots_doc")).distinct()
     met = right.join(F.broadcast(left) if few else left, ["hash", "size"]).where("item_id is not null")

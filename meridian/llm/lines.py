@@ -225,6 +225,11 @@ def drop_repeated_lines(docs: DataFrame, edits: int = 2, per: int = 10) -> DataF
     key, gone = unused(docs, "_id"), unused(docs, "_gone")
     found = _removals(docs, edits, per).where(F.size("gone") > 0).select(F.col("doc_id").alias(key), F.col("gone").alias(gone))
     joined = docs.join(found, docs["doc_id"].eqNullSafe(found[key]), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, k: ~F.array_contains(F.col(gone), F.struct(k.alias("line_no"), F.xxhash64(x).alias("h1"))))
+    # Lines by number and hash as strings, so that array_except() looks them up instead of comparing each with all.
+    lines = F.split("text", "\n")
+    name = lambda number, h1: F.concat(number.cast("string"), F.lit(":"), h1.cast("string"))
+    names = F.transform(lines, lambda x, k: name(k, F.xxhash64(x)))
+    kept = F.array_except(names, F.transform(F.col(gone), lambda g: name(g["line_no"], g["h1"])))
+    kept = F.transform(kept, lambda n: F.get(lines, F.substring_index(n, ":", 1).cast("int")))
     text = F.when(F.col("text").isNotNull() & F.col(gone).isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text"))
     return joined.withColumn("text", text).select(*docs.columns)

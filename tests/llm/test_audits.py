@@ -353,3 +353,45 @@ def test_toxicity_sample_has_both_labels(spark):
     labels = spark.createDataFrame([(k, k % 2) for k in range(8)], "doc_id long, toxic int")
     got = toxicity.sample(docs, labels, max_bytes=100).collect()
     assert sorted({r["toxic"] for r in got}) == [0, 1] and len(got) == 2
+
+
+def test_number_tables_do_not_meet_everywhere(spark):
+    """Windows that are all numbers meet by their values: tables of numbers find only their own."""
+    import time
+
+    from meridian.llm import decontamination
+
+    rng = random.Random(8)
+    numbers = lambda n: " ".join(str(rng.randint(0, 10**6)) for _ in range(n))
+    items = [(k, numbers(8)) for k in range(50)]
+    docs = [(k, numbers(400)) for k in range(20)] + [(99, f"{numbers(50)} {items[7][1]} {numbers(50)}")]
+    left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    decontamination.leaks(left.limit(1), right.limit(1)).collect()
+    start = time.time()
+    got = [(r["doc_id"], r["item_id"]) for r in decontamination.leaks(left, right).collect()]
+    assert got == [(99, 7)] and time.time() - start < 20
+
+
+def test_reparameterised_items_are_caught(spark):
+    """Planted items with new names and numbers, in long texts of other words; clean texts are left alone."""
+    from meridian.llm import decontamination
+
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
+    names = ["Anna", "Bob", "Carla", "Dan", "Eva", "Finn"]
+
+    def fill(form: list, values: dict) -> str:
+        return " ".join(values.setdefault(w, new()) if isinstance(w, int) and (new := (lambda w=w: rng.choice(names) if w % 2 else str(rng.randint(2, 999)))) else w for w in form)
+
+    forms = [[rng.randint(0, 3) if k % 5 == 3 else word() for k in range(30)] for _ in range(30)]
+    items = [(k, "so " + fill(f, {0: "17", 1: "Anna", 2: "45", 3: "Bob"})) for k, f in enumerate(forms)]
+    docs, planted = [], set()
+    for k in range(120):
+        text = [word() for _ in range(rng.randint(20, 200))]
+        if k % 2:
+            planted.add((k, k % 30))
+            text.insert(rng.randrange(len(text)), "so " + fill(forms[k % 30], {0: "23", 1: "Eva", 2: "8", 3: "Finn"}))
+        docs.append((k, " ".join(text)))
+    left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(left, right).collect()}
+    assert got <= planted and len(got) >= 0.95 * len(planted), (len(got), len(planted))
