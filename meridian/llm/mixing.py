@@ -41,7 +41,7 @@ def features(rows: DataFrame) -> DataFrame:
     values = {
         "symbols": F.regexp_count("_text", F.lit(r"[#*$%&|<>]")) / some,
         "capitals": F.regexp_count("_text", F.lit(r"\p{Lu}")) / F.greatest(F.length("_text"), F.lit(1)),
-        "exclamations": F.regexp_count("_text", F.lit("!")) / some,
+        "exclamations": (F.octet_length("_text") - F.octet_length(F.replace("_text", F.lit("!")))) / some,
         "length": F.col("n_tokens"),
         "same_lines": 1 - F.size(F.array_distinct(F.transform("_lines", lambda x: F.xxhash64(x)))) / F.size("_lines"),
     }
@@ -49,10 +49,13 @@ def features(rows: DataFrame) -> DataFrame:
     rows = rows.withColumns({f"_v_{k}": v for k, v in values.items()})
     rows = rows.withColumns({f"_b_{k}": part(F.col(f"_v_{k}"), BINS[k]) for k in BINS}).drop("_lines", *(f"_v_{k}" for k in BINS))
     plain = F.split(F.translate(F.lower("_text"), _PARTS, " " * len(_PARTS)), " ")
+    # A column of its own, so that it is made once and not for each of its uses.
+    rows = rows.withColumn("_distinct", F.array_distinct(plain))
+    rows = rows.withColumn("_long", F.filter("_distinct", lambda w: F.length(w) > STEMS[0]))
     bucket = lambda *x: F.pmod(F.xxhash64(*x), F.lit(BUCKETS)).cast("int")
-    distinct = F.array_distinct(plain)
-    stems = [F.transform(F.filter(distinct, lambda w: F.length(w) > n), lambda w: bucket(F.lit(n), F.substring(w, 1, n))) for n in STEMS]  # noqa: B023
-    return rows.withColumn("buckets", F.array_distinct(F.concat(F.transform(distinct, lambda w: bucket(w)), *stems)))
+    stems = [F.transform("_long", lambda w: bucket(F.lit(n), F.substring(w, 1, n))) for n in STEMS]  # noqa: B023
+    words = F.transform("_distinct", lambda w: bucket(w))
+    return rows.withColumn("buckets", F.array_distinct(F.concat(words, *stems))).drop("_distinct", "_long")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
@@ -175,7 +178,9 @@ def posteriors(docs: DataFrame, labels: DataFrame, train_rows: int = 6000) -> Da
     start = F.struct(*(F.lit(0.0).alias(n) for n in names))
     step = lambda a, b: F.struct(*((a[n] + F.get(table, b * len(DOMAINS) + d)).alias(n) for d, n in enumerate(names)))
     rows = features(docs.withColumn("_text", text_of())).drop("_text")
-    rows = rows.withColumns({"_w": F.aggregate("buckets", start, step), "_size": F.size("buckets")}).drop("buckets")
+    telling = F.split(F.lit(",".join("1" if x.any() else "0" for x in weights[:BUCKETS])), ",").cast("array<boolean>")
+    rows = rows.withColumns({"_hits": F.filter("buckets", lambda b: F.get(telling, b)), "_size": F.size("buckets")}).drop("buckets")
+    rows = rows.withColumn("_w", F.aggregate("_hits", start, step)).drop("_hits")
     faded = b * F.pow(1 + F.col("_size") / 50, F.lit(-c))
     rows = rows.withColumns({f"_s{d}": a * form(d) + faded * F.col(f"_w.s{d}") + bias[d] for d in range(len(DOMAINS))})
     top = F.greatest(*(F.col(f"_s{d}") for d in range(len(DOMAINS))))
