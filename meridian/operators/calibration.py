@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.functions.scalar import SIDEREAL_DAY, abs2, beam_sigma, cis, cmul, conj, fringe_phase, inv0, stellar_angle, sun, wrap
+from meridian.functions.scalar import SIDEREAL_DAY, abs2, beam_sigma, cinv0, cis, cmul, conj, fringe_phase, inv0, stellar_angle, sun, wrap
 from meridian.operators.joins import _found
 
 
@@ -54,8 +54,19 @@ def samples_to_weight(df: DataFrame, max_samples: float, max_weight: float) -> D
     return df.withColumn("w", F.col("w") * (max_samples / max_weight))
 
 
-def apply_digital_gain(gain: DataFrame, digital: DataFrame, on: list[str]) -> DataFrame:
-    """gain times the digital gain in force at its update, w over its square; no digital gain leaves zero weight."""
+def apply_digital_gain(gain: DataFrame, digital: DataFrame, on: list[str], invert: bool = False, normalize: bool = False) -> DataFrame:
+    """gain times the digital gain in force at its update, w over its square; no digital gain leaves zero weight.
+
+    normalize divides each update of digital gains by the median of its amplitudes that are not 0; invert takes one
+    over them, after that."""
+    if normalize:
+        size = F.sqrt(abs2((F.col("re"), F.col("im"))))
+        middle = digital.groupBy("update_t").agg(F.percentile(F.when(size > 0, size), F.lit(0.5)).alias("_middle"))
+        scale = inv0(F.coalesce("_middle", F.lit(0.0)))
+        digital = digital.join(middle, "update_t").withColumns({c: F.col(c) * scale for c in ("re", "im")}).drop("_middle")
+    if invert:
+        re, im = cinv0((F.col("re"), F.col("im")))
+        digital = digital.withColumns({"re": re, "im": im})
     found = _found(gain, digital, on, "update_t", "update_t", ["re", "im"], True, False)
     d = (F.coalesce("_before.re", F.lit(0.0)), F.coalesce("_before.im", F.lit(0.0)))
     re, im = cmul((F.col("re"), F.col("im")), d)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.scalar import abs2, cinv0, cis, cmul, conj, inv0
@@ -92,7 +92,7 @@ def leading_gain(
     scale = F.col("_na") * F.col("_nb")
     upper = scaled.select(*group, "input_a", "input_b", (F.col("re") * scale).alias("re"), (F.col("im") * scale).alias("im"))
     bad = F.isnan("re") | F.isnan("im") | (F.abs("re") == float("inf")) | (F.abs("im") == float("inf"))
-    upper = upper.withColumn("_bad", F.max(bad.cast("int")).over(Window.partitionBy(*group))).where("_bad = 0").drop("_bad")
+    upper = upper.join(upper.where(bad).select(*group).distinct(), group, "left_anti")
     # Both triangles, by the input that a product's row belongs to.
     edges = written(upper.unionByName(upper.select(*group, F.col("input_b").alias("input_a"), F.col("input_a").alias("input_b"), "re", (-F.col("im")).alias("im"))))
     inputs = written(edges.select(*group, F.col("input_a").alias("input_id")).distinct())

@@ -21,7 +21,7 @@ def streams_to_correct(vis: DataFrame, stream: str, flags: DataFrame, tables: Da
     the column is computed, with the stream's name."""
     spans = vis.groupBy(stream).agg(F.min("t").alias("_t0"), F.max("t").alias("_t1"))
     within = flags.select("start_t", "finish_t").distinct()
-    # A few rows per stream and flag type meet: the spans' first times against the flags, by day.
+    # Streams meet flags, and tables, by the day of their first sample.
     day = 86400.0
     held = within.withColumn("_d", F.explode(F.sequence(F.floor(F.col("start_t") / day), F.floor(F.col("finish_t") / day))))
     met = spans.withColumn("_d", F.floor(F.col("_t0") / day)).join(held, "_d").where((F.col("_t0") >= F.col("start_t")) & (F.col("_t0") <= F.col("finish_t")))
@@ -30,14 +30,14 @@ def streams_to_correct(vis: DataFrame, stream: str, flags: DataFrame, tables: Da
     said = F.concat(F.lit("stream "), F.col(stream).cast("string"), F.lit(" partially overlaps a flag that needs a timing correction"))
     needing = first.withColumn("_ok", F.when(part, F.raise_error(said)).otherwise(F.lit(True)))
     reach = tables.groupBy("table_id").agg(F.min("t").alias("_from"), F.max("t").alias("_to"))
-    # Tables are few (one a correction file); each stream looks at all of their spans, not at their rows.
-    spanning = F.broadcast(reach.agg(F.sort_array(F.collect_list(F.struct("table_id", "_from", "_to"))).alias("_tables")))
-    fits = F.filter("_tables", lambda x: (F.col("_t0") >= x["_from"]) & (F.col("_t1") <= x["_to"]))
-    found = needing.crossJoin(spanning).withColumn("table_id", F.get(fits, F.lit(0))["table_id"]).where("_ok")
+    reach = reach.withColumn("_d", F.explode(F.sequence(F.floor(F.col("_from") / day), F.floor(F.col("_to") / day))))
+    spanned = needing.withColumn("_d", F.floor(F.col("_t0") / day)).join(reach, "_d").where((F.col("_t0") >= F.col("_from")) & (F.col("_t1") <= F.col("_to")))
+    found = spanned.groupBy(stream).agg(F.min("table_id").alias("table_id"))
     if pass_if_missing:
-        return found.where("table_id is not null").select(stream, "table_id")
+        return needing.where("_ok").select(stream).join(found, stream)
     missing = F.raise_error(F.concat(F.lit("no timing correction spans stream "), F.col(stream).cast("string")))
-    return found.select(stream, F.when(F.col("table_id").isNull(), missing).otherwise(F.col("table_id")).alias("table_id"))
+    all_of = needing.where("_ok").select(stream).join(found, stream, "left")
+    return all_of.select(stream, F.when(F.col("table_id").isNull(), missing).otherwise(F.col("table_id")).alias("table_id"))
 
 
 def apply_timing_correction(

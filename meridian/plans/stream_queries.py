@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridian.operators.calibration import apply_digital_gain
 from meridian.operators.joins import box_join
 from meridian.operators.rounds import shared_folder
 from meridian.plans.registry import R, col, query, rounded
@@ -153,3 +154,49 @@ def s12_write_product(day):
 def j7_box_join(map, catalog):
     boxes = catalog.select("source_id", (col("ra") - 2.03).alias("x0"), (col("ra") + 2.03).alias("x1"), (col("dec") - (1 + col("z"))).alias("y0"), (col("dec") + (1 + col("z"))).alias("y1"))
     return box_join(map.withColumn("y", 40 + 50 * col("el")), boxes, "ra", "y", ("x0", "x1", "y0", "y1"), (4.0, 4.0)).select("freq_id", "ra_id", "el_id", "source_id")
+
+
+@query(
+    f"""SELECT freq_id, t, input_a, {R('re')} AS re, CASE WHEN re=0 AND im=0 THEN 0.0e0 ELSE 255.0e0 END AS w FROM (SELECT *, input_id AS input_a, CASE WHEN sample_id%3=0 THEN input_id ELSE input_id+1 END AS input_b FROM fx_vis)
+    WHERE freq_id IN (1, 4) AND input_a = input_b""",
+    vis="vis",
+)
+def s1_choose_channels(vis):
+    """Channels nearest to three frequencies, autocorrelations alone, no weights in the files."""
+    where = _folder(vis.sparkSession, "vis")
+    other = F.when(col("sample_id") % 3 == 0, col("input_id")).otherwise(col("input_id") + 1)
+    vis.select("freq_id", col("input_id").alias("input_a"), other.alias("input_b"), "t", "re", "im").repartitionByRange(4, "t").write.parquet(where)
+    rows = products.read_vis(vis.sparkSession, [where], mhz=[799.6, 799.5, 798.4], channel_index=[2], only_autos=True)
+    return rounded(rows.select("freq_id", "t", "input_a", "re", "w"))
+
+
+@query(
+    f"""WITH d AS (SELECT g.* EXCLUDE (re, im, w), g.re/m AS re, g.im/m AS im FROM fx_gain g JOIN (SELECT update_t, median(sqrt(re*re+im*im)) FILTER (re*re+im*im > 0) AS m FROM fx_gain WHERE update_kind='transition' GROUP BY 1) USING (update_t) WHERE update_kind='transition'),
+    i AS (SELECT update_t, input_id, freq_id, CASE WHEN re*re+im*im > 0 THEN re/(re*re+im*im) ELSE 0 END AS re, CASE WHEN re*re+im*im > 0 THEN -im/(re*re+im*im) ELSE 0 END AS im FROM d)
+    SELECT g.update_t, g.input_id, g.freq_id, {R('g.re*coalesce(d.re,0)-g.im*coalesce(d.im,0)', 5)} AS re, {R('g.re*coalesce(d.im,0)+g.im*coalesce(d.re,0)', 5)} AS im,
+    {R('CASE WHEN coalesce(d.re*d.re+d.im*d.im, 0) = 0 THEN 0 ELSE g.w/(d.re*d.re+d.im*d.im) END', 5)} AS w
+    FROM (SELECT * FROM fx_gain WHERE update_kind = 'gain') g ASOF LEFT JOIN i d ON g.input_id = d.input_id AND g.freq_id = d.freq_id AND g.update_t >= d.update_t""",
+    gain="gain",
+)
+def d35_normalised_digital_gain(gain):
+    part = lambda kind: gain.where(col("update_kind") == kind).drop("update_kind")
+    return rounded(apply_digital_gain(part("gain"), part("transition"), ["input_id", "freq_id"], invert=True, normalize=True), 5)
+
+
+@query(
+    f"""WITH r AS (SELECT CAST(floor(lsd/3) AS BIGINT) AS run_id, min(t) AS start_t, max(t) AS finish_t FROM fx_vis WHERE lsd%3 <> 2 GROUP BY 1),
+    x AS (SELECT c.source_id AS source, 1704067200+(l.lsd+c.ra/360)*86164.0989e0 AS transit_t FROM (SELECT * FROM fx_catalog WHERE source_id%7=0) c, (SELECT DISTINCT lsd FROM fx_vis) l),
+    h AS (SELECT source, transit_t, min(run_id) AS run_id FROM x JOIN r ON transit_t BETWEEN start_t AND finish_t GROUP BY 1, 2),
+    w AS (SELECT source, transit_t, run_id, greatest(transit_t-5000, start_t) AS s, least(transit_t+5000, finish_t) AS f FROM h JOIN r USING (run_id))
+    SELECT source, run_id, {R('transit_t', 3)} AS transit_t, {R('f-s', 3)} AS span, count(*) AS n, {R('sum(w)', 4)} AS w, {R('sum(w*re)', 3)} AS wx FROM w JOIN fx_vis v ON v.t BETWEEN s AND f WHERE f-s >= 6000 GROUP BY source, run_id, w.transit_t, f, s""".replace("sum(w)", "sum(v.w)").replace("sum(w*re)", "sum(v.w*re)"),
+    vis="vis", catalog="catalog",
+)
+def t4_transit_groups(vis, catalog):
+    runs = vis.where("lsd % 3 <> 2").groupBy(F.floor(col("lsd") / 3).cast("long").alias("run_id")).agg(F.min("t").alias("start_t"), F.max("t").alias("finish_t"))
+    days = vis.select("lsd").distinct()
+    sources = catalog.where("source_id % 7 = 0").select(col("source_id").alias("source"), "ra")
+    low, high = days.agg(F.min("lsd"), F.max("lsd")).first()
+    spread = sources.withColumn("lsd", F.explode(F.sequence(F.lit(low), F.lit(high)))).join(days, "lsd")
+    transits = spread.select("source", (1704067200 + (col("lsd") + col("ra") / 360) * 86164.0989).alias("transit_t"))
+    out = T.transit_groups(vis, transits, runs, 5000.0, 6000.0)
+    return rounded(out.select("source", "run_id", "transit_t", (col("finish_t") - col("start_t")).alias("span"), "n", "w", "wx"), 3, w=4)

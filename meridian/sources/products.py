@@ -41,6 +41,28 @@ def write_product(df: DataFrame, path: str, tag: str = "lsd") -> None:
     df.write.partitionBy(tag).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def read_vis(
+    spark: SparkSession, paths: list[str], mhz: list[float] | None = None, channel_range: list[int] | None = None, channel_index: list[int] | None = None, only_autos: bool = False,
+    columns: list[str] | None = None, top_mhz: float = 800.0, width_mhz: float = 400.0 / 1024, channels: int = 1024,
+) -> DataFrame:
+    """Visibility files (freq_id, input_a, input_b, t, re, im, w): the channels nearest to some frequencies, or else a
+    range (start, stop[, step]), or else numbers; autocorrelations alone if asked for; some columns if named.
+
+    Files without w get 0 where the visibility is 0 and 255 elsewhere. Choices become predicates of the scan."""
+    rows = spark.read.parquet(*paths)
+    if mhz:
+        rows = rows.where(F.col("freq_id").isin(sorted({min(max(round((top_mhz - x) / width_mhz), 0), channels - 1) for x in mhz})))
+    elif channel_range:
+        rows = rows.where(F.col("freq_id").isin(list(range(*channel_range)))) if len(channel_range) == 3 else rows.where((F.col("freq_id") >= channel_range[0]) & (F.col("freq_id") < channel_range[1]))
+    elif channel_index:
+        rows = rows.where(F.col("freq_id").isin(sorted(set(channel_index))))
+    if only_autos:
+        rows = rows.where(F.col("input_a") == F.col("input_b"))
+    if "w" not in rows.columns:
+        rows = rows.withColumn("w", F.when((F.col("re") == 0) & (F.col("im") == 0), 0.0).otherwise(255.0))
+    return rows.select(*columns) if columns else rows
+
+
 def read_spectra(
     spark: SparkSession, paths: list[str], time_range: tuple[float, float] | None = None, mhz_range: tuple[float, float] | None = None, mhz_list: list[float] | None = None,
     beams: list[int] | None = None, top_mhz: float = 800.0, width_mhz: float = 400.0 / 1024, channels: int = 1024, day_zero: float | None = None, day_seconds: float = 86164.0989,

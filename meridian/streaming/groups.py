@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.scalar import inv0
+from meridian.operators.joins import interval_join
 
 
 def day_groups(df: DataFrame, day: Column, padding: float = 0.0, least_span: float = 0.0) -> DataFrame:
@@ -76,3 +77,20 @@ def acquisition_references(df: DataFrame, acquisition: str, order: str, value: s
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
     return df.groupBy(acquisition).applyInPandasWithState(run, f"{kinds}, {name} double", "reference double", "append", "NoTimeout")
+
+
+def transit_groups(df: DataFrame, transits: DataFrame, runs: DataFrame, half_span: float, least_span: float = 0.0, day: float = 86400.0) -> DataFrame:
+    """source, transit_t, run_id, start_t, finish_t, tag, n, w, wx: the samples (t, re, w) about each transit (source,
+    transit_t), within half_span seconds and the observation run (run_id, start_t, finish_t) that holds the transit.
+
+    A transit that no run holds is left out, as is one of which less than least_span remains; of several runs the
+    least run_id serves. The tag is source and transit time."""
+    held = interval_join(transits, runs.select("run_id", "start_t", "finish_t"), "transit_t", "start_t", "finish_t", day)
+    first = held.groupBy("source", "transit_t").agg(F.min(F.struct("run_id", "start_t", "finish_t")).alias("_run"))
+    start, finish = F.greatest(F.col("transit_t") - half_span, F.col("_run.start_t")), F.least(F.col("transit_t") + half_span, F.col("_run.finish_t"))
+    windows = first.select("source", "transit_t", F.col("_run.run_id").alias("run_id"), start.alias("start_t"), finish.alias("finish_t"))
+    windows = windows.where(F.col("finish_t") - F.col("start_t") >= least_span)
+    tag = F.concat_ws("_", F.col("source").cast("string"), F.date_format(F.timestamp_seconds("transit_t"), "yyyyMMdd'T'HHmmss"))
+    met = interval_join(df.select("t", "re", "w"), windows, "t", "start_t", "finish_t", day)
+    key = ["source", "transit_t", "run_id", "start_t", "finish_t"]
+    return met.groupBy(*key).agg(F.count("*").alias("n"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("re")).alias("wx")).withColumn("tag", tag)
