@@ -11,12 +11,12 @@ from meridian.functions.scalar import cis, cmul
 from meridian.operators.windows import interpolate
 
 
-def streams_to_correct(vis: DataFrame, stream: str, flags: DataFrame, tables: DataFrame, pass_if_missing: bool = False) -> DataFrame:
+def streams_to_correct(vis: DataFrame, stream: str, flags: DataFrame, tables: DataFrame, pass_if_missing: bool = False, take_partial: bool = False) -> DataFrame:
     """stream, table_id: the streams that need a timing correction, and the table that serves each.
 
     A stream needs one if its first sample lies in one of the flags (start_t, finish_t): in the one that starts first
     (then ends first), as in a list of flags in order of time. If it doesn't end before that flag does, it overlaps in
-    part, which is an error. The table is the first (least table_id) whose times (table_id, input_id, t, delay) span
+    part, which is an error, or with take_partial needs one all the same. The table is the first (least table_id) whose times (table_id, input_id, t, delay) span
     the stream; without one the stream is left out if pass_if_missing, else that is an error. Errors are raised where
     the column is computed, with the stream's name."""
     spans = vis.groupBy(stream).agg(F.min("t").alias("_t0"), F.max("t").alias("_t1"))
@@ -28,7 +28,7 @@ def streams_to_correct(vis: DataFrame, stream: str, flags: DataFrame, tables: Da
     first = met.groupBy(stream, "_t0", "_t1").agg(F.min(F.struct("start_t", "finish_t")).alias("_flag"))
     part = F.col("_t1") >= F.col("_flag.finish_t")
     said = F.concat(F.lit("stream "), F.col(stream).cast("string"), F.lit(" partially overlaps a flag that needs a timing correction"))
-    needing = first.withColumn("_ok", F.when(part, F.raise_error(said)).otherwise(F.lit(True)))
+    needing = first.withColumn("_ok", F.lit(True) if take_partial else F.when(part, F.raise_error(said)).otherwise(F.lit(True)))
     reach = tables.groupBy("table_id").agg(F.min("t").alias("_from"), F.max("t").alias("_to"))
     reach = reach.withColumn("_d", F.explode(F.sequence(F.floor(F.col("_from") / day), F.floor(F.col("_to") / day))))
     spanned = needing.withColumn("_d", F.floor(F.col("_t0") / day)).join(reach, "_d").where((F.col("_t0") >= F.col("_from")) & (F.col("_t1") <= F.col("_to")))
@@ -41,7 +41,8 @@ def streams_to_correct(vis: DataFrame, stream: str, flags: DataFrame, tables: Da
 
 
 def apply_timing_correction(
-    vis: DataFrame, stream: str, flags: DataFrame, tables: DataFrame, mhz: Column, pass_if_missing: bool = False, transits: DataFrame | None = None
+    vis: DataFrame, stream: str, flags: DataFrame, tables: DataFrame, mhz: Column, pass_if_missing: bool = False, transits: DataFrame | None = None,
+    take_partial: bool = False,
 ) -> DataFrame:
     """vis (stream, input_a, input_b, t, re, im, w) with phases turned by the difference of both inputs' delays.
 
@@ -49,7 +50,7 @@ def apply_timing_correction(
     to t from the stream's table (table_id, input_id, t, delay, w). With transits (stream, transit_t) delays count from
     that at the transit. Where a delay is unknown (no samples of weight on both sides) w becomes 0; all other streams
     stay as they are."""
-    chosen = streams_to_correct(vis, stream, flags, tables, pass_if_missing)
+    chosen = streams_to_correct(vis, stream, flags, tables, pass_if_missing, take_partial)
     rows = vis.join(chosen, stream, "left")
     spots = rows.where("table_id is not null").select("table_id", "t", F.explode(F.array("input_a", "input_b")).alias("input_id")).distinct()
     delays = interpolate(spots, tables.select("table_id", "input_id", "t", "delay", "w"), ["table_id", "input_id"], "t", "delay").where("w > 0").drop("w")

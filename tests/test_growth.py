@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from meridian.operators import timing
 from meridian.plans import calibration_queries, catalogue_queries, gain_queries, instrument_queries, map_queries, queries, solver_queries, stream_queries  # noqa: F401
 from meridian.plans.registry import ORACLES, QUERIES
 from meridian.sources.fixtures import FIXTURES, SPARK_FORMS, TABLES, fixture, spark_sql
@@ -46,3 +47,13 @@ def test_spark_form_meets_by_key(spark, form, tmp_path):
     assert df.schema == plain.schema and df.exceptAll(plain).count() == 0 and plain.exceptAll(df).count() == 0 and df.count() > 50
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_timing_takes_streams_that_a_flag_holds_in_part(spark, tmp_path):
+    # A sample in the first second of a day lies in the last second of the flag of the day before, which ends first.
+    where = copy_of(tmp_path, events="SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN date_trunc('day', ts) + INTERVAL 500 MILLISECOND * (1 + event_id % 2) ELSE ts END AS ts) FROM {events}")
+    vis, delay, flags = (fixture(spark, where, x) for x in ("vis", "delay", "flag_vis"))
+    rows, spans = solver_queries.timing_inputs(vis, delay, flags)
+    with pytest.raises(Exception, match="partially overlaps"):
+        timing.streams_to_correct(rows, "stream", spans, delay, True).collect()
+    assert same_as_sql(spark, "m4_timing_correction", where) > 100
