@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions import scalar as X
 from meridian.operators import index as Q
-from meridian.operators.joins import interval_join, overlap_join
+from meridian.operators.joins import first_overlap, interval_join
 from meridian.plans.queries import CELL
 from meridian.plans.registry import R, col, query, rounded
 
@@ -65,9 +65,9 @@ def q11_dataspec_files(file):
 )
 def q16_filter_processed(file, flags):
     spans = flags.select("flag_id", col("start_t").alias("a"), col("finish_t").alias("b"))
-    met = overlap_join(file.where("acqtype = 'corr'"), spans, "start_t", "finish_t", "a", "b", 432000.0)
-    first = met.groupBy("flag_id").agg(F.min_by(F.struct("file_id", "online"), F.struct("start_t", "file_id")).alias("f"))
-    return first.where("NOT f.online").select("flag_id", "f.file_id")
+    first = first_overlap(spans, file.where("acqtype = 'corr'"), "a", "b", "start_t", "finish_t", ["file_id", "online"], 86400.0)
+    first = first.groupBy("flag_id").agg(F.min("_first").alias("_first"))
+    return first.where("NOT _first.online").select("flag_id", "_first.file_id")
 
 
 @query("SELECT file_id FROM fx_file WHERE start_t < 854755200 AND finish_t >= 852076800", file="file")

@@ -57,3 +57,14 @@ def test_timing_takes_streams_that_a_flag_holds_in_part(spark, tmp_path):
     with pytest.raises(Exception, match="partially overlaps"):
         timing.streams_to_correct(rows, "stream", spans, delay, True).collect()
     assert same_as_sql(spark, "m4_timing_correction", where) > 100
+
+
+@pytest.mark.parametrize("name", ["q16_filter_processed"])
+def test_many_overlaps_make_no_pairs(spark, name, tmp_path):
+    # Many copies at the same times: rows that reach an aggregate or join grow with the copies, not with their square.
+    orders = "SELECT o_orderkey * 40 + k AS o_orderkey, * EXCLUDE (o_orderkey, k) FROM {orders}, range(40) g(k)"
+    events = "SELECT event_id * 10 + k AS event_id, * EXCLUDE (event_id, k) FROM {events}, range(10) g(k)"
+    where = copy_of(tmp_path, orders=orders, events=events)
+    assert same_as_sql(spark, name, where) > 0
+    plan = QUERIES[name](spark, where)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 0 and "Window" in plan
