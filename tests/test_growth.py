@@ -59,7 +59,7 @@ def test_timing_takes_streams_that_a_flag_holds_in_part(spark, tmp_path):
     assert same_as_sql(spark, "m4_timing_correction", where) > 100
 
 
-@pytest.mark.parametrize("name", ["q16_filter_processed"])
+@pytest.mark.parametrize("name", ["q16_filter_processed", "q8_exclude_data_flags"])
 def test_many_overlaps_make_no_pairs(spark, name, tmp_path):
     # Many copies at the same times: rows that reach an aggregate or join grow with the copies, not with their square.
     orders = "SELECT o_orderkey * 40 + k AS o_orderkey, * EXCLUDE (o_orderkey, k) FROM {orders}, range(40) g(k)"
