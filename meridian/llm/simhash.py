@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import discard, materialise, pieces, text_of, unused
+from meridian.llm.common import dealt, discard, materialise, pieces, text_of, unused
 
 BITS = 64
 
@@ -84,7 +84,7 @@ def links(fps: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFrame:
     probe = probe.select(F.col("fp").alias("b"), "part", F.explode(ball).alias("mask"))
     probe = probe.select("b", F.col("part").bitwiseXOR(F.col("mask")).alias("key"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return probe.join(index, [probe["key"] == index["key"], near]).select("a", "b")
+    return probe.join(dealt(index), [probe["key"] == index["key"], near]).select("a", "b")
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -97,10 +97,10 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     for _ in range(max_rounds):
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("u"), F.col("m").alias("v"))
+        large = both.join(dealt(low), "a").where("b > a").select(F.col("b").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
+        small = large.join(dealt(low), "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
         before, edges = edges, materialise(small.select(F.col("e.v").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct().select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         discard(before)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
@@ -123,10 +123,10 @@ def near_groups(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, segm
     rows = materialise(fingerprints(docs, shingle_words))
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = components(links(distinct.select("fp"), max_bits, segments))
-    labelled = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    labelled = distinct.join(dealt(found), distinct["fp"] == found["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     names = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_fp = labelled.join(names, "label").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of_fp = labelled.join(dealt(names), "label").select("fp", "component_id")
+    return rows.join(dealt(of_fp), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, similarity: float | None = None, **params) -> DataFrame:
