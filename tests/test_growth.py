@@ -68,3 +68,13 @@ def test_many_overlaps_make_no_pairs(spark, name, tmp_path):
     assert same_as_sql(spark, name, where) > 0
     plan = QUERIES[name](spark, where)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") == 0 and "Window" in plan
+
+
+def test_frequency_maps_come_from_one_walk(spark, monkeypatch):
+    from meridian.operators import lookup
+
+    walks = []
+    walk = lookup.closest_ancestors
+    monkeypatch.setattr(lookup, "closest_ancestors", lambda *a, **k: walks.append(1) or walk(*a, **k))
+    assert same_as_sql(spark, "q14_frequency_map", DATA) > 0
+    assert len(walks) == 1
