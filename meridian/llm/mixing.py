@@ -165,8 +165,12 @@ def posteriors(docs: DataFrame, labels: DataFrame, train_rows: int = 6000) -> Da
     total = lambda rows: np.array([weights[x].sum(axis=0) for x in rows]).reshape(-1, len(DOMAINS))
     tried = np.flatnonzero(held)
     a, b, c, bias = calibrate(total([bins[k] for k in tried]), total([own[k] for k in tried]), np.array([len(own[k]) for k in tried]), domain[held])
-    # One string of fixed decimals becomes one constant array when the plan is made.
-    table = F.split(F.lit(",".join(f"{x:.4f}" if x else "0" for x in weights[:BUCKETS].ravel())), ",").cast("array<double>")
+    # Words that tell nothing have no weights, so the plan holds a place for each bucket (0: none) and the weights of the others.
+    # Strings become constant arrays when the plan is made, which every text of the plan spells out: three times all
+    # weights were megabytes of it at once on the driver.
+    telling = weights[:BUCKETS].any(axis=1)
+    places = F.split(F.lit(",".join(map(str, np.where(telling, np.cumsum(telling), 0)))), ",").cast("array<int>")
+    table = F.split(F.lit(",".join(f"{x:.4f}" if x else "0" for x in [*[0.0] * len(DOMAINS), *weights[:BUCKETS][telling].ravel()])), ",").cast("array<double>")
 
     def form(d: int) -> Column:
         score = F.lit(0.0)
@@ -178,8 +182,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, train_rows: int = 6000) -> Da
     start = F.struct(*(F.lit(0.0).alias(n) for n in names))
     step = lambda a, b: F.struct(*((a[n] + F.get(table, b * len(DOMAINS) + d)).alias(n) for d, n in enumerate(names)))
     rows = features(docs.withColumn("_text", text_of())).drop("_text")
-    telling = F.split(F.lit(",".join("1" if x.any() else "0" for x in weights[:BUCKETS])), ",").cast("array<boolean>")
-    rows = rows.withColumns({"_hits": F.filter("buckets", lambda b: F.get(telling, b)), "_size": F.size("buckets")}).drop("buckets")
+    hits = F.filter(F.transform("buckets", lambda b: F.get(places, b)), lambda place: place > 0)
+    rows = rows.withColumns({"_hits": hits, "_size": F.size("buckets")}).drop("buckets")
     rows = rows.withColumn("_w", F.aggregate("_hits", start, step)).drop("_hits")
     faded = b * F.pow(1 + F.col("_size") / 50, F.lit(-c))
     rows = rows.withColumns({f"_s{d}": a * form(d) + faded * F.col(f"_w.s{d}") + bias[d] for d in range(len(DOMAINS))})

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import NO_ID, text_of
+from meridian.llm.common import NO_ID, materialise, text_of
 
 GRAM = 16
 _BYTE = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -297,7 +297,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
     SENT_NAMES, SENT_KINDS = [x.split()[0] for x in SENT.split(", ")], (LONG, LONG, *[BLOB] * 6)
     SPAN_NAMES = [x.split()[0] for x in SPANS.split(", ")]
     by_block = blocks.groupBy("block")
-    found = by_block.applyInArrow(anchors, "bucket long, block long, keys binary").groupBy("bucket").applyInArrow(shared, SHARED)
+    # Written, so that the anchors' shuffle is gone before the segments' begins: both together were the peak of disk.
+    found = materialise(by_block.applyInArrow(anchors, "bucket long, block long, keys binary").groupBy("bucket").applyInArrow(shared, SHARED))
     sent = by_block.cogroup(found.groupBy("block")).applyInArrow(candidates, SENT)
     # Settled rows carry bucket -1; their own block number deals them out.
     salt = F.when(F.col("bucket") < 0, -1 - F.col("block")).otherwise(F.col("bucket"))
