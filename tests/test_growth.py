@@ -7,10 +7,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from meridian.operators import timing
+from meridian.operators import joins, timing
 from meridian.plans import calibration_queries, catalogue_queries, gain_queries, instrument_queries, map_queries, queries, solver_queries, stream_queries  # noqa: F401
 from meridian.plans.registry import ORACLES, QUERIES
 from meridian.sources.fixtures import FIXTURES, SPARK_FORMS, TABLES, fixture, spark_sql
+from meridian.streaming import groups
 
 DATA = "/root/testdata/sf0.001"
 
@@ -78,3 +79,40 @@ def test_frequency_maps_come_from_one_walk(spark, monkeypatch):
     monkeypatch.setattr(lookup, "closest_ancestors", lambda *a, **k: walks.append(1) or walk(*a, **k))
     assert same_as_sql(spark, "q14_frequency_map", DATA) > 0
     assert len(walks) == 1
+
+
+def many(df, n):
+    return df.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+
+
+def test_pairs_meet_by_chunks(spark):
+    points = many(spark.createDataFrame([(x,) for x in (0.0, 1.0, 2.5, 3.0, 3.1, None, float("nan"))], "t double"), 300)
+    spans = spark.createDataFrame([(1, 1.0, 3.0), (2, 2.0, 2.6), (3, None, 5.0), (4, 3.0, 1.0), (5, 0.0, 0.0)], "id int, a double, b double")
+    met = joins.interval_pairs(points, spans, "t", "a", "b", 0.7)
+    got = met.groupBy("t", "id").agg(F.count("*").alias("n"), F.countDistinct("_k").alias("k")).collect()
+    assert sorted(map(tuple, got)) == [(0.0, 5, 300, 300), (1.0, 1, 300, 300), (2.5, 1, 300, 300), (2.5, 2, 300, 300), (3.0, 1, 300, 300)]
+    assert "Window" in met._jdf.queryExecution().optimizedPlan().toString()  # points are laid together, not joined one by one
+
+
+def test_overlaps_equal_a_nested_loop(spark):
+    times = [None, 0.0, 1.0, 1.5, 2.0, 4.0]
+    spans = spark.createDataFrame([(i * 10 + j, x, y) for i, x in enumerate(times) for j, y in enumerate(times)], "id int, a double, b double")
+    other = many(spans.toDF("o", "c", "d"), 3)
+    got = joins.overlap_join(spans, other, "a", "b", "c", "d", 0.7).select("id", "o", "_k").collect()
+    # Inverted intervals meet by the buckets that both have, as they did.
+    want = [(p.id, q.o, q._k) for p in spans.collect() for q in other.collect() if None not in (p.a, p.b, q.c, q.d) and p.a < q.d and p.b >= q.c]
+    wild = {r.id for r in spans.collect() if None not in (r.a, r.b) and r.a > r.b}
+    tame = lambda rows: sorted(r for r in map(tuple, rows) if r[0] not in wild and r[1] not in wild)
+    assert tame(got) == tame(want) and len(set(map(tuple, got))) == len(got) and set(map(tuple, got)) <= set(want)
+
+
+def test_transit_sums_make_no_pairs(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0.0, 1.0, 1.0), (10.0, 2.0, 2.0), (10.0, None, 3.0), (20.0, inf, 1.0), (30.0, nan, 1.0), (40.0, 5.0, None), (90.0, 7.0, 1.0), (None, 1.0, 1.0), (120.0, 0.5, 2.0)]
+    df = spark.createDataFrame(rows, "t double, re double, w double")
+    runs = spark.createDataFrame([(1, 0.0, 200.0)], "run_id int, start_t double, finish_t double")
+    transits = spark.createDataFrame([(s, float(t)) for s, t in enumerate((5, 15, 35, 100, 105, 160))], "source int, transit_t double")
+    out = groups.transit_groups(df, transits, runs, 15.0, 10.0, day=50.0)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1  # of transits with runs
+    got = {r["source"]: (r["n"], r["w"], r["wx"]) for r in out.collect()}
+    assert repr(sorted(got.items())) == repr([(0, (4, 7.0, inf)), (1, (5, 8.0, nan)), (2, (3, 2.0, nan)), (3, (1, 1.0, 7.0)), (4, (2, 3.0, 8.0))])
