@@ -21,6 +21,37 @@ def _vector(k: int) -> list[str]:
     return [f"{part}{j}" for j in range(k) for part in ("x", "y")]
 
 
+def _independent(gram: np.ndarray, least: float = 1e-10) -> list[int]:
+    """Columns of which more than `least` is left by those before; a group of fewer inputs than vectors has others."""
+    kept: list[int] = []
+    for j in range(len(gram)):
+        left = gram[j, j].real
+        if kept:
+            left -= (gram[j, kept] @ np.linalg.solve(gram[np.ix_(kept, kept)], gram[kept, j])).real
+        if left > least:
+            kept.append(j)
+    return kept
+
+
+def _turned(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of stacked k x k matrices g = W* W and h = V* W: eigenvalues of h, largest first, and the turn of W to the next basis."""
+    value, u = np.linalg.eigh(h)
+    value, u = value[:, ::-1], u[:, :, ::-1]
+    # W = A V has Gram matrix g; its columns turned by u follow the eigenvectors, largest first.
+    gram = u.conj().transpose(0, 2, 1) @ g @ u
+    turn = np.zeros_like(u)
+    for n in range(len(g)):  # Gram-Schmidt by Cholesky; empty directions stay empty
+        size = np.sqrt(np.maximum(gram[n].diagonal().real, 0))
+        live = np.flatnonzero(size > 1e-12 * max(size.max(initial=0), 1e-300))
+        if len(live):
+            scaled = gram[n][np.ix_(live, live)] / np.outer(size[live], size[live])
+            kept = _independent(scaled)
+            scaled, live = scaled[np.ix_(kept, kept)], live[kept]
+            inverse = np.linalg.inv(np.linalg.cholesky(scaled + 1e-13 * np.eye(len(live)))).conj().T / size[live, None]
+            turn[n][:, live] = u[n][:, live] @ inverse
+    return value, turn
+
+
 def _project(sums: DataFrame, group: list[str], k: int) -> DataFrame:
     """Of each group's k x k sums: eigenvalues in the subspace and the matrix that makes the next basis orthonormal."""
     kinds = ", ".join(f"{g} {sums.schema[g].dataType.simpleString()}" for g in group)
@@ -37,18 +68,7 @@ def _project(sums: DataFrame, group: list[str], k: int) -> DataFrame:
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             g, h = matrix(frame, "g"), matrix(frame, "h")
-            value, u = np.linalg.eigh(h)
-            value, u = value[:, ::-1], u[:, :, ::-1]
-            # W = A V has Gram matrix g; its columns turned by u follow the eigenvectors, largest first.
-            gram = u.conj().transpose(0, 2, 1) @ g @ u
-            turn = np.zeros_like(u)
-            for n in range(len(frame)):  # Gram-Schmidt by Cholesky; empty directions stay empty
-                size = np.sqrt(np.maximum(gram[n].diagonal().real, 0))
-                live = np.flatnonzero(size > 1e-12 * max(size.max(initial=0), 1e-300))
-                if len(live):
-                    scaled = gram[n][np.ix_(live, live)] / np.outer(size[live], size[live])
-                    inverse = np.linalg.inv(np.linalg.cholesky(scaled + 1e-13 * np.eye(len(live)))).conj().T / size[live, None]
-                    turn[n][:, live] = u[n][:, live] @ inverse
+            value, turn = _turned(g, h)
             out = frame[group].copy()
             for j in range(k):
                 out[f"value{j}"] = value[:, j]
@@ -60,39 +80,9 @@ def _project(sums: DataFrame, group: list[str], k: int) -> DataFrame:
     return sums.mapInPandas(solve, f"{kinds}, {values}, {turn}")
 
 
-def leading_gain(
-    products: DataFrame, group: list[str], norm: str | DataFrame = "auto", reference: int | None = None, replacements: int = 5, steps: int = 2, width: int = 4
-) -> DataFrame:
-    """group, input_id, re, im, error, value1, value2, dynamic_range: gains of all groups (freq, t) at once.
-
-    products (group, input_a <= input_b, re, im) are Hermitian matrices with autocorrelations. They are scaled by
-    `norm` ("auto": one over the root of the autos, "none", or a table group, input_id, norm); the diagonal is left
-    out and replaced by the leading eigenvector's, `replacements` times. A basis of `width` vectors a group goes
-    through `steps` products with the matrix between replacements, each one a join with the products and a sum, and
-    a width x width solve of the group's sums; no task holds a group's matrix. The gain is the scaled-back leading
-    eigenvector times the root of its eigenvalue, turned so that the first input's (or divided by the gain of
-    `reference`, which may be a noise channel) is real and positive. dynamic_range is value1 / value2; error is the
-    scatter of the other eigenvalues, taken from the summed squares that the two leading ones leave: noise alone
-    has a semicircle of eigenvalues, whose MAD is known from that sum. Groups without signal, with a leading value
-    that is not positive, or with values that are not finite have zeros.
-    """
-    k = width
+def _by_joins(upper: DataFrame, group: list[str], k: int, replacements: int, steps: int) -> DataFrame:
+    """The basis that leading_gain() iterates to, each step a join of the products with it."""
     key = [*group, "input_id"]
-    autos = products.where("input_a = input_b").select(*group, F.col("input_a").alias("input_id"), F.col("re").alias("auto"))
-    if isinstance(norm, DataFrame):
-        norms = norm.select(*key, "norm")
-    elif norm == "auto":
-        norms = autos.select(*key, inv0(F.sqrt(F.greatest("auto", F.lit(0.0)))).alias("norm"))
-    elif norm == "none":
-        norms = autos.select(*key, F.lit(1.0).alias("norm"))
-    else:
-        raise ValueError(f"unknown norm {norm!r}")
-    side = lambda x: norms.select(*group, F.col("input_id").alias(f"input_{x}"), F.col("norm").alias(f"_n{x}"))
-    scaled = products.where("input_a <> input_b").join(side("a"), [*group, "input_a"]).join(side("b"), [*group, "input_b"])
-    scale = F.col("_na") * F.col("_nb")
-    upper = scaled.select(*group, "input_a", "input_b", (F.col("re") * scale).alias("re"), (F.col("im") * scale).alias("im"))
-    bad = F.isnan("re") | F.isnan("im") | (F.abs("re") == float("inf")) | (F.abs("im") == float("inf"))
-    upper = upper.join(upper.where(bad).select(*group).distinct(), group, "left_anti")
     # Both triangles, by the input that a product's row belongs to.
     edges = written(upper.unionByName(upper.select(*group, F.col("input_b").alias("input_a"), F.col("input_a").alias("input_b"), "re", (-F.col("im")).alias("im"))))
     inputs = written(edges.select(*group, F.col("input_a").alias("input_id")).distinct())
@@ -139,6 +129,103 @@ def leading_gain(
             basis = projected(written(multiplied(basis)))
         if turn < replacements:
             basis = basis.withColumn("fill", F.greatest(F.col("value0"), F.lit(0.0)) * abs2((F.col("x0"), F.col("y0"))))
+    return basis.select(*key, *_vector(k), *carried, *(f"value{j}" for j in range(k)))
+
+
+def _in_place(upper: DataFrame, group: list[str], k: int, replacements: int, steps: int, deals: int) -> DataFrame:
+    """The basis that leading_gain() iterates to, of groups with few products: many groups a task, edges in memory."""
+    kinds = ", ".join(f"{c} {upper.schema[c].dataType.simpleString()}" for c in group)
+    kinds += f", input_id {upper.schema['input_a'].dataType.simpleString()}, " + ", ".join(f"{v} double" for v in _vector(k))
+    numbers = ("fill", "squares", "n")
+
+    def solve(frame: pd.DataFrame) -> pd.DataFrame:
+        re, im = frame["re"].fillna(0.0).to_numpy(float), frame["im"].fillna(0.0).to_numpy(float)
+        own = frame.groupby(group, dropna=False).ngroup().to_numpy()
+        a, b = frame["input_a"].to_numpy(), frame["input_b"].to_numpy()
+        # Rows are both triangles' entries; nodes are inputs of groups, in order of group.
+        row, col, of, value = np.r_[a, b], np.r_[b, a], np.r_[own, own], np.r_[re + 1j * im, re - 1j * im]
+        nodes = pd.MultiIndex.from_arrays([of, row])
+        index = nodes.unique().sort_values()
+        at, to = index.get_indexer(nodes), index.get_indexer(pd.MultiIndex.from_arrays([of, col]))
+        order = np.argsort(at, kind="stable")
+        at, to, of, value = at[order], to[order], of[order], value[order, None]
+        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        group_of, inputs = index.get_level_values(0).to_numpy(), index.get_level_values(1).to_numpy()
+        heads = np.flatnonzero(np.r_[True, group_of[1:] != group_of[:-1]])
+        sizes = np.diff(np.r_[heads, len(group_of)])
+        squares = np.bincount(of, (np.abs(value[:, 0]) ** 2), minlength=len(heads))
+        v = np.exp(1j * np.arange(k) * (inputs[:, None] * 2.399963 + 0.7 * np.arange(k)))
+        fill, first = np.zeros(len(v)), np.zeros(len(heads))
+        for turn_no in range(replacements + 1):
+            for _ in range(steps if turn_no else 3 * steps):
+                shift = 2 * np.sqrt(np.maximum(squares - first**2 * (1 - 1 / sizes), 0) / sizes)
+                w = np.add.reduceat(value * v[to], starts, axis=0) + (fill + shift[group_of])[:, None] * v
+                outer = lambda x: np.add.reduceat(x.conj()[:, :, None] * w[:, None, :], heads, axis=0)  # noqa: B023, E731
+                g, h = outer(w), outer(v)
+                values, turn = _turned((g + g.conj().transpose(0, 2, 1)) / 2, (h + h.conj().transpose(0, 2, 1)) / 2)
+                v = np.einsum("ni,nij->nj", w, turn[group_of])
+                values = values - shift[:, None]
+                first = values[:, 0]
+            if turn_no < replacements:
+                fill = np.maximum(first, 0)[group_of] * np.abs(v[:, 0]) ** 2
+        out = frame[group].iloc[np.unique(own, return_index=True)[1]].iloc[group_of].reset_index(drop=True)
+        out["input_id"] = inputs
+        for j in range(k):
+            out[f"x{j}"], out[f"y{j}"] = v[:, j].real, v[:, j].imag
+        out["fill"], out["squares"], out["n"] = fill, squares[group_of], sizes[group_of]
+        for j in range(k):
+            out[f"value{j}"] = values[group_of, j]
+        return out
+
+    kinds += f", {numbers[0]} double, {numbers[1]} double, {numbers[2]} long, " + ", ".join(f"value{j} double" for j in range(k))
+    dealt = upper.withColumn("_deal", F.pmod(F.xxhash64(*group), F.lit(deals)))
+    return dealt.groupBy("_deal").applyInPandas(solve, kinds)
+
+
+def leading_gain(
+    products: DataFrame, group: list[str], norm: str | DataFrame = "auto", reference: int | None = None, replacements: int = 5, steps: int = 2, width: int = 4, in_place: int = 1 << 16,
+) -> DataFrame:
+    """group, input_id, re, im, error, value1, value2, dynamic_range: gains of all groups (freq, t) at once.
+
+    products (group, input_a <= input_b, re, im) are Hermitian matrices with autocorrelations. They are scaled by
+    `norm` ("auto": one over the root of the autos, "none", or a table group, input_id, norm); the diagonal is left
+    out and replaced by the leading eigenvector's, `replacements` times. A basis of `width` vectors a group goes
+    through `steps` products with the matrix between replacements, each one a join with the products and a sum, and
+    a width x width solve of the group's sums; no task holds the matrix of a group of more than `in_place` products.
+    Smaller groups take the same steps in memory, many of them in a task, and are shuffled once instead of each step. The gain is the scaled-back leading
+    eigenvector times the root of its eigenvalue, turned so that the first input's (or divided by the gain of
+    `reference`, which may be a noise channel) is real and positive. dynamic_range is value1 / value2; error is the
+    scatter of the other eigenvalues, taken from the summed squares that the two leading ones leave: noise alone
+    has a semicircle of eigenvalues, whose MAD is known from that sum. Groups without signal, with a leading value
+    that is not positive, or with values that are not finite have zeros.
+    """
+    key = [*group, "input_id"]
+    autos = products.where("input_a = input_b").select(*group, F.col("input_a").alias("input_id"), F.col("re").alias("auto"))
+    if isinstance(norm, DataFrame):
+        norms = norm.select(*key, "norm")
+    elif norm == "auto":
+        norms = autos.select(*key, inv0(F.sqrt(F.greatest("auto", F.lit(0.0)))).alias("norm"))
+    elif norm == "none":
+        norms = autos.select(*key, F.lit(1.0).alias("norm"))
+    else:
+        raise ValueError(f"unknown norm {norm!r}")
+    side = lambda x: norms.select(*group, F.col("input_id").alias(f"input_{x}"), F.col("norm").alias(f"_n{x}"))
+    scaled = products.where("input_a <> input_b").join(side("a"), [*group, "input_a"]).join(side("b"), [*group, "input_b"])
+    scale = F.col("_na") * F.col("_nb")
+    upper = scaled.select(*group, "input_a", "input_b", (F.col("re") * scale).alias("re"), (F.col("im") * scale).alias("im"))
+    bad = F.isnan("re") | F.isnan("im") | (F.abs("re") == float("inf")) | (F.abs("im") == float("inf"))
+    upper = upper.join(upper.where(bad).select(*group).distinct(), group, "left_anti")
+    upper = written(upper)
+    counts = upper.groupBy(*group).agg(F.count("*").alias("_products"))
+    little, large = counts.agg(F.sum(F.when(F.col("_products") <= in_place, F.col("_products"))), F.count(F.when(F.col("_products") > in_place, 1))).first()
+    if large:
+        few = counts.where(F.col("_products") <= in_place).select(*group)
+        small, upper = upper.join(few, group, "left_semi"), upper.join(few, group, "left_anti")
+    else:
+        small = upper
+    basis = _in_place(small, group, width, replacements, steps, max(1, (little or 0) // 50_000))
+    if large:
+        basis = basis.unionByName(_by_joins(upper, group, width, replacements, steps))
     basis = written(basis)
 
     # The last basis holds the eigenvectors to the precision of the iteration; its values are those of one product before.

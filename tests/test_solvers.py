@@ -388,3 +388,18 @@ def test_merged_flags(spark):
     flags = spark.createDataFrame([(1, 0.0, 5.0), (1, 3.0, 12.0), (1, 4.0, 4.5), (None, 1.0, 2.0), (1, 14.0, 13.0)], "f int, start_t double, finish_t double")
     got = sorted(((r["f"] or 0), r["bucket"], r["start_t"], r["finish_t"]) for r in D.merged_flags(flags, "f", 10.0).collect())
     assert got == [(0, 0, 1.0, 2.0), (1, 0, 0.0, 10.0), (1, 1, 10.0, 12.0)]
+
+
+def test_small_groups_take_the_same_steps_in_place(spark):
+    rng, rows = np.random.default_rng(4), []
+    for f, n in ((0, 5), (1, 9), (2, 2)):
+        g = rng.normal(size=n) + 1j * rng.normal(size=n) + 1
+        a = np.outer(g, g.conj()) + 0.1 * rng.normal(size=(n, n)) + 3 * np.eye(n)
+        rows += [(f, 10 * i, 10 * j, float(a[i, j].real), float(a[i, j].imag) * (i != j)) for i in range(n) for j in range(i, n)]
+    df = spark.createDataFrame(rows, "freq_id int, input_a int, input_b int, re double, im double")
+    # 20 products: one group goes by joins, two in place; 0: all by joins
+    wide, mixed, whole = (E.leading_gain(df, ["freq_id"], replacements=1, steps=1, in_place=n).toPandas().sort_values(["freq_id", "input_id"]).reset_index(drop=True) for n in (0, 20, 1000))
+    for got in (mixed, whole):
+        assert (got[["freq_id", "input_id"]] == wide[["freq_id", "input_id"]]).all().all() and len(got) == 16
+        assert np.abs(got[["re", "im", "value1"]] - wide[["re", "im", "value1"]]).max().max() < 1e-9
+        assert np.allclose(got[["error", "value2", "dynamic_range"]], wide[["error", "value2", "dynamic_range"]], rtol=1e-6, atol=1e-9)
