@@ -8,6 +8,8 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -245,6 +247,43 @@ def test_cost_packing_round_trip(spark, odd):
     assert cost_packing.pack_balanced(docs.limit(0), path).count() == 0
 
 
+def test_library_ids_by_unit():
+    """Units by array, the library's lines and a forgetful cache give the library's own ids, text by text."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoders = [cost_packing.LibraryIds(path, **most) for most in ({}, {"max_entries": 50, "lines": 3}, {"max_bytes": 300})]
+    rng = random.Random(11)
+    plain = [*"aZsétö ßɏɐЖ日²½٣509''’.,;:!-_<|># \n\t\r\v\f  \n", "'s", "'ll", ' "', "('s", "×", "÷", "\u0301", "\x00", "\x7f", "\U0001f600", "Ċ", "ß,", "\nAs"]
+    odd = [*plain, "\x85", "\xa0", "\u2003", "\u3000", "\x1c", "<|endoftext|>", "<|"]
+    for step in range(200):
+        texts = ["".join(rng.choices(odd if step % 5 == 0 else plain, k=rng.choice([0, 1, 2, 3, 8, 30]))) for _ in range(rng.randint(0, 12))]
+        rows = pa.array(texts, [pa.string(), pa.large_string()][step % 2])
+        if len(texts) > 2:
+            rows, texts = rows.slice(1, len(rows) - 2), texts[1:-1]
+        want = [np.array(encoders[0].tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        for encode in encoders:
+            assert encode(rows) == want, texts
+            assert len(encode.known) == len(encode.asked) == len(encode.bounds) - 1 and encode.bounds[-1] == len(encode.ids)
+
+
+def test_library_gets_new_words_together():
+    """The library is given each new word once, and about a thousand of them as one text; known words not at all."""
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).combine_chunks().fill_null("")
+    encode = cost_packing.LibraryIds(public_tokenizers.path("byte_bpe_50k.json"))
+    library, given = encode.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    encode.tokenizer = Counting()
+    first = encode(texts)
+    assert len(encode.known) > 20_000 and len(given) < len(encode.known) / 200
+    assert sum(map(len, given)) < 2 * sum(map(len, encode.known.to_pylist()))
+    given.clear()
+    assert encode(texts) == first and not given
+
+
 def test_balance_against_a_plain_search():
     """Each step takes the cheapest sequence with room, found here by looking at all."""
     rng = random.Random(6)
