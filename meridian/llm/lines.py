@@ -27,41 +27,38 @@ def allowed(length: Column, edits: int, per: int) -> Column:
     return F.least(F.floor(length / per), F.lit(edits)).cast("int")
 
 
-def _segment(length: Column, k: Column, count: Column) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment k of a line of some length cut into `count` even segments."""
-    short = F.floor(length / count).cast("int")
-    first_longer = count - (length - short * count)  # segments from here on have one character more
-    return short * k + F.greatest(k - first_longer, F.lit(0)), short + F.when(k >= first_longer, 1).otherwise(0)
-
-
-def _spots(e: int) -> list[tuple[int, int, int, int]]:
-    """(e, k, d, s): where segment k of a line d characters shorter can lie, moved by s, if e edits part the lines.
-
-    Left of a match there are k edits at most and right of it e - k at most, which bounds s (the multi-match-aware
-    choice).
-    """
-    return [(e, k, d, s) for d in range(e + 1) for k in range(e + 1) for s in range(max(-k, d - (e - k)), min(k, d + (e - k)) + 1)]
-
-
-def probe_keys(rows: DataFrame, edits: int, per: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """rows (line, length) once for each spot that lies inside the line, with the key of the substring there.
-
-    A shorter line of length n is cut into allowed(n) + 1 segments; the key stands for n, segment number and text.
-    Spots with d = s = 0 are the line's own segments, its index keys; keep names the parts of the spot that stay.
-    One small expression serves all spots, as the row's own columns: spelt out spot by spot it grew past what the
-    JVM compiles.
+def segment_keys(rows: DataFrame, edits: int, per: int, exact: bool = False) -> DataFrame:
+    """rows (line, length) once for each of a few keys (four for 2 edits, some more for one line in many), of which
+    lines that are near each other share one at least.
+
+    Lengths count by classes, an eighth to a quarter of the length wide; a line has the keys of its own class and of
+    those that shorter lines near it have. By the least length of a class and its edits e a line has e + 1 segments,
+    half of them (`nth`, from 0) counted from its start and half from its end. Of lines that e edits part one segment
+    stays whole that has nth edits on its near side, so it moves by nth at most: it is nth longer than a key's text,
+    and a key begins at each of its first nth + 1 characters; one of the two lines has that text where its segment
+    starts. exact: each key once for each length of the shorter line, as `fine`; the line `own`s those of its length.
     """
-    cells = lambda spots: F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip("ekds", x))) for x in spots))
-    fits = lambda x: allowed(F.col("length") - x["d"], edits, per) == x["e"]
-    every = F.filter(cells([x for e in range(1, edits + 1) for x in _spots(e)]), fits)
-    at = F.when(F.col("length") >= (per + 1) * edits, cells(_spots(edits))).otherwise(every)
-    rows = rows.select("*", F.explode(at).alias("_at")).select("*", "_at.*").drop("_at")
-    shorter = F.col("length") - F.col("d")
-    start, size = _segment(shorter, F.col("k"), F.col("e") + 1)
-    rows = rows.withColumn("_from", start + F.col("s")).withColumn("_size", size)
-    rows = rows.where((F.col("_from") >= 0) & (F.col("_from") + F.col("_size") <= F.col("length")))
-    key = F.xxhash64("k", shorter, F.substring("line", F.col("_from") + 1, F.col("_size")))
-    return rows.withColumn("key", key).drop(*({"e", "k", "d", "s"} - set(keep)), "_from", "_size")
+    least = lambda n: n - F.pmod(n, F.call_function("shiftleft", F.lit(1), F.greatest(F.floor(F.log2(n)).cast("int") - 2, F.lit(0))))
+    length, d, e, size = F.col("length"), F.col("_d"), F.col("_e"), F.col("_size")
+    shorter = F.array(*(F.lit(k) for k in range(edits + 1)))
+    if not exact:
+        one_class = (length - edits >= per * edits) & (least(length) == least(length - edits))
+        shorter = F.when(one_class, F.array(F.lit(0))).otherwise(shorter)
+    # Not explode(): Spark would first test that arrays are not empty, all keys spelt out once more, past what the JVM compiles.
+    rows = rows.select("*", F.explode_outer(shorter).alias("_d"))
+    rows = rows.withColumn("_least", least(length - d)).withColumn("_e", allowed(length - d, edits, per)).where((e >= 1) & (d <= e))
+    rows = rows.withColumn("_size", F.greatest(F.floor((F.col("_least") - F.floor(e * e / 4)) / (e + 1)).cast("int"), F.lit(0)))
+
+    def key(nth: int, begin: int, from_end: bool) -> Column:
+        at = size * nth + (nth * (nth - 1) // 2 + begin)
+        text = F.substring("line", (length - at - size if from_end else at) + 1, size)
+        return F.when(e >= 2 * nth + from_end, F.xxhash64(F.lit(2 * nth + from_end), "_least", "_e", text))
+
+    spots = [(nth, begin, end) for end in (False, True) for nth in range((edits - end) // 2 + 1) for begin in range(nth + 1)]
+    rows = rows.withColumn("_keys", F.array(*(key(*x) for x in spots))).select("*", F.explode_outer("_keys").alias("key")).where("key is not null")
+    if exact:
+        rows = rows.withColumn("own", d == 0).withColumn("fine", F.xxhash64("key", length - d))
+    return rows.drop("_d", "_least", "_e", "_size", "_keys")
 
 
 def parities(line: Column) -> Column:
@@ -125,15 +122,35 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.when((F.abs(n - m) <= edits) & (distance <= edits), distance)
 
 
-def meeting_keys(lines: DataFrame, edits: int, per: int) -> DataFrame:
-    """Keys that two different lines (line, length, h1) share, one of them as an index key.
+def _at_shared_keys(lines: DataFrame, edits: int, per: int, max_broadcast: int) -> tuple[DataFrame, DataFrame]:
+    """The distinct lines of lines (line, h1, h2, doc_id, line_no) that share a key with a different one, so all that
+    are near another: line, h1, h2, place (of their first), p, q (their parities); and their fine keys that another
+    one has: key, h (h1), own, place, p, q.
 
-    Equal lines give equal rows, which partial aggregation merges before the one shuffle; a common key costs one row
-    per task.
+    Equal lines give equal keys, which partial aggregation merges before the one shuffle of all keys; a common key
+    costs one row per task.
     """
-    counted = probe_keys(lines, edits, per, keep=("d", "s")).groupBy("key")
-    counted = counted.agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.max((F.col("d") == 0) & (F.col("s") == 0)).alias("indexed"))
-    return counted.where("low <> high AND indexed").select("key")
+    few = lambda keys: keys.limit(max_broadcast + 1).count() <= max_broadcast
+    length, ends = F.length("line"), (F.min("h1").alias("low"), F.max("h1").alias("high"))
+    long = lines.where(length >= per).withColumn("length", length)
+    keyed = segment_keys(long, edits, per)
+    keys = materialise(keyed.groupBy("key").agg(*ends).where("low <> high").select("key"))
+    small = F.broadcast(keys) if few(keys) else keys
+    if small is keys:  # too many for every task: lines go through the shuffle once, not at each of their keys
+        ids = keyed.select("h1", "key").join(keys, "key", "left_semi").select("h1").distinct()
+        found = long.join(materialise(ids), "h1", "left_semi")
+    else:
+        found = keyed.join(small, "key", "left_semi")
+    found = materialise(found.withColumn("place", _place()).groupBy("h1", "h2", "line").agg(F.min("place").alias("place")))
+    fine = segment_keys(found.select("line", length.alias("length"), "h1"), edits, per, exact=True).join(small, "key", "left_semi")
+    held = materialise(fine.groupBy(F.col("fine").alias("key"), "h1").agg(F.max("own").alias("own")))
+    # A key stands for a segment of one of two lines, so one of them must own it.
+    keys = materialise(held.groupBy("key").agg(*ends, F.max("own").alias("owned")).where("low <> high AND owned").select("key"))
+    held = held.join(F.broadcast(keys) if few(keys) else keys, "key", "left_semi")
+    texts = found.join(held.select("h1").distinct(), "h1", "left_semi")
+    texts = materialise(texts.withColumn("p", parities(F.col("line"))).withColumn("q", pair_parities(F.col("line"))))
+    held = held.join(texts.select("h1", "place", "p", "q"), "h1").withColumnRenamed("h1", "h")
+    return texts, materialise(held)
 
 
 def _near_earlier(pairs: DataFrame, texts: DataFrame, edits: int, per: int) -> DataFrame:
@@ -145,32 +162,30 @@ def _near_earlier(pairs: DataFrame, texts: DataFrame, edits: int, per: int) -> D
     return materialise(both.where(banded_distance(F.col("a_line"), F.col("b_line"), edits) <= most).select(F.col("b").alias("h1"), F.col("b2").alias("h2")).distinct())
 
 
+def _place() -> Column:
+    """What lines are ordered by: doc_id, nulls last, then line_no."""
+    no_id = F.lit(str(NO_ID + 1)).cast("decimal(20,0)")
+    place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), no_id) * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")
+    return place.cast("decimal(31,0)")
+
+
 def near_lines(lines: DataFrame, edits: int = 2, per: int = 10, max_broadcast: int = 500_000) -> DataFrame:
     """(h1, h2) of the distinct lines that come after another line within allowed() edits of theirs.
 
-    lines: line, h1, h2, place (what they are ordered by). Counting first tells which keys different lines share,
-    without making pairs. The lines at such a key (found by a broadcast of these keys if there are max_broadcast at
-    most) are first compared with the earliest line there alone. A line once found near an earlier one needs no
-    other; the rest meet at each key in pairs, but for those that parities of characters or of character pairs show
-    to be too far apart, and are verified. So a group of near copies of its earliest line costs no square.
+    lines: line, h1, h2, doc_id, line_no. Counting first tells which keys different lines share, without making pairs.
+    The lines at such a key (found by a broadcast of these keys if there are max_broadcast at most) are few; those that
+    also share one with their exact length are first compared with the earliest line there alone. A line once found
+    near an earlier one needs no other; the rest meet at each key in pairs, but for those that parities of characters
+    or of character pairs show to be too far apart, and are verified. So a group of near copies of its earliest line
+    costs no square.
     """
-    length = F.length("line")
-    long = lines.where(length >= per).select("line", length.alias("length"), "h1", "h2", "place")
-    keys = materialise(meeting_keys(long, edits, per))
-    small = keys.limit(max_broadcast + 1).count() <= max_broadcast
-    at_keys = lambda rows, **more: probe_keys(rows, edits, per, **more).join(F.broadcast(keys) if small else keys, "key", "left_semi")
-    texts = at_keys(long).groupBy("h1", "h2", "line").agg(F.min("place").alias("place"))
-    texts = materialise(texts.withColumn("p", parities(F.col("line"))).withColumn("q", pair_parities(F.col("line"))))
-    rows = texts.select("line", length.alias("length"), F.col("h1").alias("h"), "place", "p", "q")
-    held = at_keys(rows, keep=("d", "s")).withColumn("own", (F.col("d") == 0) & (F.col("s") == 0))
-    held = materialise(held.groupBy("key", "h", "place", "p", "q").agg(F.max("own").alias("own")))
+    texts, held = _at_shared_keys(lines, edits, per, max_broadcast)
     part = ("place", "h", "p", "q")
     side = lambda x: held.select("key", *(F.col(c).alias(f"{c}_{x}") for c in (*part, "own")))
     apart = lambda c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
     near = (F.struct("place_a", "h_a") < F.struct("place_b", "h_b")) & (apart("p") <= 2 * edits) & (apart("q") <= 4 * edits)
     one = F.struct(*part)
     first = held.groupBy("key").agg(F.min(F.when(F.col("own"), one)).alias("own_first"), F.min(one).alias("any_first"))
-    # A key stands for a segment of one of the two lines, so one of them must own it.
     met = side("b").join(first, "key").select("*", F.explode(F.array("own_first", F.when(F.col("own_b"), F.col("any_first")))).alias("_a"))
     met = met.where("_a is not null").select("*", *(F.col(f"_a.{c}").alias(f"{c}_a") for c in part)).where(near)
     settled = _near_earlier(met.select(F.col("h_a").alias("a"), F.col("h_b").alias("b")), texts, edits, per)
@@ -182,9 +197,7 @@ def near_lines(lines: DataFrame, edits: int = 2, per: int = 10, max_broadcast: i
 def _removals(docs: DataFrame, edits: int, per: int, most_hot: int = 2000) -> DataFrame:
     """doc_id, n_lines, gone (array of line_no, h1: what goes) for every doc_id of docs."""
     lines = lines_of(docs)
-    no_id = F.lit(str(NO_ID + 1)).cast("decimal(20,0)")
-    place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), no_id) * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")
-    lines = lines.withColumn("place", place.cast("decimal(31,0)"))
+    lines = lines.withColumn("place", _place())
     firsts = materialise(lines.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count("*").alias("n")))
     near = near_lines(lines, edits, per).distinct().withColumn("near", F.lit(True))
     marks = firsts.join(near, ["h1", "h2"], "left").where("near OR n > 1")

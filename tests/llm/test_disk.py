@@ -1,10 +1,11 @@
 """What operators leave on disk while they run, and what their plans make the driver hold."""
 
+import random
 import time
 
 from pyspark.sql import functions as F
 
-from meridian.llm import mixing, suffixes
+from meridian.llm import lines, mixing, suffixes
 from meridian.llm.common import FILE_CLEANUP, materialise
 
 
@@ -38,6 +39,32 @@ def test_anchors_are_gone_before_segments_come(spark):
     assert {r["doc_id"]: r["n_removed"] > 0 for r in got.collect()} == {k: k == 1 for k in range(9)}
 
 
+def stages(spark) -> dict:
+    """Rows that each stage so far wrote to a shuffle."""
+    sc = spark.sparkContext
+    got = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return {got.apply(k).stageId(): got.apply(k).shuffleWriteRecords() for k in range(got.size())}
+
+
+def test_lines_shuffle_few_keys(spark):
+    rng = random.Random(4)
+    line = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(60, 240)))
+    docs = spark.createDataFrame([(k, "\n".join(line() for _ in range(5))) for k in range(400)], "doc_id long, text string")
+    before = max(stages(spark), default=-1)
+    assert lines.repeated_lines(docs).agg(F.sum("n_removed")).first()[0] == 0
+    # Of 2,000 lines none is near another: a row each for its number, four or five for its keys.
+    assert sum(n for k, n in stages(spark).items() if k > before) < 8 * 2000
+
+
+def test_lines_at_many_keys_are_joined_alike(spark):
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(10, 140))) for _ in range(60)]
+    texts = [b[:k] + rng.choice("xyz") + b[k + rng.randint(0, 1) :] for b in base for k in (rng.randrange(len(b)), rng.randrange(len(b)))] + base
+    rows = lines.lines_of(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    few, many = (set(map(tuple, lines.near_lines(rows, max_broadcast=n).collect())) for n in (500_000, 0))
+    assert few == many and len(few) >= 100
+
+
 def test_weights_of_words_are_a_small_part_of_the_plan(spark):
     texts = [(k, f"word{k % 7} plain sentence number {k} " + ("you vile fool" if k % 3 else "a calm and quiet day")) for k in range(60)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
