@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -112,36 +112,67 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")).union(edges.select("a", "a").distinct())
 
 
-def near_groups(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, segments: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id for every row of docs (doc_id, text).
+def labelled(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, segments: int = 2) -> tuple[DataFrame, DataFrame]:
+    """doc_id, node (the fingerprint) of every row of docs; node, first, label of every node: its smallest doc_id and
+    its component. Equal fingerprints meet once, before any link is looked for, so a large group of copies costs one row.
+    """
+    rows = materialise(fingerprints(docs, shingle_words).withColumnRenamed("fp", "node"))
+    distinct = rows.groupBy("node").agg(F.min("doc_id").alias("first"))
+    found = components(links(distinct.select(F.col("node").alias("fp")), max_bits, segments))
+    return rows, distinct.join(dealt(found), "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
+
+
+def near_groups(docs: DataFrame, **params) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id for every row of docs (doc_id, text); params: those of labelled().
 
-    Rows whose fingerprints are linked through others form a component, named by its smallest doc_id. Equal
-    fingerprints meet once, before any link is looked for, so a large group of copies costs one row. Texts without
+    Rows whose fingerprints are linked through others form a component, named by its smallest doc_id. Texts without
     words have fingerprint zero and link like any other. A null doc_id never names a component that has another;
     repeated rows each give a row; an empty table gives none.
     """
-    rows = materialise(fingerprints(docs, shingle_words))
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = components(links(distinct.select("fp"), max_bits, segments))
-    labelled = distinct.join(dealt(found), distinct["fp"] == found["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
-    names = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_fp = labelled.join(dealt(names), "label").select("fp", "component_id")
-    return rows.join(dealt(of_fp), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rows, named = labelled(docs, **params)
+    names = named.groupBy("label").agg(F.min("first").alias("component_id"))
+    of_node = named.join(dealt(names), "label").select("node", "component_id")
+    return rows.join(dealt(of_node), "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _with_nodes(rows: DataFrame, nodes_of: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """rows (doc_id, text) with the node of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, max_bytes=4 << 20):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes_of(batch.column(1)))], ["doc_id", "text", "node"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string, node long")
 
 
-def keep_first(docs: DataFrame, similarity: float | None = None, **params) -> DataFrame:
-    """The rows of docs, all columns, of which the doc_id names its component: one document of each group stays.
+def keep_first(docs: DataFrame, similarity: float | None = None, shingle_words: int = 3, **params) -> DataFrame:
+    """One row of docs, all columns, of each component: the one of smallest doc_id (a null one counts as largest).
 
-    Without `similarity` groups are those of near_groups(). With it two texts are linked if the Jaccard similarity of
-    their shingles reaches it: fingerprints give the first candidates, a prefix-filter join all that their bits miss
-    (shingle_join). Rows that repeat one doc_id stay together.
+    Without `similarity` components are those of near_groups(). With it two texts are linked if the Jaccard similarity
+    of their shingles reaches it: fingerprints give the first candidates, a prefix-filter join all that their bits miss
+    (shingle_join). Rows that share a doc_id, or have none, are told apart by their texts: each goes by its own.
     """
     if similarity is None:
-        groups = near_groups(docs, **params)
+        nodes_of = lambda texts: _fingerprints(texts.cast(pa.binary()).to_pylist(), shingle_words)
+        rows, named = labelled(docs, shingle_words, **params)
     else:
         from meridian.llm import shingle_join
 
-        groups = shingle_join.near_groups(docs, similarity=similarity, **params)
-    key = unused(docs, "_kept_id")
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept[key]), "left_semi")
+        nodes_of = lambda texts: shingle_join.nodes_of(texts, shingle_words)
+        rows, named = shingle_join.labelled(docs, shingle_words, similarity, **params)
+    key, body = unused(docs, "_kept_id"), unused(docs, "_kept_text")
+    least = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "node")).alias("least")
+    best = materialise(named.groupBy("label").agg(least).select(F.col("least.first").alias(key), F.col("least.node").alias("node")))
+    again = materialise(rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again")))
+    is_again, is_kept = F.col(key).eqNullSafe(F.col("_again")), docs["doc_id"].eqNullSafe(F.col(key))
+    if again.isEmpty():
+        return docs.join(best.select(key), is_kept, "left_semi")
+    out = docs.join(best.join(dealt(again), is_again, "left_anti").select(key), is_kept, "left_semi")
+    # Of the rows of one doc_id those with the component's node, of these one with the least text.
+    wanted = materialise(best.join(dealt(again), is_again, "left_semi"))
+    some = docs.join(wanted.select(key).distinct(), is_kept, "left_semi")
+    texts = _with_nodes(some.select("doc_id", text_of().alias("text")).distinct(), nodes_of).withColumnRenamed("node", "_node")
+    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col("_node") == F.col("node")), "left_semi")
+    texts = texts.groupBy("doc_id", "_node").agg(F.min("text").alias(body)).select(F.col("doc_id").alias(key), body)
+    some = some.join(texts, is_kept & (text_of() == F.col(body)), "left_semi").withColumn(body, text_of())
+    return out.unionByName(some.dropDuplicates(["doc_id", body]).drop(body))

@@ -434,3 +434,16 @@ def test_reparameterised_items_are_caught(spark):
     left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(left, right).collect()}
     assert got <= planted and len(got) >= 0.95 * len(planted), (len(got), len(planted))
+
+
+@pytest.mark.parametrize("params", [{"shingle_words": 5, "similarity": 0.8}, {}])
+def test_near_dedup_keeps_one_row_of_a_group(spark, params):
+    """Copies go whatever their ids: rows that share a doc_id or have none are judged by their own texts."""
+    from meridian.llm import simhash
+
+    a, b, c, d = (" ".join(f"{x}{k * k}" for k in range(40)) for x in "abcd")
+    rows = [(1, a), (7, a), (7, b), (7, b), (None, a), (None, c), (None, c + " "), (None, d), (9, d), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, {"n": k}) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _kept_id map<string,int>")
+    got = simhash.keep_first(docs, **params)
+    assert got.columns == docs.columns
+    assert sorted(((r[0] or 0, (r[1] or "").strip()) for r in got.collect())) == sorted([(1, a), (7, b), (0, c), (9, d), (0, "")])
