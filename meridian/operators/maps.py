@@ -176,22 +176,30 @@ def taper_mask(df: DataFrame, axis: list[str], position: str, size: int, mask: s
     return rows.join(factors, [*axis, position], "left").withColumn("taper", 1 - taper if outer else taper).select(*df.columns, "taper")
 
 
-def decorrelated_cylinders(vis: DataFrame, products: DataFrame, on: list[str], cylinders: int, threshold: float) -> DataFrame:
+def valid_sizes(vis: DataFrame, key: list[str]) -> DataFrame:
+    """key, size, n: the summed absolute values and the number of the valid samples (re, im, w) at each key."""
+    size = F.when(F.col("w") > 0, F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")))
+    return vis.groupBy(*key).agg(F.sum(size).alias("size"), F.count(size).alias("n"))
+
+
+def decorrelated_cylinders(sizes: DataFrame, products: DataFrame, on: list[str], cylinders: int, threshold: float) -> DataFrame:
     """on, bad: whether the samples without some cylinder are `threshold` times those with it, in the median.
 
-    vis: prod_id, on, re, im, w. products (prod_id, pol, yind, cyl_a, cyl_b) join neighbouring cylinders; those of
-    one (pol, yind) are copies, and only such with cylinders - 1 of them count. The median is over (pol, yind) with
-    valid samples on both sides; where there is none, bad is false.
+    sizes: prod_id, on, size, n as of valid_sizes(), so that samples are summed before they meet their products and
+    cylinders. products (prod_id, pol, yind, cyl_a, cyl_b) join neighbouring cylinders; those of one (pol, yind) are
+    copies, and only such with cylinders - 1 of them count. The median is over (pol, yind) with valid samples on both
+    sides; where there is none, bad is false.
     """
     copies = F.count("*").over(Window.partitionBy("pol", "yind"))
     whole = products.withColumn("_n", copies).where(F.col("_n") == cylinders - 1).drop("_n")
-    cells = vis.join(whole, "prod_id").withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cylinders - 1).cast("long"))))
-    size, valid = F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")), F.col("w") > 0
+    each = F.when(F.col("cyl_a").isNotNull(), F.sequence(F.lit(0).cast("long"), F.lit(cylinders - 1).cast("long")))
+    cells = sizes.join(whole, "prod_id", "left").withColumn("_c", F.explode_outer(each))
     held = (F.col("_c") == F.col("cyl_a")) | (F.col("_c") == F.col("cyl_b"))
-    means = cells.groupBy(*on, "pol", "yind", "_c").agg(F.avg(F.when(valid & held, size)).alias("_with"), F.avg(F.when(valid & ~held, size)).alias("_without"))
-    ratios = means.where("_with IS NOT NULL AND _without IS NOT NULL").groupBy(*on, "_c").agg(F.percentile(F.col("_without") * inv0(F.col("_with")), F.lit(0.5)).alias("_m"))
-    found = ratios.groupBy(*on).agg(F.max(F.col("_m") > threshold).alias("bad"))
-    return vis.select(*on).distinct().join(found, on, "left").withColumn("bad", F.coalesce("bad", F.lit(False)))
+    mean = lambda c: F.try_divide(F.sum(F.when(c, F.col("size"))), F.sum(F.when(c, F.col("n"))))
+    means = cells.groupBy(*on, "pol", "yind", "_c").agg(mean(held).alias("_with"), mean(~held).alias("_without"))
+    ratio = F.when(F.col("_with").isNotNull() & F.col("_without").isNotNull(), F.col("_without") * inv0(F.col("_with")))
+    ratios = means.groupBy(*on, "_c").agg(F.percentile(ratio, F.lit(0.5)).alias("_m"))
+    return ratios.groupBy(*on).agg(F.coalesce(F.max(F.col("_m") > threshold), F.lit(False)).alias("bad"))
 
 
 def spread_to_slots(df: DataFrame, slot: list[str], most: float) -> DataFrame:

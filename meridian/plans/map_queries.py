@@ -185,8 +185,10 @@ def d26_decorrelated_cylinders(cell, baseline, inputs):
     pairs = near.join(side("a"), "input_a").join(side("b"), "input_b").where("cyl_a < cyl_b").withColumn("yind", F.round(col("dy") / 0.3).cast("long"))
     products = pairs.groupBy("pol", "yind", "cyl_a", "cyl_b").agg(F.min("prod_id").alias("prod_id"))
     month = F.floor(col("t") / 2592000).cast("long").alias("month")
-    vis = cell.select(col("input_id").alias("input_a"), "freq_id", month, "re", "im", (col("w") - 10).alias("w")).join(near.select("prod_id", "input_a"), "input_a")
-    bad = M.decorrelated_cylinders(vis, products, ["freq_id", "month"], 4, 1.8013)
+    vis = cell.select(col("input_id").alias("input_a"), "freq_id", month, "re", "im", (col("w") - 10).alias("w"))
+    # Products of one input have its samples: summed by input, before each meets its products.
+    sizes = M.valid_sizes(vis, ["input_a", "freq_id", "month"]).join(near.select("prod_id", "input_a"), "input_a")
+    bad = M.decorrelated_cylinders(sizes, products, ["freq_id", "month"], 4, 1.8013)
     return M.spread_to_slots(bad.withColumn("slot", col("freq_id") % 2), ["month", "slot"], 0.7).drop("slot")
 
 

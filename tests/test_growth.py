@@ -116,3 +116,16 @@ def test_transit_sums_make_no_pairs(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1  # of transits with runs
     got = {r["source"]: (r["n"], r["w"], r["wx"]) for r in out.collect()}
     assert repr(sorted(got.items())) == repr([(0, (4, 7.0, inf)), (1, (5, 8.0, nan)), (2, (3, 2.0, nan)), (3, (1, 1.0, 7.0)), (4, (2, 3.0, 8.0))])
+
+
+def test_cylinders_take_sums(spark, tmp_path):
+    """Samples are summed before they meet their products: shuffled once, by their cells, however many products they have."""
+    lines = "SELECT l_orderkey * 5 + k AS l_orderkey, * EXCLUDE (l_orderkey, k) FROM {lineitem}, range(5) g(k)"
+    where = copy_of(tmp_path, lineitem=lines)
+    sc = spark.sparkContext
+    stages = lambda: sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    before = stages().size()
+    assert same_as_sql(spark, "d26_decorrelated_cylinders", where) > 100
+    got = stages()  # newest first
+    moved = sum(got.apply(k).shuffleWriteRecords() for k in range(got.size() - before))
+    assert moved < 2 * spark.read.parquet(f"{where}/lineitem.parquet").count()
