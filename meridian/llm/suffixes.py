@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import NO_ID, materialise, text_of
+from meridian.llm.common import NO_ID, materialise, pieces, text_of
 
 GRAM = 16
 _BYTE = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -103,13 +103,45 @@ def previous_factors(rows: np.ndarray, lengths: np.ndarray, ids: np.ndarray, lea
 
 def _block(table: pa.Table) -> tuple[list, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """A block's rows in a fixed order: ids, texts, ids as numbers, all bytes, bounds of the texts."""
-    rows = sorted(zip(table["doc_id"].to_pylist(), table["text"].to_pylist()), key=lambda r: (NO_ID if r[0] is None else r[0], r[1]))
+    rows = []
+    for numbers, texts in zip(table["numbers"].to_pylist(), table["texts"].to_pylist()):
+        ids, known, lengths = _unpack(numbers, 3)
+        ends, whole = np.cumsum(lengths).tolist(), _expand(texts)
+        rows += [(i if k else None, whole[e - n : e]) for i, k, n, e in zip(ids.tolist(), known.tolist(), lengths.tolist(), ends)]
+    rows.sort(key=lambda r: (NO_ID if r[0] is None else r[0], r[1]))
     texts = [r[1] for r in rows]
     numbers = np.array([NO_ID if r[0] is None else r[0] for r in rows], dtype=np.int64)
     bounds = np.cumsum([0, *map(len, texts)])
     return [r[0] for r in rows], texts, numbers, np.frombuffer(b"".join(texts), dtype=np.uint8), bounds
 
 
+def _in_blocks(docs: DataFrame, n_blocks: int, most: int = 32 << 20) -> DataFrame:
+    """block, numbers, texts: docs (doc_id, text as bytes) dealt into blocks, packed together by task and block."""
+
+    def chunks(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        blocks, ids = table["block"].to_numpy(), table["doc_id"]
+        known = ids.is_valid().to_numpy().astype(np.int64)
+        ids, texts = ids.fill_null(0).to_numpy(), table["text"].to_pylist()
+        for block, at in _split(blocks):
+            some = [texts[k] for k in at]
+            cells = ([block], [_pack(ids[at], known[at], np.array([len(x) for x in some]))], [_compress(b"".join(some))])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, (LONG, BLOB, BLOB))], ["block", "numbers", "texts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in pieces(batches, max_bytes=most):
+            if held and size + batch.nbytes > most:
+                yield from chunks(held)
+                held, size = [], 0
+            held, size = [*held, batch], size + batch.nbytes
+        if held:
+            yield from chunks(held)
+
+    rows = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)))
+    return rows.mapInArrow(run, "block long, numbers binary, texts binary")
+
+
 def _bytes_of(data: np.ndarray, first: np.ndarray, last: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """The segments' bytes as rows padded with zeros, and their lengths."""
     size = 2 * window - GRAM
@@ -146,22 +178,45 @@ def _table(names: list[str], rows: list[tuple], kinds: tuple) -> pa.Table:
 LONG, BLOB = pa.int64(), pa.binary()
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Numbers as compressed bytes, with their size in front."""
-    raw = values.tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+def _compress(raw: bytes, level: int = 6) -> bytes:
+    """Compressed bytes, with their size in front."""
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True)
+
+
+def _expand(cell: bytes) -> bytes:
+    return pa.decompress(cell[8:], int.from_bytes(cell[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _pack(*rows: np.ndarray) -> bytes:
+    """Rows of numbers, equally many in each: the steps between neighbours, byte by byte of all, compressed."""
+    steps = np.diff(np.stack(rows).astype(np.int64), axis=1, prepend=0)
+    steps = np.ascontiguousarray((steps << 1) ^ (steps >> 63))
+    return _compress(steps.view(np.uint8).reshape(len(rows), -1, 8).transpose(0, 2, 1).tobytes())
 
 
-def _unpack(cells: pa.ChunkedArray, kind: type = np.int64) -> list[np.ndarray]:
-    return [np.frombuffer(pa.decompress(x[8:], int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True), kind) for x in cells.to_pylist()]
+def _unpack(cell: bytes, rows: int) -> np.ndarray:
+    planes = np.frombuffer(_expand(cell), np.uint8).reshape(rows, 8, -1).transpose(0, 2, 1)
+    steps = np.ascontiguousarray(planes).view(np.uint64)[:, :, 0]
+    return np.cumsum((steps >> np.uint64(1)).view(np.int64) ^ -(steps & np.uint64(1)).view(np.int64), axis=1)
+
+
+def _key_bytes(keys: np.ndarray) -> bytes:
+    """Keys of up to 48 bits, six bytes each."""
+    return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _keys(cell: bytes) -> np.ndarray:
+    wide = np.zeros((len(cell) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(cell, np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64).ravel()
 
 
 SHARED = "block long, keys binary"
-SENT = "bucket long, block long, keys binary, ids binary, texts binary, firsts binary, lengths binary, bytes binary"
-SPANS = "block long, texts binary, firsts binary, lengths binary"
+SENT = "bucket long, block long, keys binary, numbers binary, bytes binary"
+SPANS = "block long, numbers binary"
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20, hot_blocks: int = 256) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20, hot_blocks: int = 256, most_even: int = 128, most_rows: int = 1 << 16) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay) for every row of docs.
 
     Texts are UTF-8 bytes, a null one is empty. A byte goes if a string of `window` bytes that covers it also
@@ -169,35 +224,38 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
     others; rows of one doc_id don't remove each other's bytes; an empty table gives no rows. Rows are dealt into
     blocks of about block_bytes by a hash of doc_id; a longer text makes its block longer. A segment that repeats
     one of its block is settled there, so a passage in many documents costs a row per block. Anchors of more than
-    hot_blocks blocks don't meet in one task: their strings are dealt out one by one, by their own hashes.
+    hot_blocks blocks don't meet in one task: their strings are dealt out one by one, by their own hashes. Up to
+    most_even blocks there are as many buckets of anchors, beyond that an eighth as many at least; a bucket's
+    segments are put in suffix order in parts of about most_rows. Texts, bytes and numbers are shuffled compressed.
     """
     if not GRAM < window <= 4096:
         raise ValueError(f"window must be over {GRAM}, and 4096 at most")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length(text_of()))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
-    blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)))
-    deal = lambda keys: (keys >> np.uint64(8)) % np.uint64(n_blocks)
+    # Every block sends to every bucket: with as many buckets as blocks the cells would grow with the square.
+    n_buckets = min(n_blocks, max(most_even, n_blocks // 8))
+    short = lambda keys: keys >> np.uint64(17) << np.uint64(1)  # noqa: E731  47 bits, and one for a mark
 
     def by_bucket(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        return _split(deal(keys).astype(np.int64))
+        return _split(((keys >> np.uint64(1)) % np.uint64(n_buckets)).astype(np.int64))
 
     def anchors(table: pa.Table) -> pa.Table:
         """The block's distinct anchors by bucket; the lowest bit of a key tells that two rows of the block have it."""
         block = table["block"][0].as_py()
         _, _, _, data, bounds = _block(table)
         keys, text, _, _ = segments(data, bounds, window)
-        keys = keys >> np.uint64(1) << np.uint64(1)
+        keys = short(keys)
         order = np.lexsort((text, keys))
         keys, text = keys[order], text[order]
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
         final = np.r_[first[1:], len(keys)] - 1 if len(keys) else first
         distinct = keys[first] | (text[first] != text[final]).astype(np.uint64)
-        return _table(["bucket", "block", "keys"], [(b, block, distinct[k].tobytes()) for b, k in by_bucket(distinct)], (LONG, LONG, BLOB))
+        return _table(["bucket", "block", "keys"], [(b, block, _key_bytes(distinct[k])) for b, k in by_bucket(distinct)], (LONG, LONG, BLOB))
 
     def shared(table: pa.Table) -> pa.Table:
         """For each block those of its anchors that two rows have; the lowest bit of a key marks the hot ones."""
-        parts = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
+        parts = [_keys(x) for x in table["keys"].to_pylist()]
         keys, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
         flagged, keys = (keys & np.uint64(1)).astype(bool), keys >> np.uint64(1)
         _, same, held = np.unique(keys, return_inverse=True, return_counts=True)
@@ -205,7 +263,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
         good = number[same] > 1
         marked = ((keys << np.uint64(1)) | (held[same] > hot_blocks).astype(np.uint64))[good]
         names = table["block"].to_pylist()
-        return _table(["block", "keys"], [(names[k], marked[at].tobytes()) for k, at in _split(owner[good])], (LONG, BLOB))
+        return _table(["block", "keys"], [(names[k], _key_bytes(marked[at])) for k, at in _split(owner[good])], (LONG, BLOB))
 
     def candidates(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
         """The block's segments at shared anchors; what repeats a segment of the block is settled here."""
@@ -213,9 +271,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
             return _table(SENT_NAMES, [], SENT_KINDS)
         block = table["block"][0].as_py()
         _, _, numbers, data, bounds = _block(table)
-        wanted = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in known["keys"].to_pylist()]))
+        wanted = np.sort(np.concatenate([_keys(x) for x in known["keys"].to_pylist()]))
         keys, text, first, last = segments(data, bounds, window)
-        keys = keys >> np.uint64(1) << np.uint64(1)
+        keys = short(keys)
         near = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
         hot = (wanted[near] & np.uint64(1)).astype(bool)
         keep = wanted[near] >> np.uint64(1) == keys >> np.uint64(1)
@@ -225,7 +283,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
         rows, lengths = _bytes_of(data, first, last, window)
         settled = previous_factors(rows, lengths, numbers[text], window) >= lengths
         whole = np.flatnonzero(settled)
-        out = [(-1, block, b"", b"", *(_pack(x[whole]) for x in (text, first - bounds[text], lengths)), b"")]
+        out = [(-1, block, b"", _pack(text[whole], (first - bounds[text])[whole], lengths[whole]), b"")]
         single = np.flatnonzero(~settled & hot)
         left = np.flatnonzero(~settled & ~hot)
         parts = [(keys[left], text[left], first[left], lengths[left])]
@@ -233,28 +291,38 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
             windows = lengths[single] - window + 1
             which = np.repeat(single, windows)
             at = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
-            parts.append((_row_hashes(data[at[:, None] + np.arange(window)]), text[which], at, np.full(len(which), window)))
+            parts.append((short(_row_hashes(data[at[:, None] + np.arange(window)])), text[which], at, np.full(len(which), window)))
         keys, text, first, lengths = (np.concatenate(x) for x in zip(*parts))
         for bucket, k in by_bucket(keys):
             rows, _ = _bytes_of(data, first[k], first[k] + lengths[k] - window, window)
             held = rows[np.arange(rows.shape[1]) < lengths[k, None]]
-            out.append((bucket, block, keys[k].tobytes(), *(_pack(x) for x in (numbers[text[k]], text[k], first[k] - bounds[text[k]], lengths[k])), _pack(held)))
+            like = ((keys[k] >> np.uint64(1)) // np.uint64(n_buckets)).astype(np.uint32)
+            out.append((bucket, block, like.tobytes(), _pack(numbers[text[k]], text[k], first[k] - bounds[text[k]], lengths[k]), _compress(held.tobytes())))
         return _table(SENT_NAMES, out, SENT_KINDS)
 
     def factors(key: tuple, table: pa.Table) -> pa.Table:
         """Repeats among a bucket's segments, as runs of window starts by block."""
         if key[0].as_py() < 0:
-            return table.select(["block", "texts", "firsts", "lengths"]).rename_columns(SPAN_NAMES)
-        parts = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-        owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-        keys = np.concatenate(parts)
-        ids, text, first, lengths = (np.concatenate(_unpack(table[x])) for x in ("ids", "texts", "firsts", "lengths"))
-        data = np.concatenate(_unpack(table["bytes"], np.uint8))
+            return table.select(["block", "numbers"])
+        keys = [np.frombuffer(x, np.uint32) for x in table["keys"].to_pylist()]
+        owner, keys = np.repeat(np.arange(len(keys)), [len(x) for x in keys]), np.concatenate(keys)
+        ids, text, first, lengths = np.concatenate([_unpack(x, 4) for x in table["numbers"].to_pylist()], axis=1)
+        data = np.frombuffer(b"".join(map(_expand, table["bytes"].to_pylist())), np.uint8)
         offset = np.cumsum(lengths) - lengths
+        spans = []
+        # A bucket's anchors are settled some at a time, so that its arrays stay small.
+        for _, part in _split(keys % np.uint32(-(-len(keys) // most_rows))):
+            spans += [(owner[at], text[at], first[at] + step, long) for at, step, long in repeats(keys[part], ids[part], offset[part], lengths[part], data, part)]
+        owner, text, first, long = (np.concatenate(x) for x in zip(*spans))
+        names = table["block"].to_pylist()
+        return _table(SPAN_NAMES, [(names[k], _pack(text[at], first[at], long[at])) for k, at in _split(owner)], (LONG, BLOB))
+
+    def repeats(keys: np.ndarray, ids: np.ndarray, offset: np.ndarray, lengths: np.ndarray, data: np.ndarray, names: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Of segments data[offset : offset + length], named, those repeated: name, place in the segment, length."""
         rows, _ = _bytes_of(data, offset, offset + lengths - window, window)
         factor = previous_factors(rows, lengths, ids, window)
         hit = factor >= window
-        spans = [(owner[hit], text[hit], first[hit], factor[hit])]
+        yield names[hit], np.zeros(int(hit.sum()), np.int64), factor[hit]
         # A string of smallest id is never among the settled ones, so the starts left open meet it among their like.
         left = np.flatnonzero(factor < lengths)
         _, at, number = np.unique(keys[left], return_inverse=True, return_counts=True)
@@ -270,18 +338,13 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
             if len(which):
                 new = np.flatnonzero(np.r_[True, (which[1:] != which[:-1]) | (step[1:] != step[:-1] + 1)])
                 final = np.r_[new[1:], len(which)] - 1
-                w = which[new]
-                spans.append((owner[w], text[w], first[w] + step[new], step[final] - step[new] + window))
-        owner, text, first, long = (np.concatenate(x) for x in zip(*spans))
-        names = table["block"].to_pylist()
-        out = [(names[k], *(_pack(x[at]) for x in (text, first, long))) for k, at in _split(owner)]
-        return _table(SPAN_NAMES, out, (LONG, BLOB, BLOB, BLOB))
+                yield names[which[new]], step[new], step[final] - step[new] + window
 
     def cut(key: tuple, table: pa.Table, spans: pa.Table) -> pa.Table:
         """Each row without its repeated bytes."""
         ids, texts, _, data, bounds = _block(table)
         turn = np.zeros(len(data) + 1, np.int32)
-        for text, first, length in zip(*(_unpack(spans[x]) for x in SPAN_NAMES[1:])):
+        for text, first, length in (_unpack(x, 3) for x in spans["numbers"].to_pylist()):
             np.add.at(turn, bounds[text] + first, 1)
             np.add.at(turn, bounds[text] + first + length, -1)
         gone = np.cumsum(turn[:-1]) > 0
@@ -294,9 +357,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, block_bytes: int = 4 << 20
             out.append((ids[k], len(text), n, n_spans, hashlib.sha256(kept).hexdigest(), kept))
         return _table(["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"], out, (LONG, LONG, LONG, LONG, pa.string(), BLOB))
 
-    SENT_NAMES, SENT_KINDS = [x.split()[0] for x in SENT.split(", ")], (LONG, LONG, *[BLOB] * 6)
+    SENT_NAMES, SENT_KINDS = [x.split()[0] for x in SENT.split(", ")], (LONG, LONG, *[BLOB] * 3)
     SPAN_NAMES = [x.split()[0] for x in SPANS.split(", ")]
-    by_block = blocks.groupBy("block")
+    by_block = _in_blocks(rows, n_blocks).groupBy("block")
     # Written, so that the anchors' shuffle is gone before the segments' begins: both together were the peak of disk.
     found = materialise(by_block.applyInArrow(anchors, "bucket long, block long, keys binary").groupBy("bucket").applyInArrow(shared, SHARED))
     sent = by_block.cogroup(found.groupBy("block")).applyInArrow(candidates, SENT)

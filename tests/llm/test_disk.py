@@ -46,6 +46,19 @@ def stages(spark) -> dict:
     return {got.apply(k).stageId(): got.apply(k).shuffleWriteRecords() for k in range(got.size())}
 
 
+def test_anchor_cells_grow_with_the_blocks(spark):
+    rng = random.Random(5)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    same = [say(90) for _ in range(40)]
+    docs = spark.createDataFrame([(k, say(200) + rng.choice(same) + say(200) + rng.choice(same)) for k in range(240)], "doc_id long, text string")
+    want = sorted(tuple(r) for r in suffixes.remove_repeats(docs).collect())
+    before = max(stages(spark), default=-1)
+    got = suffixes.remove_repeats(docs, block_bytes=600, most_even=8, most_rows=16)
+    assert sorted(tuple(r) for r in got.collect()) == want and sum(r[2] > 0 for r in want) > 150
+    # About 230 blocks send to 28 buckets of anchors, not to 230.
+    assert sum(n for k, n in stages(spark).items() if k > before) < 230 * 100
+
+
 def test_lines_shuffle_few_keys(spark):
     rng = random.Random(4)
     line = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(60, 240)))
